@@ -99,6 +99,9 @@ def _judge(m: Model, t: pa.Table, row: list[str]) -> pa.Table:
     n, width = int(seq.max()) + 1, BLOCK + 2 * m.halo
     at = ordinal - block * BLOCK + m.halo
     core = (at >= m.halo) & (at < m.halo + BLOCK)
+    once = np.zeros(len(at), bool)
+    once[np.unique(seq * width + at, return_index=True)[1]] = True  # of rows delivered twice, one
+    core &= once
     out = []
     for f in m.fields:
         raw = t[f].to_numpy(zero_copy_only=False).astype(float) if t[f].null_count == 0 else t[f].to_pandas().to_numpy(dtype=float, na_value=np.nan)
