@@ -1,0 +1,111 @@
+"""Quality metrics, digests that do not depend on row order, and comparison of two measurements."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+BUCKETS = 256
+
+
+def metric_names(components: tuple[str, ...]) -> list[str]:
+    fixed = ["source_rows", "null_pickup_zone_rows", "null_dropoff_zone_rows", "pickup_out_of_period_rows", "negative_duration_rows", "unresolved_duration_rows"]
+    return fixed + [f"{c}_{x}" for c in components for x in ("non_null_rows", "sum_cents")]
+
+
+def metrics_sql(relation: str, period: str, pickup: str, dropoff: str, pickup_key: str, dropoff_key: str, components: tuple[str, ...]) -> str:
+    """One statement that Spark and DuckDB both run. A null pickup counts as out of period here; sums of nothing are null."""
+    year, month = (int(x) for x in period.split("-"))
+    count = lambda test: f"CAST(sum(CASE WHEN {test} THEN 1 ELSE 0 END) AS BIGINT)"
+    parts = [
+        "CAST(count(*) AS BIGINT) AS source_rows",
+        f"{count(f'{pickup_key} IS NULL')} AS null_pickup_zone_rows",
+        f"{count(f'{dropoff_key} IS NULL')} AS null_dropoff_zone_rows",
+        f"{count(f'{pickup} IS NULL OR year({pickup}) <> {year} OR month({pickup}) <> {month}')} AS pickup_out_of_period_rows",
+        f"{count(f'{dropoff} < {pickup}')} AS negative_duration_rows",
+        f"{count(f'{pickup} IS NULL OR {dropoff} IS NULL')} AS unresolved_duration_rows",
+    ]
+    for c in components:
+        parts += [f"CAST(count({c}) AS BIGINT) AS {c}_non_null_rows", f"CAST(sum(CAST(round({c} * 100) AS BIGINT)) AS BIGINT) AS {c}_sum_cents"]
+    return f"SELECT {', '.join(parts)} FROM {relation}"
+
+
+def _stable(df: DataFrame, column: str) -> Column:
+    """A column as it enters a digest: times as microseconds, which JSON would cut to milliseconds."""
+    kind = df.schema[column].dataType
+    c = F.col("`" + column + "`")
+    if isinstance(kind, (T.TimestampNTZType, T.TimestampType)):
+        return F.unix_micros(c.cast("timestamp")).alias(column)
+    return c.alias(column)
+
+
+def row_text(df: DataFrame, columns: list[str] | None = None) -> Column:
+    """A row as JSON with its columns in the order of their names, nulls kept."""
+    return F.to_json(F.struct(*[_stable(df, c) for c in sorted(columns or df.columns)]), {"ignoreNullFields": "false"})
+
+
+def row_hashes(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    return df.select(F.sha2(row_text(df, columns), 256).alias("h"))
+
+
+def additive_digest(hashes: DataFrame) -> DataFrame:
+    """(row_count, digest): the sum of each hash's first 15 hex digits; a checksum, null on no rows."""
+    return hashes.agg(F.count("*").alias("row_count"), F.sum(F.conv(F.substring("h", 1, 15), 16, 10).cast("decimal(38,0)")).cast("string").alias("digest"))
+
+
+def sorted_digest(hashes: DataFrame) -> DataFrame:
+    """(row_count, digest): exact for the multiset of rows, whatever its order and size.
+
+    Equal hashes are counted before the shuffle, buckets of the hash space are folded in parallel, and 256 folds are
+    folded at the end; no bucket holds rows of one key more than once.
+    """
+    counted = hashes.groupBy("h").agg(F.count("*").alias("n"))
+    # a bucket is as many leading digits as keep it small: two levels, so that the widest fold stays bounded
+    fold = lambda c: F.sha2(F.array_join(F.array_sort(F.collect_list(c)), "\n"), 256)
+    fine = counted.groupBy(F.substring("h", 1, 4).alias("b")).agg(F.sum("n").alias("n"), fold(F.concat_ws(":", "h", F.col("n").cast("string"))).alias("f"))
+    coarse = fine.groupBy(F.substring("b", 1, 2).alias("b")).agg(F.sum("n").alias("n"), fold(F.concat_ws(":", "b", "f")).alias("f"))
+    return coarse.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"), fold(F.concat_ws(":", "b", "f")).alias("digest"))
+
+
+def key_digest(df: DataFrame, keys: list[str]) -> DataFrame:
+    """(distinct_keys, digest) of the distinct keys."""
+    return additive_digest(row_hashes(df.select(*keys).distinct())).withColumnRenamed("row_count", "distinct_keys")
+
+
+def signature(df: DataFrame) -> list[str]:
+    return [f"{f.name}:{f.dataType.simpleString()}" for f in df.schema.fields]
+
+
+def measure(df: DataFrame, keys: list[str]) -> dict:
+    """Schema, rows, distinct keys and digests; the row hashes are computed once for both digests."""
+    hashes = df.select(F.sha2(row_text(df), 256).alias("h"), F.sha2(row_text(df, keys), 256).alias("k"))
+    additive = hashes.agg(F.count("*").alias("rows"), F.countDistinct("k").alias("keys"), F.sum(F.conv(F.substring("h", 1, 15), 16, 10).cast("decimal(38,0)")).cast("string").alias("additive")).first()
+    exact = sorted_digest(hashes.select("h")).first()
+    return {"schema": signature(df), "rows": additive["rows"], "distinct_keys": additive["keys"], "additive_digest": additive["additive"], "sorted_digest": exact["digest"]}
+
+
+def compare(left: dict, right: dict) -> dict:
+    """Field by field over the union of names; equal only if there is something and all of it is equal."""
+    fields = {k: {"left": left.get(k), "right": right.get(k), "match": left.get(k) == right.get(k)} for k in sorted(left.keys() | right.keys())}
+    return {"fields": fields, "match": bool(fields) and all(f["match"] for f in fields.values())}
+
+
+def unpivoted(df: DataFrame, names: list[str]) -> DataFrame:
+    """One row of metrics as (metric, value)."""
+    return df.select(F.explode(F.array(*[F.struct(F.lit(n).alias("metric"), F.col(n).cast("long").alias("value")) for n in names])).alias("x")).select("x.*")
+
+
+def compare_metrics(left: DataFrame, right: DataFrame) -> DataFrame:
+    """(metric, left_value, right_value, matches) over the union of metrics; nulls match nulls."""
+    a, b = left.withColumnRenamed("value", "left_value"), right.withColumnRenamed("value", "right_value")
+    return a.join(b, "metric", "full_outer").select("metric", "left_value", "right_value", F.col("left_value").eqNullSafe(F.col("right_value")).alias("matches"))
+
+
+def alignment(left: DataFrame, right: DataFrame, key: str, values: list[str]) -> DataFrame:
+    """(left_rows, right_rows, first_mismatch, aligned) of two copies by ordinal; empty copies are not aligned."""
+    a = left.select(F.col(key).alias("k"), F.struct(*values).alias("a"))
+    b = right.select(F.col(key).alias("k"), F.struct(*values).alias("b"))
+    differs = ~F.col("a").eqNullSafe(F.col("b"))
+    got = a.join(b, "k", "full_outer").agg(F.count("a").alias("left_rows"), F.count("b").alias("right_rows"), F.min(F.when(differs, F.col("k"))).alias("first_mismatch"))
+    return got.withColumn("aligned", (F.col("left_rows") == F.col("right_rows")) & (F.col("left_rows") > 0) & F.col("first_mismatch").isNull())

@@ -1,0 +1,83 @@
+"""Tables of Parquet files with a commit log: atomic appends, one commit per transaction key, snapshots.
+
+A commit writes its files aside, moves them into place and creates the next numbered log entry exclusively; the first
+creator wins, the other looks again and either finds its own key committed or takes the next number. Readers see only
+files that the log names.
+"""
+
+from __future__ import annotations
+
+import json
+import os
+import shutil
+import uuid
+from pathlib import Path
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
+
+
+class TableLog:
+    """A table under a folder that all executors share."""
+
+    def __init__(self, root: Path | str):
+        self.root = Path(root)
+        self.log = self.root / "_log"
+
+    def entries(self) -> list[dict]:
+        return [json.loads(p.read_text()) for p in sorted(self.log.glob("*.json"))]
+
+    def version(self) -> int:
+        """Number of the last commit, -1 for no table."""
+        return max((int(p.stem) for p in self.log.glob("*.json")), default=-1)
+
+    def committed(self, key: str) -> bool:
+        return any(e["key"] == key for e in self.entries())
+
+    def append(self, df: DataFrame, key: str, partitions: list[str]) -> dict:
+        """Commit df once under a key: `appended`, or `replayed` with nothing written. No rows are a commit too."""
+        if self.committed(key):
+            return {"state": "replayed", "rows": 0, "version": self.version()}
+        staged = self.root / "_staging" / uuid.uuid4().hex
+        df.write.partitionBy(*partitions).parquet(staged.absolute().as_uri())
+        label, files = uuid.uuid4().hex, []
+        for p in sorted(staged.rglob("*.parquet")):
+            target = self.root / "data" / p.relative_to(staged).parent / f"{label}-{p.name}"
+            target.parent.mkdir(parents=True, exist_ok=True)
+            os.replace(p, target)
+            files.append({"bytes": target.stat().st_size, "path": str(target.relative_to(self.root))})
+        shutil.rmtree(staged, ignore_errors=True)
+        entry = {"files": files, "key": key, "partitions": partitions, "schema": json.loads(df.schema.json())}
+        self.log.mkdir(parents=True, exist_ok=True)
+        while True:
+            number = self.version() + 1
+            part = self.log / f".{label}"
+            part.write_text(json.dumps(entry, sort_keys=True))
+            try:
+                os.link(part, self.log / f"{number:020d}.json")
+                return {"state": "appended", "files": len(files), "version": number}
+            except FileExistsError:
+                if self.committed(key):  # the other writer was quicker; its files count, ours are dropped
+                    for f in files:
+                        (self.root / f["path"]).unlink(missing_ok=True)
+                    return {"state": "replayed", "rows": 0, "version": self.version()}
+            finally:
+                part.unlink(missing_ok=True)
+
+    def files(self, keys: set[str] | None = None) -> list[str]:
+        return [f["path"] for e in self.entries() for f in e["files"] if keys is None or e["key"] in keys]
+
+    def missing_files(self) -> list[str]:
+        return [f for f in self.files() if not (self.root / f).exists()]
+
+    def read(self, spark: SparkSession, keys: set[str] | None = None) -> DataFrame:
+        """The snapshot, or the part of it that the given keys committed; no keys are no rows. Only their files are listed."""
+        entries = self.entries()
+        if not entries:
+            raise FileNotFoundError(f"no table at {self.root}")
+        schema = StructType.fromJson(entries[-1]["schema"])
+        paths = [(self.root / f).absolute().as_uri() for f in self.files(keys)]
+        if not paths:
+            return spark.createDataFrame([], schema)
+        df = spark.read.schema(schema).option("basePath", (self.root / "data").absolute().as_uri()).parquet(*paths)
+        return df.select(*schema.names)
