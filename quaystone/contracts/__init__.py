@@ -1 +1 @@
-"""Subpackage of quaystone."""
+"""Contracts as data: types, resolution, row rules, versions."""

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quaystone.contracts import types
-from quaystone.contracts.civiltime import Interval
+from quaystone.functions.civiltime import Interval
 from quaystone.contracts.model import Contract
 from quaystone.contracts.resolve import Mapping, Resolution
 from quaystone.runtime import bounded

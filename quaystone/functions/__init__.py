@@ -1 +1 @@
-"""Subpackage of quaystone."""
+"""Civil time, metrics and digests."""

@@ -1 +1 @@
-"""Subpackage of quaystone."""
+"""Operators over DataFrames, each with its method and defined results in its docstring."""

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quaystone.operators.schema_tree import RANK, edit_script, leaves, parse_schema, same_field, words
+from quaystone.runtime import pick
 
 #: Spellings up to which the plan of the consistent table is built; they are columns, so their number is that of a schema.
 MAX_SPELLINGS = 20_000
@@ -24,7 +25,7 @@ MAX_SPELLINGS = 20_000
 
 def file_schemas(records: DataFrame, file: str, payload: str) -> DataFrame:
     """(file, schema): the merged schema of each file's payloads that parse."""
-    v = records.select(file, F.expr(f"try_parse_json(`{payload}`)").alias("v"))
+    v = pick(records, [file, payload], [file, "_payload"]).select(file, F.expr("try_parse_json(_payload)").alias("v"))
     objects = v.where(F.expr("schema_of_variant(v) like 'OBJECT<%'"))
     return objects.groupBy(file).agg(F.expr("schema_of_variant_agg(v)").alias("schema"))
 
@@ -102,7 +103,7 @@ def changes(records: DataFrame, files: DataFrame, file: str, payload: str, feed:
     the last earlier file that told one.
     """
     schemas = file_schemas(records, file, payload)
-    known = files.select(file, *feed, at).join(records.select(file).distinct(), file)
+    known = pick(files, [file, *feed, at]).distinct().join(pick(records, [file]).distinct(), file)
     chain = chained(known.join(schemas, file, "left"), feed, at, file, ["schema"])
     ops = edit_scripts(chain, file)
     moved = ops.where("op in ('rename', 'move')").select(file, F.col("to_path").alias("field_name"), F.lit("renamed").alias("change_kind"))
@@ -144,4 +145,4 @@ def consistent_table(records: DataFrame, file: str, payload: str, keys: list[str
             name = m["path"].replace("\\", "\\\\").replace("'", "\\'").replace('"', '\\"')
             texts.append(F.expr(f"try_variant_get(v, '$[\"{name}\"]', '{kind}')"))
         columns.append(F.coalesce(*texts).alias(label))
-    return records.select(*keys, F.expr(f"try_parse_json(`{payload}`)").alias("v")).where("v is not null").select(*keys, *columns).dropDuplicates(keys)
+    return pick(records, [*keys, payload], [*keys, "_payload"]).select(*keys, F.expr("try_parse_json(_payload)").alias("v")).where("v is not null").select(*keys, *columns).dropDuplicates(keys)

@@ -18,7 +18,7 @@ from zoneinfo import available_timezones
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quaystone.runtime import bounded, computed
+from quaystone.runtime import bounded, computed, pick
 
 # Month names and the offsets, in seconds, of zone abbreviations.
 MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
@@ -119,7 +119,7 @@ def stamp_instants(stamps: DataFrame, key: str, groups: list[str], fields: list[
     bound, beyond it they shuffle and adaptive execution splits hot groups.
     """
     each = F.explode(F.array(*[F.struct(F.lit(f).alias("field_name"), F.col(f).alias("value")) for f in fields]))
-    long = components(stamps.select(key, *groups, zone, each.alias("x")).select(key, *groups, zone, "x.field_name", "x.value"), "value")
+    long = components(pick(stamps, list(dict.fromkeys([key, *groups, zone, *fields]))).select(key, *groups, zone, each.alias("x")).select(key, *groups, zone, "x.field_name", "x.value"), "value")
     order, _ = bounded(day_first(long, groups))
     got = instants(long.where("at is not null").join(order, groups, "left"), zone, default_zone)
     return got.where("utc_micros is not null").select(key, "field_name", "utc_micros").distinct()

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from quaystone.operators import ranks
 from quaystone.operators.drift import chained
-from quaystone.runtime import settle
+from quaystone.runtime import once, pick, settle
 
 MONTH = r"^[0-9]{4}-(0[1-9]|1[0-2])\z"
 
@@ -25,7 +25,7 @@ class Profile:
 
     def __init__(self, rows: DataFrame, key: list[str], load: str, numbers: list[str], texts: list[str]):
         self.load, self.group = load, [load, "column_name"]
-        rows = rows.select(*dict.fromkeys([*key, load, *numbers, *texts])).dropDuplicates(key)
+        rows = once(pick(rows, list(dict.fromkeys([*key, load, *numbers, *texts]))), key)
         cells = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("number"), F.lit(None).cast("string").alias("text")) for c in numbers]
         cells += [F.struct(F.lit(c).alias("column_name"), F.lit(None).cast("double").alias("number"), F.col(c).alias("text")) for c in texts]
         long = rows.select(load, F.explode(F.array(*cells)).alias("x")).select(load, "x.*")

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quaystone.runtime import bounded
+from quaystone.runtime import bounded, pick
 
 BEGIN = "timestamp'0001-01-01 00:00:00'"  # SQL literals: expressions need a running session
 END = "timestamp'9999-12-31 00:00:00'"
@@ -22,13 +22,14 @@ END = "timestamp'9999-12-31 00:00:00'"
 
 def existence_deltas(dimension: DataFrame, key: str, added: str, retired: str) -> DataFrame:
     """(ref_key, at, delta): +1 when a key arrives, -1 when it is retired."""
-    rows = dimension.select(F.col(key).alias("ref_key"), F.coalesce(F.col(added), F.expr(BEGIN)).alias("a"), F.col(retired).alias("r")).where("ref_key is not null").distinct()
+    rows = pick(dimension, [key, added, retired], ["ref_key", "a", "r"]).withColumn("a", F.coalesce("a", F.expr(BEGIN))).where("ref_key is not null").distinct()
     return rows.select("ref_key", F.explode(F.array(F.struct(F.col("a").alias("at"), F.lit(1).alias("delta")), F.struct(F.col("r").alias("at"), F.lit(-1).alias("delta")))).alias("d")).select("ref_key", "d.at", "d.delta").where("at is not null")
 
 
 def reference_deltas(facts: DataFrame, row: list[str], fields: list[str], at: str, sign: int = 1) -> DataFrame:
     """(row..., field_name, ref_key, at, delta): one signed delta for each non-null reference."""
     each = F.explode(F.array(*[F.struct(F.lit(f).alias("field_name"), F.col(f).cast("long").alias("ref_key")) for f in fields]))
+    facts = pick(facts, list(dict.fromkeys([*row, *fields, at])))
     return facts.select(*row, F.col(at).alias("at"), each.alias("x")).select(*row, "x.field_name", "x.ref_key", "at", F.lit(sign).alias("delta")).where("ref_key is not null")
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quaystone.operators import ranks
-from quaystone.runtime import bounded, settle
+from quaystone.runtime import bounded, once, pick, settle
 
 BLOCK, CHUNK_ROWS = 256, 60_000
 
@@ -130,9 +130,9 @@ def _judge(m: Model, t: pa.Table, row: list[str]) -> pa.Table:
 
 def medians(rows: DataFrame, source: str, row: list[str], fields: list[str]) -> DataFrame:
     """(source, median_<field>...): exact medians of each source's non-null readings; repeated rows count once."""
-    once = rows.select(*row, source, *fields).dropDuplicates(row)
+    single = once(pick(rows, [*row, source, *fields]), row)
     cells = F.explode(F.array(*[F.struct(F.lit(f).alias("f"), F.col(f).cast("double").alias("v")) for f in fields]))
-    counts = settle(ranks.value_counts(once.select(source, cells.alias("x")).select(source, "x.f", "x.v").where("not isnan(v)"), [source, "f"], "v"), "levels")
+    counts = settle(ranks.value_counts(single.select(source, cells.alias("x")).select(source, "x.f", "x.v").where("not isnan(v)"), [source, "f"], "v"), "levels")
     got = ranks.quantiles(ranks.ranked(counts, [source, "f"], "v"), [source, "f"], "v", {"median": 0.5})
     return got.groupBy(source).agg(*[F.max(F.when(F.col("f") == f, F.col("median"))).alias(f"median_{f}") for f in fields])
 

@@ -19,6 +19,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quaystone.runtime import pick
+
 ROWS_PER_BUCKET = 60_000
 
 
@@ -71,19 +73,21 @@ def _occurrence(code: np.ndarray) -> np.ndarray:
 
 def table_diff(left: DataFrame, right: DataFrame, keys: list[str], only_left: str, only_right: str, values: bool = False) -> DataFrame:
     """(keys..., difference[, left_value, right_value]): one row for each key on one side and each differing cell."""
-    rest = [c for c in left.columns if c in right.columns and c not in keys]
-    types = dict(left.dtypes)
+    rest = [c for c in dict.fromkeys(left.columns) if c in right.columns and c not in keys]
+    types, names = dict(left.dtypes), [*keys, *rest]
+    ks, cs = [f"k{i}" for i in range(len(keys))], [f"c{i}" for i in range(len(rest))]  # inside, columns go by place
     buckets = max(8, -(-(left.count() + right.count()) // ROWS_PER_BUCKET))
-    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+    bucket = F.pmod(F.xxhash64(*ks), F.lit(buckets)).cast("int")
     sides = []
     for side in (left, right):
-        rows = side.select(*keys, *[F.col(c).cast(types[c]) for c in rest])
+        rows = pick(side, names, ks + cs)
+        rows = rows.select(*[F.col(x).cast(types[n]) for x, n in zip(ks + cs, names, strict=True)])
         sides.append(rows.mapInArrow(_thin, rows.schema).withColumn("_bucket", bucket).groupBy("_bucket"))
     schema = ", ".join(f"`{k}` {types[k]}" for k in keys) + ", difference string" + ", left_value string, right_value string" * values
 
     def compare(a: pa.Table, b: pa.Table) -> pa.Table:
-        a, b = (_ordered(t.drop_columns(["_bucket"]), keys, rest) for t in (a, b))
-        code = _codes([pa.chunked_array([*a[k].chunks, *b[k].chunks], type=a[k].type) for k in keys])
+        a, b = (_ordered(t.drop_columns(["_bucket"]), ks, cs) for t in (a, b))
+        code = _codes([pa.chunked_array([*a[k].chunks, *b[k].chunks], type=a[k].type) for k in ks])
         ca, cb = code[: len(a)], code[len(a):]
         wide = max([0, *_occurrence(ca), *_occurrence(cb)]) + 1
         ca, cb = ca * wide + _occurrence(ca), cb * wide + _occurrence(cb)
@@ -97,7 +101,7 @@ def table_diff(left: DataFrame, right: DataFrame, keys: list[str], only_left: st
         out = []
 
         def emit(rows: pa.Table, difference: str, lv: object = None, rv: object = None) -> None:
-            columns = [rows[k] for k in keys] + [pa.array([difference] * len(rows), pa.string())]
+            columns = [rows[k] for k in ks] + [pa.array([difference] * len(rows), pa.string())]
             if values:
                 columns += [x if x is not None else pa.nulls(len(rows), pa.string()) for x in (lv, rv)]
             out.append(pa.table(columns, names=[*keys, "difference", *(["left_value", "right_value"] if values else [])]))
@@ -106,10 +110,10 @@ def table_diff(left: DataFrame, right: DataFrame, keys: list[str], only_left: st
         emit(b.take(ob[lone]), only_right)
         if len(ia):
             a, b = a.take(ia), b.take(ib)
-            for c in rest:
+            for c, label in zip(cs, rest, strict=True):
                 if (mask := _differs(a[c], b[c])).any():
                     at = np.flatnonzero(mask)
-                    emit(a.take(at), c, *((pc.cast(t[c].take(at), pa.string()) for t in (a, b)) if values else ()))
+                    emit(a.take(at), label, *((pc.cast(t[c].take(at), pa.string()) for t in (a, b)) if values else ()))
         return pa.concat_tables(out)
 
     return sides[0].cogroup(sides[1]).applyInArrow(compare, schema)

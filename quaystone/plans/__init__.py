@@ -1 +1 @@
-"""Subpackage of quaystone."""
+"""Registered queries, products and runs."""

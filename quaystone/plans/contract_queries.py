@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quaystone.contracts import inventory, measure, products, resolve, rules, scan, versions
-from quaystone.contracts.civiltime import Interval, transitions
+from quaystone.contracts import resolve, rules, versions
 from quaystone.contracts.model import HVFHV, YELLOW, Contract
+from quaystone.functions import measure
+from quaystone.functions.civiltime import Interval, transitions
+from quaystone.plans import products
 from quaystone.runtime import table
+from quaystone.sources import inventory, scan
 
 YEARS, ZONES, PERIOD = range(2022, 2027), "zones-1", "2024-03"
 INTERVALS: tuple[Interval, ...] = tuple(i for y in YEARS for m in range(1, 13) for i in transitions(y, m, YELLOW.zone))

@@ -14,11 +14,13 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quaystone.contracts import inventory, landing, measure, resolve, rules, scan
-from quaystone.contracts.civiltime import transitions
+from quaystone.contracts import resolve, rules
 from quaystone.contracts.model import CONTRACTS, Contract
-from quaystone.contracts.tablelog import TableLog
 from quaystone.contracts.versions import Boundary, Candidate, Catalog, Conflict, Marker, decide, derivation_id, document_bytes
+from quaystone.functions import measure
+from quaystone.functions.civiltime import transitions
+from quaystone.sources import inventory, landing, scan
+from quaystone.sources.tablelog import TableLog
 
 KINDS = ("trip", "quarantine", "incident")
 

@@ -84,6 +84,32 @@ def computed(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select("*", F.inline(F.array(F.struct(*[c.alias(k) for k, c in columns.items()]))))
 
 
+def pick(df: DataFrame, names: list[str], labels: list[str] | None = None) -> DataFrame:
+    """The named columns, under labels if given, whatever else df holds.
+
+    A column of the exact name goes before one that differs in case, and the first of several equal ones is taken, so that
+    further columns with clashing names do no harm.
+    """
+    have, low = df.columns, [c.lower() for c in df.columns]
+    at = [have.index(n) if n in have else low.index(n.lower()) for n in names]
+    labels = labels or names
+    if len(set(low)) < len(low):
+        df = df.toDF(*[f"_{i}" for i in range(len(have))])
+        return df.select(*[F.col(f"_{i}").alias(x) for i, x in zip(at, labels, strict=True)])
+    return df.select(*[F.col("`" + have[i].replace("`", "``") + "`").alias(x) for i, x in zip(at, labels, strict=True)])
+
+
+def once(df: DataFrame, key: list[str]) -> DataFrame:
+    """df with rows delivered twice only once.
+
+    Texts join the key, as repeats are whole and an aggregate that carries texts would have to sort; of rows that agree in
+    key and texts but not in their numbers one is kept.
+    """
+    texts = [c for c, t in df.dtypes if t == "string" and c not in key]
+    rest = [c for c in df.columns if c not in key and c not in texts]
+    return df.groupBy(*key, *texts).agg(*[F.first(c).alias(c) for c in rest]) if rest else df.distinct()
+
+
 def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
     """df with a broadcast hint if it has at most `rows` rows, and whether it has.
 

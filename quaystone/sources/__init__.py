@@ -1 +1 @@
-"""Subpackage of quaystone."""
+"""Files, landing, inventories and tables with a commit log."""

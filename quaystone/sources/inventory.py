@@ -8,7 +8,7 @@ from collections import Counter
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quaystone.contracts import scan
+from quaystone.sources import scan
 
 # First months and file names of the public trip files.
 FIRST = {"yellow": (2019, 1), "hvfhv": (2019, 2)}

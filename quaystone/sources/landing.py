@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from datetime import UTC, datetime
 from pathlib import Path
 
-from quaystone.contracts import scan
+from quaystone.sources import scan
 from quaystone.contracts.versions import append_line, document_bytes, read_lines, version_id
 
 CHUNK, MOST_BYTES = 1 << 20, 4 << 20

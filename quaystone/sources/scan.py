@@ -16,8 +16,9 @@ MANIFEST_LINEAGE = ("logical_id", "service", "period", "version_id", "content_sh
 
 
 def as_uri(path: str | Path) -> str:
+    """A path as Spark takes it: signs stay as they are, where a quoted URI would name another file."""
     text = str(path)
-    return text if "://" in text else Path(text).absolute().as_uri()
+    return text if "://" in text else f"file://{Path(text).absolute().as_posix()}"
 
 
 def case_sensitive(spark: SparkSession) -> None:

@@ -16,6 +16,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from quaystone.sources import scan
+
 
 class TableLog:
     """A table under a folder that all executors share."""
@@ -39,7 +41,7 @@ class TableLog:
         if self.committed(key):
             return {"state": "replayed", "rows": 0, "version": self.version()}
         staged = self.root / "_staging" / uuid.uuid4().hex
-        df.write.partitionBy(*partitions).parquet(staged.absolute().as_uri())
+        df.write.partitionBy(*partitions).parquet(scan.as_uri(staged))
         label, files = uuid.uuid4().hex, []
         for p in sorted(staged.rglob("*.parquet")):
             target = self.root / "data" / p.relative_to(staged).parent / f"{label}-{p.name}"
@@ -76,8 +78,8 @@ class TableLog:
         if not entries:
             raise FileNotFoundError(f"no table at {self.root}")
         schema = StructType.fromJson(entries[-1]["schema"])
-        paths = [(self.root / f).absolute().as_uri() for f in self.files(keys)]
+        paths = [scan.as_uri(self.root / f) for f in self.files(keys)]
         if not paths:
             return spark.createDataFrame([], schema)
-        df = spark.read.schema(schema).option("basePath", (self.root / "data").absolute().as_uri()).parquet(*paths)
+        df = spark.read.schema(schema).option("basePath", scan.as_uri(self.root / "data")).parquet(*paths)
         return df.select(*schema.names)

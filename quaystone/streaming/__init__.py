@@ -1 +1 @@
-"""Subpackage of quaystone."""
+"""State kept from streams."""
