@@ -145,4 +145,4 @@ def consistent_table(records: DataFrame, file: str, payload: str, keys: list[str
             name = m["path"].replace("\\", "\\\\").replace("'", "\\'").replace('"', '\\"')
             texts.append(F.expr(f"try_variant_get(v, '$[\"{name}\"]', '{kind}')"))
         columns.append(F.coalesce(*texts).alias(label))
-    return pick(records, [*keys, payload], [*keys, "_payload"]).select(*keys, F.expr("try_parse_json(_payload)").alias("v")).where("v is not null").select(*keys, *columns).dropDuplicates(keys)
+    return pick(records, [*keys, payload], [*keys, "_payload"]).select(*keys, F.expr("try_parse_json(_payload)").alias("v")).where(F.expr("schema_of_variant(v) like 'OBJECT<%'")).select(*keys, *columns).dropDuplicates(keys)
