@@ -17,6 +17,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from quaystone.runtime import pick
+
 #: The pieces kept per worker with their ids, and the longest piece that is kept; a full cache starts anew.
 CACHE_PIECES, CACHE_BYTES = 400_000, 64
 # The pattern by which the vocabulary cuts a text into pieces.
@@ -129,4 +131,4 @@ def encode_texts(docs: DataFrame, key: str, text: str, vocabulary: str, out: str
             ids = pa.array([encoder.encode(t) for t in b.column(1).to_pylist()], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([b.column(0), ids], names=[key, out])
 
-    return docs.select(key, text).mapInArrow(run, f"`{key}` {dict(docs.dtypes)[key]}, `{out}` array<int>")
+    return pick(docs, [key, text]).mapInArrow(run, f"`{key}` {dict(docs.dtypes)[key]}, `{out}` array<int>")

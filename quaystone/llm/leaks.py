@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quaystone.llm.words import words
+from quaystone.runtime import pick
 
 SPAN = 12
 # The positions that each mask looks at, weight 8 of a span of 12.
@@ -126,7 +127,7 @@ def overlaps(docs: DataFrame, key: str, text: str, items: DataFrame, item_key: s
     """(key, item_key, run, overlap, replaced): for each text and item with a hit, the longest exact run of words and the
     longest overlap with replaced words."""
     spark = docs.sparkSession
-    rows = items.select(F.col(item_key).cast("long").alias("i"), F.col(item_text).alias("t")).where("i is not null and t is not null").distinct()
+    rows = pick(items, [item_key, item_text], ["i", "t"]).withColumn("i", F.col("i").cast("long")).where("i is not null and t is not null").distinct()
     chars = rows.agg(F.sum(F.length("t")).alias("n")).first()["n"] or 0
     blocks = 1 + chars // BLOCK_CHARS
     schema = f"`{key}` {dict(docs.dtypes)[key]}, `{item_key}` bigint, run int, overlap int, replaced int"
@@ -166,7 +167,7 @@ def overlaps(docs: DataFrame, key: str, text: str, items: DataFrame, item_key: s
             if size:
                 yield page(keys, texts, kind)
 
-        got = docs.select(key, text).mapInArrow(run, schema)
+        got = pick(docs, [key, text]).mapInArrow(run, schema)
         out = got if out is None else out.unionByName(got)
     return out.groupBy(key, item_key).agg(F.max("run").alias("run"), F.max(F.struct("overlap", "replaced")).alias("o")).select(key, item_key, "run", "o.overlap", "o.replaced")
 

@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quaystone.runtime import pick
+
 # Words that tie clauses together, by language.
 GRAMMAR = {
     "en": "the of and to in is was were be been are it its that this those these for on with as by at from not no nor or but if than then so because while when where who whoever which what how did does do can could may might must should would will has had have a an i you he she they we our his her their there here still also after before between until every each another any about into an whose shall yet",
@@ -141,7 +143,7 @@ def filler_share(text: str | None) -> tuple[float, float]:
         items = [i for i in ITEMS.split(u) if i.strip()]
         listed = len(items) >= 4 and n <= 4.5 * len(items) and not (closed and len(ties) >= 2 and bound >= 0.15 * n)
         linked = links > 0 and n <= 8 * links and len(ties) < 3
-        few = n > 0 and sum(p in stuffed for p in parts) >= 0.85 * n and not (n >= 6 and distinct >= 0.8 * n and len(ties) >= 2)
+        few = n > 0 and sum(p in stuffed for p in parts) >= 0.85 * n and not (n >= 6 and distinct >= 0.7 * n and len(ties) >= 2)
         same = n >= 8 and distinct <= 0.4 * n and rep >= 0.8 * span
         clause = (bound >= 1 and bound >= 0.12 * n and n >= 3) or (closed and n >= 5 and rep < 0.5 * span and distinct >= 0.8 * n)
         is_filler = linked or same or ((listed or few or not clause) and bool(rep >= 0.35 * span or links))
@@ -168,7 +170,7 @@ def filler_shares(docs: DataFrame, key: str, text: str) -> DataFrame:
             got = [filler_share(t) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x for x, _ in got], pa.float64()), pa.array([y for _, y in got], pa.float64())], names=[key, "filler", "covered"])
 
-    return docs.select(key, text).mapInArrow(run, f"`{key}` {dict(docs.dtypes)[key]}, filler double, covered double")
+    return pick(docs, [key, text]).mapInArrow(run, f"`{key}` {dict(docs.dtypes)[key]}, filler double, covered double")
 
 
 def stuffed_pages(docs: DataFrame, key: str, text: str, share: float = 0.5) -> DataFrame:
