@@ -1,7 +1,7 @@
 """Mergeable percentiles with bounded error: quantile digests over a bounded universe.
 
 A value becomes the number of its cell, round(value / unit), in a universe of 2**DEPTH cells; values beyond either end take
-the end's cell, and each group's exact least and largest value is kept. A digest is a set of dyadic nodes (level, place) with
+the end's cell. A digest is a set of dyadic nodes (level, place) with
 counts; a leaf has level 0. Digests of any two sets of rows are merged by adding the counts of equal nodes. Compression
 pushes counts up while a node, its sibling and its parent hold at most n // k rows together, which leaves at most 3 k nodes
 and misplaces a rank by at most DEPTH * (n // k), whatever the order of merges.
@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quaystone.runtime import bounded, settle
+
 DEPTH = 32
 HALF = 1 << (DEPTH - 1)
 #: Nodes up to which one group is compressed in one task; larger groups are first compressed in pieces.
@@ -41,14 +43,14 @@ def cell(value: Column, unit: float) -> Column:
 
 
 def leaves(values: DataFrame, groups: list[str], value: str, unit: float) -> DataFrame:
-    """The uncompressed digest (groups..., level, place, n, low, high) of each group's values."""
+    """The uncompressed digest (groups..., level, place, n) of each group's values."""
     known = values.where(F.col(value).isNotNull() & ~F.isnan(value))
-    return known.select(*groups, F.lit(0).alias("level"), cell(F.col(value), unit).alias("place"), F.col(value).alias("v")).groupBy(*groups, "level", "place").agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+    return known.select(*groups, F.lit(0).alias("level"), cell(F.col(value), unit).alias("place")).groupBy(*groups, "level", "place").agg(F.count("*").alias("n"))
 
 
 def add(nodes: DataFrame, groups: list[str]) -> DataFrame:
     """Digests merged by node addition."""
-    return nodes.groupBy(*groups, "level", "place").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
+    return nodes.groupBy(*groups, "level", "place").agg(F.sum("n").alias("n"))
 
 
 def compress_nodes(level: np.ndarray, place: np.ndarray, n: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -84,30 +86,55 @@ def compress_nodes(level: np.ndarray, place: np.ndarray, n: np.ndarray, k: int)
 
 def _compress(nodes: DataFrame, groups: list[str], k: int) -> DataFrame:
     kinds = dict(nodes.dtypes)
-    schema = ", ".join(f"`{g}` {kinds[g]}" for g in groups) + ", level int, place bigint, n bigint, low double, high double"
+    schema = ", ".join(f"`{g}` {kinds[g]}" for g in groups) + ", level int, place bigint, n bigint"
 
     def one(t: pa.Table) -> pa.Table:
         lv, p, c = compress_nodes(t["level"].to_numpy(), t["place"].to_numpy(), t["n"].to_numpy(), k)
-        lo, hi = float(np.min(t["low"].to_numpy())), float(np.max(t["high"].to_numpy()))
         same = [pa.chunked_array([pa.repeat(t[g][0], len(p))]) for g in groups]
-        return pa.table([*same, pa.array(lv.astype(np.int32)), pa.array(p), pa.array(c), pa.array(np.full(len(p), lo)), pa.array(np.full(len(p), hi))], names=[*groups, "level", "place", "n", "low", "high"])
+        return pa.table([*same, pa.array(lv.astype(np.int32)), pa.array(p), pa.array(c)], names=[*groups, "level", "place", "n"])
 
     return nodes.groupBy(*groups).applyInArrow(one, schema)
 
 
-def digest(nodes: DataFrame, groups: list[str], k: int) -> DataFrame:
-    """One compressed digest per group from any number of digests of its parts."""
+def _sides(nodes: DataFrame, groups: list[str], k: int) -> tuple[DataFrame, DataFrame]:
+    """The nodes of groups of fewer than k rows, and those of the others. The list of large groups is settled once."""
+    many = nodes.groupBy(*groups).agg(F.sum("n").alias("_t")).where(F.col("_t") >= k)
+    many, _ = bounded(settle(many.select(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(groups)]), "large"))
+    same = F.lit(True)
+    for i, g in enumerate(groups):
+        same = same & F.col(g).eqNullSafe(F.col(f"_g{i}"))
+    return nodes.join(many, same, "left_anti"), nodes.join(many, same, "left_semi")
+
+
+def _small(nodes: DataFrame, groups: list[str]) -> DataFrame:
+    """Groups of fewer than k rows, which need no compression: one shuffle by group serves sums and all that follows."""
+    return add(nodes.repartition(*groups), groups)
+
+
+def _large(nodes: DataFrame, groups: list[str], k: int) -> DataFrame:
     merged = add(nodes, groups)
-    largest = merged.groupBy(*groups).agg(F.count("*").alias("c")).agg(F.max("c").alias("m")).first()["m"] or 0
+    count = lambda df: df.groupBy(*groups).agg(F.count("*").alias("c")).agg(F.max("c").alias("m")).first()["m"] or 0
+    largest = count(merged)
     while largest > PIECE_NODES:  # any subset of nodes is a digest of some of the rows
         pieces = 1 + largest // PIECE_NODES
         part = merged.withColumn("_piece", F.pmod(F.xxhash64("level", "place"), F.lit(pieces)).cast("int"))
-        merged = add(_compress(part, [*groups, "_piece"], k).drop("_piece"), groups)
-        largest = min(largest - 1, pieces * 3 * k)
-    total = F.sum("n").over(Window.partitionBy(*groups))
-    merged = merged.withColumn("_t", total)
-    small, large = merged.where(F.col("_t") < k).drop("_t"), merged.where(F.col("_t") >= k).drop("_t")
-    return small.unionByName(_compress(large, groups, k))
+        merged = settle(add(_compress(part, [*groups, "_piece"], k).drop("_piece"), groups), "pieces")
+        before, largest = largest, count(merged)
+        if 2 * largest > before:  # pieces of 3 k nodes at most: few, and no smaller by another round
+            break
+    return _compress(merged, groups, k)
+
+
+def digest(nodes: DataFrame, groups: list[str], k: int) -> DataFrame:
+    """One compressed digest per group from any number of digests of its parts."""
+    few, many = _sides(nodes, groups, k)
+    return _small(few, groups).unionByName(_large(many, groups, k))
+
+
+def estimates(nodes: DataFrame, groups: list[str], shares: list[float], unit: float, k: int) -> DataFrame:
+    """(groups..., percentile, value, n, rank_bound) from any number of digests of each group's parts."""
+    few, many = _sides(nodes, groups, k)
+    return percentiles(_small(few, groups), groups, shares, unit, k).unionByName(percentiles(_large(many, groups, k), groups, shares, unit, k))
 
 
 def percentiles(digests: DataFrame, groups: list[str], shares: list[float], unit: float, k: int) -> DataFrame:
@@ -116,10 +143,10 @@ def percentiles(digests: DataFrame, groups: list[str], shares: list[float], unit
     nodes = digests.withColumn("_end", end)
     w = Window.partitionBy(*groups)
     upto = F.sum("n").over(w.orderBy("_end", "level").rowsBetween(Window.unboundedPreceding, 0))
-    run = nodes.select(*groups, "_end", "low", "high", upto.alias("_upto"), F.sum("n").over(w).alias("n"))
+    run = nodes.select(*groups, "_end", upto.alias("_upto"), F.sum("n").over(w).alias("n"))
     at = [F.min(F.when(F.col("_upto") >= F.greatest(F.lit(1), F.ceil(F.lit(q) * F.col("n"))), F.col("_end"))).alias(f"_{i}") for i, q in enumerate(shares)]
-    got = run.groupBy(*groups).agg(F.first("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"), *at)
-    value = lambda i: F.least(F.col("high"), F.greatest(F.col("low"), (F.col(f"_{i}") - HALF) * F.lit(unit)))
+    got = run.groupBy(*groups).agg(F.first("n").alias("n"), *at)
+    value = lambda i: (F.least(F.col(f"_{i}"), F.lit(2 * HALF - 1)) - HALF) * F.lit(unit)
     each = F.explode(F.array(*[F.struct(F.lit(q).alias("percentile"), F.round(value(i), 9).alias("value")) for i, q in enumerate(shares)]))
     bound = F.when(F.col("n") >= k, F.floor(F.col("n") / k) * DEPTH).otherwise(0).cast("long")
     return got.select(*groups, each.alias("x"), "n", bound.alias("rank_bound")).select(*groups, "x.percentile", "x.value", "n", "rank_bound")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quaystone.llm import bpe, leaks, qdigest, stuffing
-from quaystone.runtime import bounded, settle, table
+from quaystone.runtime import bounded, once, settle, table
 
 #: Where the public vocabularies are; a parameter of the operators.
 VOCABULARIES = os.environ.get("QUAYSTONE_VOCABULARIES", "/opt/tokenizers")
@@ -23,9 +23,9 @@ def fare_digests(spark: SparkSession, d: str) -> DataFrame:
 
     One shuffle by file and stretch of ordinals serves both the removal of rows delivered twice and the leaf counts.
     """
-    row = ["source_file_version_id", "_stretch", "source_row_ordinal"]
     trips = table(spark, d, "yellow_trip").select("source_file_version_id", "source_row_ordinal", "source_period", "pulocationid", "fare_amount", "trip_distance")
-    trips = trips.withColumn("_stretch", F.floor(F.col("source_row_ordinal") / ROWS_TOGETHER)).repartition("source_file_version_id", "_stretch").dropDuplicates(row)
+    trips = trips.withColumn("_stretch", F.floor(F.col("source_row_ordinal") / ROWS_TOGETHER)).repartition("source_file_version_id", "_stretch")
+    trips = once(trips, ["source_file_version_id", "_stretch", "source_row_ordinal"])
     zones, _ = bounded(table(spark, d, "zone_lookup").select(F.col("location_id").alias("pulocationid"), "borough").dropDuplicates(["pulocationid"]))
     cells = F.explode(F.array(*[F.struct(F.lit(f).alias("field_name"), F.col(f).alias("value")) for f in ("fare_amount", "trip_distance")]))
     long = trips.join(zones, "pulocationid", "left").select("source_file_version_id", "_stretch", "source_period", "borough", cells.alias("x")).select("source_file_version_id", "_stretch", "source_period", "borough", "x.*")
@@ -33,14 +33,19 @@ def fare_digests(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p4_percentiles(spark: SparkSession, d: str) -> DataFrame:
-    """Percentiles per borough over all rows, per period and per file, each put together from the files' digests."""
-    k, state = qdigest.compression(RANK_ERROR), settle(fare_digests(spark, d), "digests")
+    """Percentiles per borough of each file, of each period from its files' digests, and over all from the periods'."""
+    k, files = qdigest.compression(RANK_ERROR), settle(fare_digests(spark, d), "files")
+    by = ["borough", "field_name"]
+    periods = settle(qdigest.digest(files, ["source_period", *by], k), "periods")
+    got = {
+        "all": (F.lit(None).cast("string"), qdigest.estimates(periods, by, SHARES, UNIT, k)),
+        "period": (F.col("source_period"), qdigest.percentiles(periods, ["source_period", *by], SHARES, UNIT, k)),
+        "file": (F.col("source_file_version_id"), qdigest.estimates(files, ["source_file_version_id", *by], SHARES, UNIT, k)),
+    }
     out = None
-    for scope, key in (("all", F.lit(None).cast("string")), ("period", F.col("source_period")), ("file", F.col("source_file_version_id"))):
-        groups = ["scope", "scope_key", "borough", "field_name"]
-        nodes = state.select(F.lit(scope).alias("scope"), key.alias("scope_key"), "borough", "field_name", "level", "place", "n", "low", "high")
-        got = qdigest.percentiles(qdigest.digest(nodes, groups, k), groups, SHARES, UNIT, k)
-        out = got if out is None else out.unionByName(got)
+    for scope, (key, df) in got.items():
+        part = df.select(F.lit(scope).alias("scope"), key.alias("scope_key"), *by, "percentile", "value", "n", "rank_bound")
+        out = part if out is None else out.unionByName(part)
     return out
 
 
