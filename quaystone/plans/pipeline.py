@@ -46,9 +46,14 @@ class Lake:
     def identity(self, service: str, period: str) -> landing.Identity:
         return landing.Identity("trip", self.completeness, service, period)
 
-    def land(self, service: str, period: str, path: Path | str, run_id: str, published_at_utc: str | None = None) -> dict:
-        f = landing.local_file(path)
-        return self.store.acquire(self.identity(service, period), landing.Fetched(f.name, f.write, published_at_utc), landing.validate_parquet, run_id)
+    def land(self, service: str, period: str, path: Path | str, run_id: str, published_at_utc: str | None = None, recorded: dict[tuple[str, str], str] | None = None) -> dict:
+        """Land a file; a bounded sample needs a recorded hash for its artifact, and a whole object is never taken from a local copy."""
+        if self.completeness == "complete_object":
+            raise ValueError("a complete object is fetched from its source")
+        f, digest = landing.local_file(path), (recorded or {}).get((service, period))
+        if self.completeness == "bounded_sample" and digest is None:
+            raise ValueError(f"no recorded hash for {service}:{period}")
+        return self.store.acquire(self.identity(service, period), landing.Fetched(f.name, f.write, published_at_utc), landing.validate_parquet, run_id, expected_sha256=digest)
 
     def land_zones(self, path: Path | str, run_id: str) -> dict:
         return self.store.acquire(landing.Identity("zone_lookup", "complete_object"), landing.local_file(path), landing.validate_zones, run_id)
@@ -232,12 +237,15 @@ def gated_run(lake: Lake, requested: list[tuple[str, str]], scratch: Path | str)
 
 
 def main(argv: list[str] | None = None) -> int:
-    """land, contracts and run; the exit code is 0 only if the gate passes."""
+    """land, slice, run, inventory and contracts; the exit code is 0 only if what was asked for holds."""
     parser = argparse.ArgumentParser(prog="quaystone")
     sub = parser.add_subparsers(dest="command", required=True)
-    for name in ("land", "run"):
+    for name in ("land", "slice", "run", "inventory"):
         p = sub.add_parser(name)
-        p.add_argument("--landing", required=True)
+        if name != "inventory":
+            p.add_argument("--landing", required=True)
+        if name == "slice":
+            p.add_argument("--warehouse", required=True)
         p.add_argument("--file", action="append", default=[], metavar="SERVICE:YYYY-MM=PATH")
         p.add_argument("--zones")
         if name == "run":
@@ -250,8 +258,11 @@ def main(argv: list[str] | None = None) -> int:
     if a.command == "contracts":
         print(json.dumps({s: {"document": c.document(), "fingerprint": c.fingerprint()} for s, c in CONTRACTS.items()}, indent=2, sort_keys=True))
         return 0
-    store, results = landing.Store(a.landing), []
     files = [(inventory.parse_artifact(x.partition("=")[0]), x.partition("=")[2]) for x in a.file]
+    if a.command == "inventory":
+        print(json.dumps(inventory.local_inventory(files), indent=2, sort_keys=True))
+        return 0
+    store, results = landing.Store(a.landing), []
     for (service, period), path in files:
         results.append(store.acquire(landing.Identity("trip", "synthetic_fixture", service, period), landing.local_file(path), landing.validate_parquet, a.command))
     if a.zones:
@@ -261,6 +272,13 @@ def main(argv: list[str] | None = None) -> int:
         return int(any(r["state"] == "rejected" for r in results))
     from quaystone.runtime import session
 
+    if a.command == "slice":
+        from quaystone.plans import slice as occurrence_slice
+
+        asked = [landing.Identity("trip", "synthetic_fixture", *f) for f, _ in files]
+        got = occurrence_slice.run(session(), store, a.warehouse, asked, "slice")
+        print(json.dumps(got, indent=2, sort_keys=True, default=str))
+        return int(not got["passed"])
     requested = list(dict.fromkeys([f for f, _ in files] + [inventory.parse_artifact(x) for x in a.artifact]))
     report = gated_run(Lake(session(), a.landing, a.warehouse), requested, a.scratch)
     raw = document_bytes(report)

@@ -87,3 +87,19 @@ def unique_schemas(schemas: dict[str, list[tuple[str, str]]]) -> dict[str, list[
     for period, columns in sorted(schemas.items()):
         out.setdefault(scan.schema_fingerprint(columns), []).append(period)
     return out
+
+
+def local_inventory(files: list[tuple[tuple[str, str], str]]) -> dict:
+    """Footers, schema fingerprints and schema changes of local files, given as ((service, period), path); no rows are read."""
+    import pyarrow.parquet as pq
+
+    out: dict = {"files": [], "services": {}}
+    schemas: dict[str, dict[str, list[tuple[str, str]]]] = {}
+    for (service, period), path in sorted(files):
+        columns = [(f.name, str(f.type)) for f in pq.read_schema(path)]
+        schemas.setdefault(service, {})[period] = columns
+        out["files"].append({"period": period, "schema_fingerprint": scan.schema_fingerprint(columns), "service": service, **scan.footer(path)})
+    for service, by_period in schemas.items():
+        rows = [f["rows"] for f in out["files"] if f["service"] == service]
+        out["services"][service] = {"changes": first_and_last(by_period), "files": len(rows), "rows": sum(rows), "unique_schemas": len(unique_schemas(by_period))}
+    return out

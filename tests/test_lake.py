@@ -181,9 +181,49 @@ def test_rebuild_root_is_guarded(tmp_path):
 def test_cli(tmp_path, capsys):
     assert pipeline.main(["contracts"]) == 0 and "yellow" in json.loads(capsys.readouterr().out)
     f = write_trips(tmp_path / "a.parquet", 1)
+    assert pipeline.main(["inventory", "--file", f"yellow:2024-01={f}", "--file", f"yellow:2024-02={write_trips(tmp_path / 'b.parquet', 2, current=True)}"]) == 0
+    got = json.loads(capsys.readouterr().out)
+    assert got["services"]["yellow"]["rows"] == 800 and got["services"]["yellow"]["changes"]["first_to_last"]["added"] == ["Airport_fee"]
     assert pipeline.main(["land", "--landing", str(tmp_path / "l"), "--file", f"yellow:2024-01={f}"]) == 0
 
 
+def test_occurrence_slice(spark, tmp_path):
+    from quaystone.plans.slice import Occurrences, executor_hosts, run
+
+    store = landing.Store(tmp_path / "s")
+    ids = [landing.Identity("trip", "synthetic_fixture", "yellow", p) for p in ("2024-01", "2024-02")]
+    for i, month in zip(ids, (1, 2), strict=True):
+        assert store.acquire(i, landing.local_file(write_trips(tmp_path / f"{month}.parquet", month)), landing.validate_parquet, RUN)["state"] == "published"
+    report = run(spark, store, tmp_path / "w", ids, RUN)
+    assert report["passed"] and [a["state"] for a in report["artifacts"]] == ["appended", "appended"], report
+    t = Occurrences(spark, tmp_path / "w", "yellow")
+    assert t.versions() == {a["version_id"] for a in report["artifacts"]} and t.read().count() == 800
+    with pytest.raises(ValueError):
+        t.read("x' OR 1=1")
+    with pytest.raises(ValueError):
+        t.ingest(tmp_path / "1.parquet", {"version_id": "0" * 64, "completeness": "bounded_sample"}, RUN)
+    assert executor_hosts(spark, 2)
+
+
+def test_two_writers(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    log, df = TableLog(tmp_path / "t"), spark.range(50).selectExpr("id", "'p' p")
+    with ThreadPoolExecutor(4) as pool:
+        states = [f.result()["state"] for f in [pool.submit(TableLog(tmp_path / "t").append, df, k, ["p"]) for k in ("a", "b", "a", "c")]]
+    assert sorted(states) == ["appended"] * 3 + ["replayed"] and log.version() == 2 and log.read(spark).count() == 150 and not log.missing_files()
+
+
+def test_samples_need_recorded_hashes(spark, tmp_path):
+    lake = pipeline.Lake(spark, tmp_path / "l", tmp_path / "w", "bounded_sample")
+    f = write_trips(tmp_path / "a.parquet", 1)
+    with pytest.raises(ValueError):
+        lake.land("yellow", "2024-01", f, RUN)
+    assert lake.land("yellow", "2024-01", f, RUN, recorded={("yellow", "2024-01"): "0" * 64})["state"] == "rejected"
+    assert lake.land("yellow", "2024-01", f, RUN, recorded={("yellow", "2024-01"): landing.sha256_file(f)})["state"] == "published"
+    spark.conf.unset("spark.sql.caseSensitive")
+
+
 def test_measure(spark):
     df = spark.createDataFrame([(1, "a", None), (2, "b", datetime(2024, 1, 1, 0, 0, 0, 1))], "k int, t string, at timestamp_ntz")
     other = spark.createDataFrame([(1, "a", None), (2, "b", datetime(2024, 1, 1, 0, 0, 0, 2))], "k int, t string, at timestamp_ntz")
