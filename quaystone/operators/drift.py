@@ -17,17 +17,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quaystone.operators.schema_tree import RANK, edit_script, leaves, parse_schema, same_field, words
-from quaystone.runtime import pick
+from quaystone.runtime import pick, settle
 
 #: Spellings up to which the plan of the consistent table is built; they are columns, so their number is that of a schema.
 MAX_SPELLINGS = 20_000
 
 
 def file_schemas(records: DataFrame, file: str, payload: str) -> DataFrame:
-    """(file, schema): the merged schema of each file's payloads that parse."""
+    """(file, schema): the merged schema of each file's payloads that parse, null where none does; one pass over the rows."""
     v = pick(records, [file, payload], [file, "_payload"]).select(file, F.expr("try_parse_json(_payload)").alias("v"))
-    objects = v.where(F.expr("schema_of_variant(v) like 'OBJECT<%'"))
-    return objects.groupBy(file).agg(F.expr("schema_of_variant_agg(v)").alias("schema"))
+    objects = F.expr("schema_of_variant_agg(case when schema_of_variant(v) like 'OBJECT<%' then v end)")
+    return v.groupBy(file).agg(objects.alias("schema")).withColumn("schema", F.when(F.col("schema").startswith("OBJECT<"), F.col("schema")))
 
 
 def chained(files: DataFrame, feed: list[str], at: str, file: str, columns: list[str]) -> DataFrame:
@@ -102,9 +102,8 @@ def changes(records: DataFrame, files: DataFrame, file: str, payload: str, feed:
     Scripts decide what is added, removed and renamed. Kinds are compared over the whole chain, under any spelling, with
     the last earlier file that told one.
     """
-    schemas = file_schemas(records, file, payload)
-    known = pick(files, [file, *feed, at]).distinct().join(pick(records, [file]).distinct(), file)
-    chain = chained(known.join(schemas, file, "left"), feed, at, file, ["schema"])
+    known = pick(files, [file, *feed, at]).distinct().join(file_schemas(records, file, payload), file)
+    chain = settle(chained(known, feed, at, file, ["schema"]), "schemas")  # one row per file; all that follows reads it
     ops = edit_scripts(chain, file)
     moved = ops.where("op in ('rename', 'move')").select(file, F.col("to_path").alias("field_name"), F.lit("renamed").alias("change_kind"))
     lone = ops.where("op in ('add', 'delete')").select(file, F.col("path").alias("field_name"), F.when(F.col("op") == "add", "added").otherwise("removed").alias("change_kind"))
