@@ -114,6 +114,7 @@ def table_diff(left: DataFrame, right: DataFrame, keys: list[str], only_left: st
                 if (mask := _differs(a[c], b[c])).any():
                     at = np.flatnonzero(mask)
                     emit(a.take(at), label, *((pc.cast(t[c].take(at), pa.string()) for t in (a, b)) if values else ()))
-        return pa.concat_tables(out)
+        found = pa.concat_tables(out)
+        return _unique(found).select(found.column_names)  # a key stands in one bucket, so this is distinct over all
 
     return sides[0].cogroup(sides[1]).applyInArrow(compare, schema)

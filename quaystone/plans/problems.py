@@ -94,8 +94,8 @@ def p5_report(spark: SparkSession, d: str) -> DataFrame:
 
 def p5_keys(spark: SparkSession, d: str) -> DataFrame:
     """Zones that are referred to and do not exist now, with their signed reference counts."""
-    once = _references(spark, d).dropDuplicates(["table_name", *ROW, "field_name"])
-    refs = references.apply_deltas(None, once, ["table_name", "ref_key"], "refs")
+    single = _references(spark, d).select("table_name", *ROW, "field_name", "ref_key", "delta").distinct()
+    refs = references.apply_deltas(None, single, ["table_name", "ref_key"], "refs")
     alive = references.apply_deltas(None, _zone_deltas(spark, d), ["ref_key"], "existing")
     return references.orphan_keys(refs, alive, ["table_name", "ref_key"])
 
