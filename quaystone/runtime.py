@@ -75,6 +75,12 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """A scan with at least four partitions per core, for long work per row; larger scans have them already and stay as they are."""
+    want = 4 * df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= want else df.repartition(want, key)
+
+
 def computed(df: DataFrame, **columns: Column) -> DataFrame:
     """df with further columns that are computed once, however often later expressions name them.
 
