@@ -142,6 +142,16 @@ QUERIES = {f.__name__: f for f in (p1_found, p1_table, p1_scripts, p2_found, p2_
 
 _CHAIN = """chain AS (SELECT source_file_version_id AS f, lag(source_file_version_id) OVER (PARTITION BY feed_id ORDER BY published_at_utc, source_file_version_id) AS p
   FROM (SELECT DISTINCT source_file_version_id, feed_id, published_at_utc FROM artifact_manifest WHERE artifact_kind = 'trip' AND source_file_version_id IN (SELECT source_file_version_id FROM yellow_trip)))"""
+# The spellings of the test tables, for the SQL alone; the operator finds them by itself.
+_SPELLINGS = {
+    "airport_fee": "airport-fee airportFee airport_fee Airport_fee arprt_fee fee_airport",
+    "cbd_congestion_fee": "cbd_congestion_fee CBD_Congestion_Fee cbdCongestionFee cbd_cong_fee congestion_fee_cbd",
+    "passenger_count": "count_passenger Passenger+Count passenger_cnt PassengerCount passenger_count psgr_count",
+    "trip_distance": "distance_trip trip_dist trip_distance TripDistance",
+    "payment_type": "payment_type Payment_Type pmt_type type_payment",
+    "vendor_id": "id_vendor Vendor+ID VendorID vendorId vendor_id VENDORID vndr_id",
+}
+_NAMES = ", ".join(f"('{s.replace('+', ' ')}', '{n}')" for n, group in _SPELLINGS.items() for s in group.split())
 _ORPHANS = """WITH refs AS (
   SELECT DISTINCT 'yellow_trip' AS table_name, source_file_version_id, source_row_ordinal, source_period, ingested_at_utc, pulocationid, dolocationid FROM yellow_trip
   UNION ALL SELECT DISTINCT 'hvfhv_trip', source_file_version_id, source_row_ordinal, source_period, ingested_at_utc, pulocationid, dolocationid FROM hvfhv_trip
@@ -157,6 +167,18 @@ _ORPHANS = """WITH refs AS (
 _CELLS = ["source_period", "pickup_datetime", "dropoff_datetime", "passenger_count", "trip_distance", "pickup_location_id", "dropoff_location_id", "payment_type", "fare_amount", "tip_amount", "total_amount", "store_and_fwd_flag", "pickup_zone_name"]
 _LEVELED = ("trip_distance", "fare_amount", "total_amount")
 ORACLE = {
+    "p1_found": f"""WITH names(k, n) AS (VALUES {_NAMES}),
+r AS (SELECT source_file_version_id AS f, payload FROM raw_record WHERE json_valid(payload) AND json_type(payload) = 'OBJECT'),
+t AS (SELECT f, k, max(CASE json_type(payload, '$."' || k || '"') WHEN 'NULL' THEN 0 WHEN 'BIGINT' THEN 1 WHEN 'UBIGINT' THEN 1 WHEN 'DOUBLE' THEN 2 ELSE 3 END) AS y FROM (SELECT f, payload, unnest(json_keys(payload)) AS k FROM r) GROUP BY f, k),
+c AS (SELECT f, t.k, y, coalesce(n, t.k) AS n FROM t LEFT JOIN names ON t.k = names.k),
+m AS (SELECT DISTINCT source_file_version_id AS f, feed_id, published_at_utc AS pub FROM artifact_manifest WHERE artifact_kind = 'raw' AND source_file_version_id IN (SELECT source_file_version_id FROM raw_record)),
+chain AS (SELECT *, lag(f) OVER (PARTITION BY feed_id ORDER BY pub, f) AS p FROM m),
+b AS (SELECT chain.f, k, n FROM chain JOIN c ON c.f = chain.p),
+came AS (SELECT c.f, c.k, c.n FROM c JOIN chain ON c.f = chain.f AND p IS NOT NULL ANTI JOIN b ON b.f = c.f AND b.k = c.k),
+gone AS (SELECT * FROM b ANTI JOIN c ON c.f = b.f AND c.k = b.k)
+SELECT f AS source_file_version_id, k AS field_name, CASE WHEN EXISTS (SELECT 1 FROM gone WHERE gone.f = came.f AND gone.n = came.n) THEN 'renamed' ELSE 'added' END AS change_kind FROM came
+UNION ALL SELECT f, k, 'removed' FROM gone WHERE NOT EXISTS (SELECT 1 FROM came WHERE gone.f = came.f AND gone.n = came.n)
+UNION ALL SELECT f, k, 'retyped' FROM (SELECT f, k, y, lag(y) OVER (PARTITION BY feed_id, n ORDER BY pub, f) AS before FROM c JOIN m USING (f) WHERE y > 0) WHERE y <> before""",
     "p2_found": f"""WITH y AS (SELECT DISTINCT source_file_version_id AS f, source_row_ordinal, fare_amount, pulocationid, source_period FROM yellow_trip), {_CHAIN},
 s AS (SELECT f, count(*) AS n, count(fare_amount) AS nf, count(pulocationid) AS np, count(source_period) AS ns, count(DISTINCT fare_amount) AS df, count(DISTINCT pulocationid) AS dp, median(fare_amount) AS mf,
   count_if(fare_amount < -500 OR fare_amount > 1500) AS xf, count_if(pulocationid < 1 OR pulocationid > 265) AS xp, count_if(NOT regexp_full_match(source_period, '[0-9]{{4}}-(0[1-9]|1[0-2])')) AS xs FROM y GROUP BY f),
