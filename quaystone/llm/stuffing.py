@@ -175,4 +175,4 @@ def filler_shares(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 def stuffed_pages(docs: DataFrame, key: str, text: str, share: float = 0.5) -> DataFrame:
     """(key) of the texts of which more than `share` of the words stand in filler."""
-    return filler_shares(docs, key, text).where(F.col("filler") > share).select(key)
+    return filler_shares(docs, key, text).where(F.col("filler") > share).select(key).distinct()
