@@ -7,6 +7,8 @@ import json
 import platform
 import shutil
 import sys
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import UTC, datetime
 from pathlib import Path
@@ -25,6 +27,16 @@ from quaystone.sources.tablelog import TableLog
 KINDS = ("trip", "quarantine", "incident")
 
 
+#: Versions written, or tables measured, at a time; each is a job of its own, and small ones leave cores idle.
+AT_ONCE = 4
+
+
+def together(call: Callable, items: list) -> list:
+    """The results of a call per item, in order, some at a time; the first error is raised once all have ended."""
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        return [f.result() for f in [pool.submit(call, x) for x in items]]
+
+
 @dataclass(frozen=True)
 class Planned:
     identity: landing.Identity
@@ -122,7 +134,7 @@ class Lake:
                     raise RuntimeError("planted failure")
                 states[kind] = self.table(contract, kind).append(df, f"{contract.service}:{kind}:{lineage['derivation_id']}", ["source_period"])["state"]
         finally:
-            rows.unpersist()
+            rows.unpersist(blocking=False)
         self._mark(p, lineage, "active")
         return {"action": "written", "derivation_id": lineage["derivation_id"], "published": n["published"], "quarantined": n["quarantined"], "tables": states}
 
@@ -146,8 +158,9 @@ class Lake:
         wanted = {self.identity(s, p).logical_id for s, p in requested}
         if left := self.catalog.missing(target, wanted):
             raise Conflict(f"the change also needs {', '.join(sorted(left))}")
-        planned, outcomes = self.plan(requested, contracts), []
-        for p in planned:
+        planned = self.plan(requested, contracts)
+
+        def apply(p: Planned) -> dict:
             contract = contracts[p.identity.service]
             derived = derivation_id(p.manifest["version_id"], contract.fingerprint(), zone_version)
             unread = any(v.rule == "unreadable_source_schema" for v in p.resolution.violations)
@@ -159,7 +172,9 @@ class Lake:
                 outcome = self.reject(p, contract, zone_version)
             else:
                 outcome = {"action": "unreadable" if unread else "superseded_not_published"}
-            outcomes.append({"logical_id": p.identity.logical_id, "version_id": p.manifest["version_id"], **outcome})
+            return {"logical_id": p.identity.logical_id, "version_id": p.manifest["version_id"], **outcome}
+
+        outcomes = together(apply, planned)
         settled = self.catalog.settle(target)
         decided = decide([Candidate(p.identity.logical_id, p.manifest["version_id"], p.manifest["published_at_utc"], tuple(f"{v.rule}:{v.column}" for v in p.resolution.violations)) for p in planned])
         events = self.catalog.reconcile(decided, run_id, datetime.now(UTC).isoformat())
@@ -173,17 +188,17 @@ class Lake:
         return self.table(contracts[service], kind).read(self.spark, keys)
 
     def measured(self, contracts: dict[str, Contract] = CONTRACTS) -> dict:
-        out = {}
-        for service, c in contracts.items():
-            for kind in KINDS:
-                log = self.table(c, kind)
-                if log.version() < 0:
-                    continue
-                if lost := log.missing_files():
-                    raise FileNotFoundError(f"{len(lost)} files of {service} {kind} are gone")
-                keys = ["incident_id"] if kind == "incident" else ["source_file_version_id", "source_row_ordinal"]
-                out[f"{service}.{kind}"] = measure.measure(self.read(service, kind, contracts), keys)
-        return out
+        """Every visible table measured; files that the log names and that are gone are an error."""
+
+        def one(item: tuple[str, str]) -> dict:
+            service, kind = item
+            if lost := self.table(contracts[service], kind).missing_files():
+                raise FileNotFoundError(f"{len(lost)} files of {service} {kind} are gone")
+            keys = ["incident_id"] if kind == "incident" else ["source_file_version_id", "source_row_ordinal"]
+            return measure.measure(self.read(service, kind, contracts), keys)
+
+        there = [(s, k) for s, c in contracts.items() for k in KINDS if self.table(c, k).version() >= 0]
+        return {f"{s}.{k}": m for (s, k), m in zip(there, together(one, there), strict=True)}
 
     def coverage(self, requested: list[tuple[str, str]]) -> dict:
         b = self.catalog.boundary()
