@@ -65,7 +65,7 @@ def forward_backward(m: Model, e: np.ndarray) -> np.ndarray:
     states, n, places = e.shape
     e = np.ascontiguousarray(e.transpose(2, 0, 1))  # place, state, sequence
     fwd, a = np.empty_like(e), m.transitions.T
-    now = np.full((states, n), 1 / states) * 0 + np.array([0.97, 0.01, 0.01, 0.01])[:, None]
+    now = np.repeat([[0.97], [0.01], [0.01], [0.01]], n, axis=1)
     for t in range(places):
         now = (now if t == 0 else a @ now) * e[t]
         now /= now.sum(axis=0)
