@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quaystone.operators.schema_tree import RANK, edit_script, leaves, parse_schema, same_field, words
-from quaystone.runtime import pick, settle
+from quaystone.runtime import pick, settle, spread
 
 #: Spellings up to which the plan of the consistent table is built; they are columns, so their number is that of a schema.
 MAX_SPELLINGS = 20_000
@@ -39,8 +39,11 @@ def chained(files: DataFrame, feed: list[str], at: str, file: str, columns: list
 def edit_scripts(pairs: DataFrame, file: str) -> DataFrame:
     """(file, op, path, to_path, from_kind, to_kind, cost): the cheapest script from the file before to each file.
 
-    pairs has file, schema and previous_schema; a pair is two schemas, whatever the files' size.
+    pairs has file, schema and previous_schema; a pair is two schemas, whatever the files' size. Pairs that differ in
+    nothing but the digits of their decimals need no script and stay in the JVM.
     """
+    kinds = lambda c: F.regexp_replace(c, r": DECIMAL\(\d+, ?\d+\)", ": DECIMAL")
+    pairs = pairs.where(~kinds("schema").eqNullSafe(kinds("previous_schema")))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -103,7 +106,7 @@ def changes(records: DataFrame, files: DataFrame, file: str, payload: str, feed:
     the last earlier file that told one.
     """
     known = pick(files, [file, *feed, at]).distinct().join(file_schemas(records, file, payload), file)
-    chain = settle(chained(known, feed, at, file, ["schema"]), "schemas")  # one row per file; all that follows reads it
+    chain = spread(settle(chained(known, feed, at, file, ["schema"]), "schemas"), file)  # one row per file; all that follows reads it
     ops = edit_scripts(chain, file)
     moved = ops.where("op in ('rename', 'move')").select(file, F.col("to_path").alias("field_name"), F.lit("renamed").alias("change_kind"))
     lone = ops.where("op in ('add', 'delete')").select(file, F.col("path").alias("field_name"), F.when(F.col("op") == "add", "added").otherwise("removed").alias("change_kind"))
