@@ -255,7 +255,7 @@ def test_whole_file_stuck_across_blocks(spark):
     assert len(_spikes(spark, [("f", i, 1, 3.0, 1.0) for i in range(700)])) == 700
 
 
-@pytest.mark.parametrize("name", ["p2_found", "p5_found", "p5_report", "p5_keys", "p6_found", "p7_found"])
+@pytest.mark.parametrize("name", ["p1_found", "p2_found", "p5_found", "p5_report", "p5_keys", "p6_found", "p7_found"])
 def test_problem_sql(spark, name):
     from tests.test_queries import same_as_sql
 
