@@ -145,6 +145,12 @@ def test_p9_equals_brute_force(spark):
     assert {tuple(r) for r in queries.p9_found(spark, SF).collect()} == want
 
 
+def test_p9_sql(spark):
+    from tests.test_queries import same_as_sql
+
+    same_as_sql(spark, queries, "p9_found")
+
+
 def test_words_of_any_writing():
     plain = "the quick fee of 12 coins was ﬁne"
     for text in (plain.upper(), "the <b>qu</b>ick fee&nbsp;of １２ coins; was fine!", "the qu­ick​ fee of 12 co⁠ins was\r\n fine", "The—quick_fee…of 12 (coins) was &#102;ine"):
