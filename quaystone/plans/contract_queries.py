@@ -204,6 +204,16 @@ def ordinal_alignment(spark, d):
     return measure.alignment(sides[0], sides[1], "k", ["payment_type", "store_and_fwd_flag"])
 
 
+def row_alignment(spark, d):
+    """As ordinal_alignment, over every column but the key."""
+    sides = []
+    for name in ("published_trip", "rebuilt_trip"):
+        t = table(spark, d, name)
+        k = F.concat_ws(":", "source_file_version_id", F.lpad(F.col("source_row_ordinal").cast("string"), 12, "0"))
+        sides.append(t.select(k.alias("k"), *[c for c in t.columns if c not in KEY]).repartition("k").distinct())  # one shuffle serves the join too
+    return measure.alignment(sides[0], sides[1], "k", sides[0].columns[1:])
+
+
 def promotion_profile(spark, d):
     source = table(spark, d, "yellow_trip")
     got = resolve.resolve(YELLOW, resolve.of_struct(source.schema)).promotions()
@@ -293,7 +303,7 @@ QUERIES = {
     for f in (
         occurrence_scan, dense_ordinals, schema_profile, schema_diff, schema_fingerprint, bounded_sample, version_filter, distinct_versions, contract_project, rule_flags, guarded_promotion, local_date_hour, local_time_flags,
         zone_dimension, zone_validation, zone_join, zone_key_unknown, contracted_rows, quarantine_rows, row_incidents, incident_ids, incident_summary, row_conservation, derivation_id, quality_metrics_yellow, quality_metrics_hvfhv,
-        table_totals, additive_digest, sorted_digest, key_digest, metric_compare, ordinal_alignment, promotion_profile, version_selection, ledger_state, ledger_reconcile, published_view, coverage, coverage_summary,
+        table_totals, additive_digest, sorted_digest, key_digest, metric_compare, ordinal_alignment, row_alignment, promotion_profile, version_selection, ledger_state, ledger_reconcile, published_view, coverage, coverage_summary,
         inventory_rollup, event_counts, schema_change_history, zone_hour_demand, fare_day, dimensional_dates,
     )
 }
@@ -335,6 +345,8 @@ _ACTIVE = "SELECT logical_id, arg_max(source_file_version_id, struct_pack(a := p
 _METRICS = "SELECT unnest(['row_count', 'fares', 'fare_cents', 'derivations']) AS metric, unnest([count(*), count(fare_amount), CAST(sum(CAST(round(fare_amount * 100) AS BIGINT)) AS BIGINT), count(DISTINCT derivation_id)]) AS value FROM "
 _FOLD = "sha256(string_agg({x}, chr(10) ORDER BY {x}))"
 _NULLS = lambda t, cs: " UNION ALL ".join(f"SELECT '{t}' AS service, source_period, '{c}' AS column_name FROM {t} WHERE {c} IS NOT NULL AND regexp_full_match(source_period, '[0-9]{{4}}-(0[1-9]|1[0-2])')" for c in cs)
+_ORDINAL_KEY = "source_file_version_id || ':' || lpad(CAST(source_row_ordinal AS VARCHAR), 12, '0')"
+_VALUES = ["derivation_id", "source_period", "pickup_datetime", "dropoff_datetime", "passenger_count", "trip_distance", "pickup_location_id", "dropoff_location_id", "payment_type", "fare_amount", "tip_amount", "total_amount", "store_and_fwd_flag", "pickup_zone_name"]
 
 ORACLE = {
     "occurrence_scan": "SELECT event_id, row_number() OVER () - 1 AS source_row_ordinal FROM events",
@@ -369,6 +381,7 @@ ORACLE = {
     "key_digest": f"SELECT count(*) AS distinct_keys, CAST(sum(CAST('0x' || substr(sha256(CAST(to_json({{source_file_version_id: source_file_version_id, source_row_ordinal: source_row_ordinal}}) AS VARCHAR)), 1, 15) AS HUGEINT)) AS VARCHAR) AS digest FROM (SELECT DISTINCT {_K} FROM published_trip)",
     "metric_compare": f"SELECT metric, a.value AS left_value, b.value AS right_value, a.value IS NOT DISTINCT FROM b.value AS matches FROM ({_METRICS} published_trip) a FULL JOIN ({_METRICS} rebuilt_trip) b USING (metric)",
     "ordinal_alignment": "WITH s AS (SELECT *, source_file_version_id || ':' || lpad(CAST(source_row_ordinal AS VARCHAR), 12, '0') AS k FROM published_trip), t AS (SELECT *, source_file_version_id || ':' || lpad(CAST(source_row_ordinal AS VARCHAR), 12, '0') AS k FROM rebuilt_trip), j AS (SELECT * FROM (SELECT DISTINCT k, payment_type AS p, store_and_fwd_flag AS f, 1 AS l FROM s) FULL JOIN (SELECT DISTINCT k, payment_type AS p2, store_and_fwd_flag AS f2, 1 AS r FROM t) USING (k)) SELECT count(l) AS left_rows, count(r) AS right_rows, min(CASE WHEN l IS NULL OR r IS NULL OR p IS DISTINCT FROM p2 OR f IS DISTINCT FROM f2 THEN k END) AS first_mismatch, count(l) = count(r) AND count(l) > 0 AND count_if(l IS NULL OR r IS NULL OR p IS DISTINCT FROM p2 OR f IS DISTINCT FROM f2) = 0 AS aligned FROM j",
+    "row_alignment": f"WITH s AS (SELECT DISTINCT {_ORDINAL_KEY} AS k, {', '.join(f'{c} AS a_{c}' for c in _VALUES)}, 1 AS l FROM published_trip), t AS (SELECT DISTINCT {_ORDINAL_KEY} AS k, {', '.join(f'{c} AS b_{c}' for c in _VALUES)}, 1 AS r FROM rebuilt_trip), j AS (SELECT *, l IS NULL OR r IS NULL OR {' OR '.join(f'a_{c} IS DISTINCT FROM b_{c}' for c in _VALUES)} AS x FROM s FULL JOIN t USING (k)) SELECT count(l) AS left_rows, count(r) AS right_rows, min(CASE WHEN x THEN k END) AS first_mismatch, count(l) = count(r) AND count(l) > 0 AND count_if(x) = 0 AS aligned FROM j",
     "promotion_profile": "SELECT 'identity' AS promotion, CAST(20 AS BIGINT) AS columns",
     "version_selection": f"SELECT o_custkey, o_orderkey, {_DECIDE} FROM orders",
     "ledger_state": "WITH e AS (SELECT event_id, user_id, event_id % 50 AS version, event_id % 3 = 0 AS act FROM events), o AS (SELECT user_id, max(event_id) AS on_id FROM e WHERE act GROUP BY user_id), v AS (SELECT user_id, on_id, on_id % 50 AS version FROM o), f AS (SELECT user_id, version, max(event_id) AS off_id FROM e WHERE NOT act GROUP BY ALL) SELECT u.user_id, CASE WHEN off_id IS NULL OR off_id < on_id THEN v.version END AS active_version FROM (SELECT DISTINCT user_id FROM e) u LEFT JOIN v USING (user_id) LEFT JOIN f ON f.user_id = v.user_id AND f.version = v.version",
