@@ -10,7 +10,7 @@ null rate and distinct count; the first load of a feed is compared with nothing;
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quaystone.operators import ranks
@@ -20,13 +20,19 @@ from quaystone.runtime import once, pick, settle
 MONTH = r"^[0-9]{4}-(0[1-9]|1[0-2])\z"
 
 
+def _number(rows: DataFrame, column: str) -> Column:
+    """A column as a number: times as microseconds, which a double holds exactly for 285 years either way of 1970."""
+    c = F.col("`" + column + "`")
+    return (F.unix_micros(c.cast("timestamp")) if rows.schema[column].dataType.typeName().startswith("timestamp") else c).cast("double")
+
+
 class Profile:
     """Profiles of `numbers` and `texts` columns of each load."""
 
     def __init__(self, rows: DataFrame, key: list[str], load: str, numbers: list[str], texts: list[str]):
         self.load, self.group = load, [load, "column_name"]
         rows = once(pick(rows, list(dict.fromkeys([*key, load, *numbers, *texts]))), key)
-        cells = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("number"), F.lit(None).cast("string").alias("text")) for c in numbers]
+        cells = [F.struct(F.lit(c).alias("column_name"), _number(rows, c).alias("number"), F.lit(None).cast("string").alias("text")) for c in numbers]
         cells += [F.struct(F.lit(c).alias("column_name"), F.lit(None).cast("double").alias("number"), F.col(c).alias("text")) for c in texts]
         long = rows.select(load, F.explode(F.array(*cells)).alias("x")).select(load, "x.*")
         self.counts = settle(long.groupBy(*self.group, "number", "text").agg(F.count("*").alias("n")), "profile")
@@ -91,13 +97,15 @@ def findings(rows: DataFrame, files: DataFrame, key: list[str], load: str, feed:
     return s.select(load, "column_name", F.explode(named).alias("finding"))
 
 
-def profile(rows: DataFrame, files: DataFrame, key: list[str], load: str, feed: list[str], at: str, numbers: list[str], texts: list[str]) -> DataFrame:
-    """The profile of each column of each load: counts, range, exact quartiles and the distance from the load before."""
+def profile(rows: DataFrame, files: DataFrame, key: list[str], load: str, feed: list[str], at: str, numbers: list[str], texts: list[str], ranges: dict | None = None, patterns: dict | None = None) -> DataFrame:
+    """The profile of each column of each load: counts, range, values outside `ranges` and off `patterns`, exact quartiles and the distance from the load before."""
     p = Profile(rows, key, load, numbers, texts)
-    s = p.basics({}, {})
+    s = p.basics(ranges or {}, patterns or {})
+    for count, given in (("outside", ranges), ("broken", patterns)):  # null where nothing is expected of the column
+        s = s.withColumn(count, F.when(F.col("column_name").isin(list(given or {})), F.col(count)))
     chain = chained(files.join(s.select(load).distinct(), load, "left_semi"), feed, at, load, [])
     r = settle(p.ranks(), "ranks")
     q = ranks.quantiles(r, p.group, "number", {"q25": 0.25, "median": 0.5, "q75": 0.75}).select(*p.group, "q25", "median", "q75")
     before = s.select(*p.group).join(chain.where("previous_file is not null").select(load, F.col("previous_file").alias(f"previous_{load}")), load)
     ks = ranks.ks_distances(r, p.group, "number", before, [load])
-    return s.drop("outside", "broken").join(q, p.group, "left").join(ks, p.group, "left")
+    return s.join(q, p.group, "left").join(ks, p.group, "left")

@@ -39,19 +39,26 @@ def p1_scripts(spark: SparkSession, d: str) -> DataFrame:
 # 2 ------------------------------------------------------------------------------------------------------------------
 
 
+RANGES, PATTERNS = {"pulocationid": (1, 265), "fare_amount": (-500, 1500)}, {"source_period": profile.MONTH}
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     """Columns of yellow files that break their form or depart from the file before."""
     return profile.findings(
         table(spark, d, "yellow_trip"), _files(spark, d, "trip"), ROW, FILE, ["feed_id"], "published_at_utc",
-        ranges={"pulocationid": (1, 265), "fare_amount": (-500, 1500)}, patterns={"source_period": profile.MONTH}, nulls=["fare_amount", "pulocationid", "source_period"],
+        ranges=RANGES, patterns=PATTERNS, nulls=["fare_amount", "pulocationid", "source_period"],
         distincts=["fare_amount", "pulocationid"], medians=["fare_amount"], shares=["pulocationid"],
     )
 
 
 def p2_profile(spark: SparkSession, d: str) -> DataFrame:
-    """Rates, ranges, quartiles and Kolmogorov-Smirnov distances of every measure and code of the yellow files."""
-    numbers = [c for c, t in table(spark, d, "yellow_trip").dtypes if t in ("double", "bigint") and c not in ("source_row_ordinal", "feed_id")]
-    return profile.profile(table(spark, d, "yellow_trip"), _files(spark, d, "trip"), ROW, FILE, ["feed_id"], "published_at_utc", numbers, ["source_period", "store_and_fwd_flag"])
+    """Rates, ranges, violations, quartiles and Kolmogorov-Smirnov distances of every column of the yellow files but the row's key; times in microseconds."""
+    trips = table(spark, d, "yellow_trip")
+    texts = [c for c, t in trips.dtypes if t == "string" and c not in ROW]
+    return profile.profile(
+        trips, _files(spark, d, "trip"), ROW, FILE, ["feed_id"], "published_at_utc", [c for c in trips.columns if c not in (*ROW, *texts)], texts,
+        ranges=RANGES, patterns=PATTERNS,
+    )
 
 
 # 3 ------------------------------------------------------------------------------------------------------------------

@@ -1,10 +1,10 @@
 """What speaks for whole rows sees every column."""
 
-from datetime import datetime, timedelta
+from datetime import UTC, datetime, timedelta
 
 import pytest
 
-from quaystone.plans import contract_queries
+from quaystone.plans import contract_queries, problems
 
 SCHEMA = "source_file_version_id string, source_row_ordinal bigint, derivation_id string, source_period string, pickup_datetime timestamp_ntz, dropoff_datetime timestamp_ntz, passenger_count double, trip_distance double, pickup_location_id bigint, dropoff_location_id bigint, payment_type bigint, fare_amount double, tip_amount double, total_amount double, store_and_fwd_flag string, pickup_zone_name string"
 COLUMNS = [c.split()[0] for c in SCHEMA.split(", ")]
@@ -35,3 +35,24 @@ def test_alignment_sees_every_column(spark, tmp_path, column):
 def test_alignment_of_equal_copies(spark, tmp_path):
     got = contract_queries.row_alignment(spark, saved(spark, tmp_path, published_trip=ROWS, rebuilt_trip=[*ROWS[::-1], ROWS[0]])).first()
     assert got["aligned"] and got["first_mismatch"] is None
+
+
+YELLOW = "source_file_version_id string, source_row_ordinal bigint, feed_id bigint, source_period string, ingested_at_utc timestamp, tpep_pickup_datetime timestamp_ntz, tpep_dropoff_datetime timestamp_ntz, pulocationid bigint, fare_amount double"
+
+
+def test_profile_of_every_column(spark, tmp_path):
+    taken = datetime(2024, 4, 1, tzinfo=UTC)
+    at = [AT + timedelta(microseconds=i) for i in range(4)]
+    rows = [(f, i, 9, "2024-3" if i == 3 else "2024-03", taken, None if i == 0 else at[i] + timedelta(days=k), at[i], 999 if i < 2 else 5, None if i == 2 else 10.0 - 600 * i) for k, f in enumerate("ab") for i in range(4)]
+    spark.createDataFrame([*rows, rows[0]], YELLOW).coalesce(1).write.parquet(f"{tmp_path}/yellow_trip.parquet")
+    files = [(f, 9, "trip", taken + timedelta(days=k)) for k, f in enumerate("ab")]
+    spark.createDataFrame(files, "source_file_version_id string, feed_id bigint, artifact_kind string, published_at_utc timestamp").coalesce(1).write.parquet(f"{tmp_path}/artifact_manifest.parquet")
+    got = {(r["source_file_version_id"], r["column_name"]): r for r in problems.p2_profile(spark, str(tmp_path)).collect()}
+    assert {c for _, c in got} == {c.split()[0] for c in YELLOW.split(", ")[2:]}
+    micros = lambda t: int((t - datetime(1970, 1, 1)).total_seconds()) * 1_000_000 + t.microsecond
+    up = got["a", "tpep_pickup_datetime"]
+    assert (up["rows"], up["nulls"], up["distinct_values"], up["low"], up["median"], up["high"], up["ks"]) == (4, 1, 3, micros(at[1]), micros(at[2]), micros(at[3]), None)
+    assert got["b", "tpep_pickup_datetime"]["ks"] == 1 and got["b", "tpep_dropoff_datetime"]["ks"] == 0
+    assert got["a", "feed_id"]["low"] == 9 and got["a", "ingested_at_utc"]["low"] == micros(taken.replace(tzinfo=None))
+    assert got["a", "pulocationid"]["outside"] == 2 and got["a", "fare_amount"]["outside"] == 2 and got["a", "source_period"]["broken"] == 1
+    assert up["outside"] is None and up["broken"] is None
