@@ -1,10 +1,13 @@
 """What speaks for whole rows sees every column."""
 
+import hashlib
+import json
+from collections import Counter
 from datetime import UTC, datetime, timedelta
 
 import pytest
 
-from quaystone.plans import contract_queries, problems
+from quaystone.plans import contract_queries, problems, row_digests
 
 SCHEMA = "source_file_version_id string, source_row_ordinal bigint, derivation_id string, source_period string, pickup_datetime timestamp_ntz, dropoff_datetime timestamp_ntz, passenger_count double, trip_distance double, pickup_location_id bigint, dropoff_location_id bigint, payment_type bigint, fare_amount double, tip_amount double, total_amount double, store_and_fwd_flag string, pickup_zone_name string"
 COLUMNS = [c.split()[0] for c in SCHEMA.split(", ")]
@@ -37,6 +40,33 @@ def test_alignment_of_equal_copies(spark, tmp_path):
     assert got["aligned"] and got["first_mismatch"] is None
 
 
+def sha(text: str) -> str:
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def digests(rows: list[tuple]) -> list[tuple]:
+    """Both digests in plain Python."""
+    plain = lambda x: round((x - datetime(1970, 1, 1)) / timedelta(microseconds=1)) if isinstance(x, datetime) else x
+    hashes = [sha(json.dumps({c: plain(x) for c, x in sorted(zip(COLUMNS, r, strict=True))}, separators=(",", ":"), ensure_ascii=False)) for r in rows]
+    folds = {h: str(n) for h, n in Counter(hashes).items()}
+    for width in (4, 2, 0):
+        parts: dict[str, list[str]] = {}
+        for k, v in folds.items():
+            parts.setdefault(k[:width], []).append(f"{k}:{v}")
+        folds = {k: sha("\n".join(sorted(v))) for k, v in parts.items()}
+    return [(len(rows), str(sum(int(h[:15], 16) for h in hashes))), (len(rows), folds[""])]
+
+
+def test_row_digests_see_every_column(spark, tmp_path):
+    seen = set()
+    for name, rows in {"": ROWS, "twice": [*ROWS, ROWS[0]], **{c: changed(c) for c in COLUMNS}}.items():
+        d = saved(spark, tmp_path / f"at_{name}", published_trip=rows)
+        got = [tuple(f(spark, d).first()) for f in row_digests.QUERIES.values()]
+        assert got == digests(rows), name
+        seen.update(got)
+    assert len(seen) == 2 * (len(COLUMNS) + 2)
+
+
 YELLOW = "source_file_version_id string, source_row_ordinal bigint, feed_id bigint, source_period string, ingested_at_utc timestamp, tpep_pickup_datetime timestamp_ntz, tpep_dropoff_datetime timestamp_ntz, pulocationid bigint, fare_amount double"
 
 
