@@ -1,10 +1,10 @@
 """Pages of repeated keywords, links and tags instead of sentences.
 
 A page is read as units: lines, and sentences within lines. A suffix automaton over the page's words (run-together words are
-taken apart) finds every maximal substring that occurs again, and gives the share of each unit's characters that such
+taken apart; of scripts without spaces, over their characters, where only whole words and repeats of four or more count) finds every maximal substring that occurs again, and gives the share of each unit's characters that such
 substrings cover. A unit has clause structure if grammar words tie it together, or if it is closed like a sentence and
-repeats little; a unit without it is filler when it is a link, a list of short items, made of the page's few stuffed words,
-or mostly covered by repeats. A page is reported when more than half of its words stand in filler.
+repeats little; a unit without it is filler when it is a link, a list of short items (repeated or not), one of many short lines
+on end, made of the page's few stuffed words and repeated, or mostly covered by repeats. A page is reported when more than half of its words stand in filler.
 
 Defined results: null, empty and blank texts are not reported; a text without any word or link has a share of 0; the share
 is of the whole text, however long; repeated documents are each reported.
@@ -37,15 +37,22 @@ LINK = re.compile(r"""(?:https?:|\bhref=["']?)?//[^\s"'<>)\]]+|\bwww\.[^\s"'<>)\
 TAG = re.compile(r"<[^<>]*>")
 BLOCK = re.compile(r"</?(?:address|article|aside|blockquote|br|d[dlt]|div|footer|form|h[1-6r]|header|li|main|nav|ol|option|p|pre|section|t[dhr]|table|ul)\b", re.I)
 PART = re.compile(r"[A-ZÀ-Þ]?[a-zß-ÿ]+|[0-9]+[a-z]?(?![a-z])|[A-ZÀ-Þ]+(?![a-zß-ÿ])|[^\W_]+")
+#: Scripts without spaces: kana, Han, Thai, Lao, Burmese, Khmer. A repeat of so many of their characters counts.
+UNSPACED = re.compile("[\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff]")
+LEAST = 4
+#: So many short lines on end are filler without repeats.
+MANY = 12
 TOKEN = re.compile(r"[^\W_]+")
 ITEMS = re.compile(r"\s*(?:[|,;•·»]|\s/\s|\s-\s)\s*")
 SENTENCE = re.compile(r"(?<=[.!?…。！？])[\"'”’)\]]*\s+")
 CLOSED = re.compile(r"[.!?…。！？][\"'”’)\]]*\s*$")
 
 
-def repeats(symbols: list[int]) -> bytearray:
+def repeats(symbols: list[int], least: list[int] | None = None) -> bytearray:
     """1 at each position of a sequence that lies in a substring which occurs at least twice.
 
+    least: by position, the length from which a repeat that ends there counts.
+
     The suffix automaton's states, visited from long to short, know how often their substrings occur; feeding the sequence
     again, the longest suffix at each position that occurs twice or more is a maximal repeat and covers its positions.
     """
@@ -89,7 +96,7 @@ def repeats(symbols: list[int]) -> bytearray:
         t = s
         while t > 0 and count[t] < 2:
             t = link[t]
-        ends.append(length[t] if t > 0 else 0)
+        ends.append(length[t] if t > 0 and (least is None or length[t] >= least[len(ends)]) else 0)
     for i in range(n - 1, -1, -1):  # the nearest start to the left that some repeat ending here or later reaches
         if ends[i]:
             reach = min(reach, i - ends[i] + 1)
@@ -112,31 +119,46 @@ def filler_share(text: str | None) -> tuple[float, float]:
     shown = LINK.sub(" \x00 ", text)
     shown = TAG.sub(lambda m: " \x00 " if "\x00" in m[0] else "\n" if BLOCK.match(m[0]) else " ", shown) if "<" in shown else shown
     lines = [x for x in shown.replace("\r", "\n").split("\n") if x.strip()]
-    units: list[tuple[str, int, int, list[str]]] = []  # text, line, links, parts
+    units: list[tuple[str, int, int, list[str], int]] = []  # text, line, links, parts, symbols
     ids: dict[str, int] = {}
     symbols: list[int] = []
     widths: list[int] = []
+    least: list[int] = []
+    spans: dict[str, list[int]] = {}  # where words of scripts without spaces begin
     for k, line in enumerate(lines):
         for u in SENTENCE.split(line):
             parts = _parts(u)
             links = u.count("\x00")
             if parts or links:
-                units.append((u, k, links, parts))
+                began = len(symbols)
                 for p in parts:
-                    symbols.append(ids.setdefault(p, len(ids)))
-                    widths.append(len(p))
+                    if p in spans:
+                        spans[p].append(len(symbols))
+                    elif UNSPACED.search(p):
+                        spans[p] = [len(symbols)]
+                    apart = p in spans
+                    for x in p if apart else (p,):
+                        symbols.append(ids.setdefault(x, len(ids)))
+                        widths.append(len(x))
+                        least.append(LEAST if apart else 1)
+                units.append((u, k, links, parts, len(symbols) - began))
                 symbols.append(-len(symbols) - 1)  # a mark that occurs once parts the units
                 widths.append(0)
-    covered = repeats(symbols)
-    often = Counter(p for _, _, _, parts in units for p in parts)
+                least.append(1)
+    covered = repeats(symbols, least)
+    for p, begins in spans.items():
+        for b in begins if len(begins) > 1 else ():  # a whole word that occurs again counts, however short
+            covered[b : b + len(p)] = b"\x01" * len(p)
+    often = Counter(p for _, _, _, parts, _ in units for p in parts)
     total = sum(often.values())
     stuffed = {p for p, c in often.items() if c >= 4 and c >= 0.02 * total}
-    at, judged = 0, []  # words, filler or not (None: a short line, judged with its neighbours), characters, covered ones, line
-    for u, k, links, parts in units:
+    at, judged = 0, []  # words, filler or not (None: a short line, judged with its neighbours), characters, covered ones, grammar words
+    for u, k, links, parts, m in units:
         n = len(parts)
-        span = sum(widths[at : at + n])
-        rep = sum(w for w, c in zip(widths[at : at + n], covered[at : at + n], strict=True) if c)
-        at += n + 1
+        size = (n + m) / 2  # two characters of a script without spaces count as a word
+        span = sum(widths[at : at + m])
+        rep = sum(w for w, c in zip(widths[at : at + m], covered[at : at + m], strict=True) if c)
+        at += m + 1
         ties = {p for p in parts if p in TIES}
         bound = sum(p in TIES for p in parts)
         closed, distinct = bool(CLOSED.search(u)), len(set(parts))
@@ -146,17 +168,19 @@ def filler_share(text: str | None) -> tuple[float, float]:
         few = n > 0 and sum(p in stuffed for p in parts) >= 0.85 * n and not (n >= 6 and distinct >= 0.7 * n and len(ties) >= 2)
         same = n >= 8 and distinct <= 0.4 * n and rep >= 0.8 * span
         clause = (bound >= 1 and bound >= 0.12 * n and n >= 3) or (closed and n >= 5 and rep < 0.5 * span and distinct >= 0.8 * n)
-        is_filler = linked or same or ((listed or few or not clause) and bool(rep >= 0.35 * span or links))
+        # unlike items: grammar words part them from a sentence, a full stop does not if they are many
+        tags = listed and size <= 4.5 * len(items) and not (bound >= 1 and bound >= 0.12 * n) and (not closed or (len(items) >= 8 and size <= 3 * len(items)))
+        is_filler = linked or same or tags or ((listed or few or not clause) and bool(rep >= 0.35 * span or links))
         short = not is_filler and not closed and 0 < n <= 4 and not links
-        judged.append((n + links, None if short else is_filler, span, rep))
+        judged.append((n + links, None if short else is_filler, span, rep, bound if size <= 4 else n))
     words = filler = chars = hit = 0
     run: list[tuple] = []
-    for n, is_filler, span, rep in [*judged, (0, False, 0, 0)]:
+    for n, is_filler, span, rep, bound in [*judged, (0, False, 0, 0, 0)]:
         words, chars, hit = words + n, chars + span, hit + rep
         if is_filler is None or (is_filler and n <= 4):
-            run.append((n, is_filler, span, rep))
+            run.append((n, is_filler, span, rep, bound))
             continue
-        whole = len(run) >= 4 and sum(r[3] for r in run) >= 0.35 * sum(r[2] for r in run)
+        whole = (len(run) >= 4 and sum(r[3] for r in run) >= 0.35 * sum(r[2] for r in run)) or (len(run) >= MANY and sum(r[4] for r in run) < 0.12 * sum(r[0] for r in run))
         filler += sum(r[0] for r in run if whole or r[1]) + (n if is_filler else 0)
         run = []
     return filler / words if words else 0.0, hit / chars if chars else 0.0
