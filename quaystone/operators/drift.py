@@ -1,33 +1,62 @@
 """Schemas that drift between the files of a feed: one tree per file, edit scripts between files, one consistent table.
 
 The tree of a file is merged from its payloads by an aggregate with partial results, so a file of any size moves one small
-schema per task. Files are chained by a window over file metadata alone.
+schema per task. Files are chained by a window over file metadata alone. Trees are parsed once per distinct schema and
+scripts found once per distinct pair of schemas, however many files share them.
 
-Defined results: a payload that is null, cut off, no object, or repeats a key is passed over; a key with null counts as
-present; whole numbers beyond 64 bits count as decimal; mixed kinds of a field are text; a feed's first file has no
-changes; files of equal time are ordered by id; an empty table gives no changes.
+Fields are classes of paths: the renames and moves of all scripts link paths, and so do spellings across feeds and gaps, but
+two paths that stand in one schema are never one field. From the classes each distinct schema gets its projection, the path
+of each column in it, and every row is read through the projection of its file.
+
+Defined results: a payload that is null, cut off, no object, or repeats a key is passed over by changes and scripts and listed
+with its reason by `rejected`; a key with null counts as present; whole numbers beyond 64 bits count as decimal and keep
+their digits in the table; mixed kinds of a field are text; a feed's first file has no changes; files of equal time are
+ordered by id; rows delivered twice come once; an empty table gives no changes. A top-level name with a point is one name.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quaystone.operators.schema_tree import RANK, edit_script, leaves, parse_schema, same_field, words
-from quaystone.runtime import pick, settle, spread
+from quaystone.operators.schema_tree import NESTED, RANK, Node, edit_script, nodes, parse_schema, path_text, same_field, variant_path, words
+from quaystone.runtime import bounded, pick, settle, ship
+
+#: Fields that become columns of the consistent table, those of most schemas first; the others are kept in a map.
+MOST_COLUMNS = 2_000
+#: Paths up to which the classes of spellings are found in one block.
+ONE_BLOCK = 2_000
+#: Digits that a double holds for certain.
+SAFE_DIGITS = 15
+
+
+def _parsed(records: DataFrame, columns: list[str], payload: str) -> DataFrame:
+    """columns, and the payload as text and as `v`."""
+    labels = [f"_k{i}" for i in range(len(columns))]
+    return pick(records, [*columns, payload], [*labels, "_payload"]).select(*[F.col(x).alias(c) for x, c in zip(labels, columns, strict=True)], "_payload", F.expr("try_parse_json(_payload)").alias("v"))
 
-#: Spellings up to which the plan of the consistent table is built; they are columns, so their number is that of a schema.
-MAX_SPELLINGS = 20_000
+
+IS_OBJECT = "schema_of_variant(v) like 'OBJECT<%'"
 
 
 def file_schemas(records: DataFrame, file: str, payload: str) -> DataFrame:
-    """(file, schema): the merged schema of each file's payloads that parse, null where none does; one pass over the rows."""
-    v = pick(records, [file, payload], [file, "_payload"]).select(file, F.expr("try_parse_json(_payload)").alias("v"))
-    objects = F.expr("schema_of_variant_agg(case when schema_of_variant(v) like 'OBJECT<%' then v end)")
-    return v.groupBy(file).agg(objects.alias("schema")).withColumn("schema", F.when(F.col("schema").startswith("OBJECT<"), F.col("schema")))
+    """(file, schema, long_numbers): the merged schema of each file's payloads that parse, null where none does, and whether
+    any of its numbers may have more digits than a double holds; one pass over the rows."""
+    v = _parsed(records, [file], payload)
+    objects = F.expr(f"schema_of_variant_agg(case when {IS_OBJECT} then v end)")
+    far = F.coalesce(F.max(F.col("_payload").rlike(f"[0-9][0-9.]{{{SAFE_DIGITS},}}")), F.lit(False))
+    return v.groupBy(file).agg(objects.alias("schema"), far.alias("long_numbers")).withColumn("schema", F.when(F.col("schema").startswith("OBJECT<"), F.col("schema")))
+
+
+def rejected(records: DataFrame, keys: list[str], payload: str) -> DataFrame:
+    """(keys..., reason) of the rows whose payload is no JSON object: `null`, `no_json` (cut off, or a key repeated) or `no_object`."""
+    v = _parsed(records, keys, payload)
+    reason = F.when(F.col("_payload").isNull(), "null").when(F.col("v").isNull(), "no_json").when(~F.expr(IS_OBJECT), "no_object")
+    return v.select(*keys, reason.alias("reason")).where("reason is not null").distinct()
 
 
 def chained(files: DataFrame, feed: list[str], at: str, file: str, columns: list[str]) -> DataFrame:
@@ -36,67 +65,146 @@ def chained(files: DataFrame, feed: list[str], at: str, file: str, columns: list
     return files.select("*", F.lag(file).over(w).alias("previous_file"), F.row_number().over(w).alias("position"), *[F.lag(c).over(w).alias(f"previous_{c}") for c in columns])
 
 
-def edit_scripts(pairs: DataFrame, file: str) -> DataFrame:
-    """(file, op, path, to_path, from_kind, to_kind, cost): the cheapest script from the file before to each file.
+def shape(schema: Column) -> Column:
+    """A schema without the digits of its decimals; files of one shape share their tree."""
+    return F.coalesce(F.regexp_replace(schema, r": DECIMAL\(\d+, ?\d+\)", ": DECIMAL"), F.lit("OBJECT<>"))
 
-    pairs has file, schema and previous_schema; a pair is two schemas, whatever the files' size. Pairs that differ in
-    nothing but the digits of their decimals need no script and stay in the JVM.
-    """
-    kinds = lambda c: F.regexp_replace(c, r": DECIMAL\(\d+, ?\d+\)", ": DECIMAL")
-    pairs = pairs.where(~kinds("schema").eqNullSafe(kinds("previous_schema")))
+
+def pair_scripts(pairs: DataFrame) -> DataFrame:
+    """(previous_shape, shape, op, path, to_path, from_kind, to_kind, cost) of each distinct pair of unlike shapes; paths are arrays."""
+    ship(pairs.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
-            for f, new, old in zip(b[file], b["schema"], b["previous_schema"], strict=True):
+            for old, new in zip(b["previous_shape"], b["shape"], strict=True):
                 cost, ops = edit_script(parse_schema(old), parse_schema(new))
-                rows += [(f, o["op"], o["path"], o.get("to_path"), o.get("from"), o.get("to"), cost) for o in ops]
-            yield pd.DataFrame(rows, columns=[file, "op", "path", "to_path", "from_kind", "to_kind", "cost"])
+                rows += [(old, new, o["op"], list(o["path"]), list(o["to_path"]) if "to_path" in o else None, o.get("from"), o.get("to"), cost) for o in ops]
+            yield pd.DataFrame(rows, columns=["previous_shape", "shape", "op", "path", "to_path", "from_kind", "to_kind", "cost"])
+
+    unlike = pairs.where("previous_shape <> shape").select("previous_shape", "shape").distinct()
+    return unlike.mapInPandas(run, "previous_shape string, shape string, op string, path array<string>, to_path array<string>, from_kind string, to_kind string, cost double")
+
+
+def _as_text(path: str) -> Column:
+    """A path array as schema_tree.path_text has it."""
+    escaped = F.transform(F.col(path), lambda n: F.replace(F.replace(n, F.lit("\\"), F.lit("\\\\")), F.lit("."), F.lit("\\.")))
+    return F.when(F.size(path) == 1, F.col(path)[0]).when(F.col(path).isNotNull(), F.array_join(escaped, "."))
 
-    return pairs.where("previous_file is not null").select(file, "schema", "previous_schema").mapInPandas(run, f"`{file}` {dict(pairs.dtypes)[file]}, op string, path string, to_path string, from_kind string, to_kind string, cost double")
+
+def edit_scripts(chain: DataFrame, file: str) -> DataFrame:
+    """(file, op, path, to_path, from_kind, to_kind, cost): the cheapest script from the file before to each file.
+
+    chain has file, previous_file, schema and previous_schema, one row per file.
+    """
+    pairs = chain.where("previous_file is not null").select(file, shape(F.col("previous_schema")).alias("previous_shape"), shape(F.col("schema")).alias("shape"))
+    side, _ = bounded(settle(pair_scripts(pairs), "scripts"))
+    return pairs.join(side, ["previous_shape", "shape"]).select(file, "op", _as_text("path").alias("path"), _as_text("to_path").alias("to_path"), "from_kind", "to_kind", "cost")
 
 
-def field_kinds(schemas: DataFrame, file: str) -> DataFrame:
-    """(file, path, kind) of every node of each file's tree."""
+def shape_nodes(shapes: DataFrame) -> DataFrame:
+    """(shape, path, kind, leaf) of every node of each distinct shape's tree; what lies within arrays is left out."""
+    ship(shapes.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = [(f, p, k) for f, s in zip(b[file], b["schema"], strict=True) for p, k in leaves(parse_schema(s)).items()]
-            yield pd.DataFrame(rows, columns=[file, "path", "kind"])
+            rows = [(s, list(p), n.kind, is_leaf(n)) for s in b["shape"] for p, n in nodes(parse_schema(s)).items() if "[]" not in p]
+            yield pd.DataFrame(rows, columns=["shape", "path", "kind", "leaf"])
+
+    return shapes.select("shape").distinct().mapInPandas(run, "shape string, path array<string>, kind string, leaf boolean")
+
+
+def is_leaf(n: Node) -> bool:
+    """Whether a node is a column of its own: anything but an object with members."""
+    return n.kind != "object" or not n.children
 
-    return schemas.select(file, "schema").mapInPandas(run, f"`{file}` {dict(schemas.dtypes)[file]}, path string, kind string")
 
+def _initials(name: str) -> str:
+    return "".join(sorted(w[0] for w in words(name)))
 
-def spelling_classes(paths: DataFrame) -> DataFrame:
-    """(path, field): one field id for all spellings of a field; paths holds distinct paths.
 
-    Spellings are compared only within blocks of equal word initials, which no way of spelling changes; names whose
-    letters are equal when run together share a block through their most divided spelling.
+def _blocks(names: DataFrame) -> DataFrame:
+    """(name, block): names that may spell one field share a block; `name` is distinct.
+
+    A block is the initials of a name's words, which no way of spelling changes; a name run together takes the block of the
+    divided name it spells.
     """
+    initials = F.pandas_udf(lambda names: names.map(_initials), "string")
+    letters = F.pandas_udf(lambda names: names.map(lambda n: "".join(words(n))), "string")
+    parts = F.pandas_udf(lambda names: names.map(lambda n: len(words(n))), "int")
 
-    def initials(names: pd.Series) -> pd.Series:
-        return names.map(lambda p: "".join(sorted(w[0] for w in words(p.rpartition(".")[2]))) + "/" + p.rpartition(".")[0])
+    def spelled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield b[[same_field(x, y) for x, y in zip(b["name"], b["other"], strict=True)]][["name", "other_block"]]
 
-    def joined(names: pd.Series) -> pd.Series:
-        return names.map(lambda p: "".join(words(p.rpartition(".")[2])) + "/" + p.rpartition(".")[0])
+    names = settle(names.select("name", initials("name").alias("block"), letters("name").alias("letters"), parts("name").alias("parts")), "names")
+    widest = names.groupBy("letters").agg(F.max(F.struct(F.length("block"), "block")).alias("b")).select("letters", F.col("b.block").alias("wide"))
+    names = names.join(widest, "letters")
+    lone = names.where("parts = 1 and length(wide) = 1").select("name", F.substring("block", 1, 1).alias("first"))
+    more = names.where("parts between 2 and 4").select(F.col("name").alias("other"), F.col("wide").alias("other_block"), F.explode(F.array_distinct(F.split("block", ""))).alias("first"))
+    runs = lone.join(more, "first").select("name", "other", "other_block").mapInPandas(spelled, "name string, other_block string").groupBy("name").agg(F.min("other_block").alias("run"))
+    return names.join(runs, "name", "left").select("name", F.coalesce("run", "wide").alias("block"))
 
-    initials, joined = F.pandas_udf(initials, "string"), F.pandas_udf(joined, "string")
-    named = paths.select("path", joined("path").alias("letters"), initials("path").alias("block"))
-    widest = F.max_by("block", F.struct(F.length("block"), "block"))
-    named = named.join(named.groupBy("letters").agg(widest.alias("b")), "letters")
 
-    def group(b: pd.DataFrame) -> pd.DataFrame:
-        names, ids = sorted(b["path"]), {}
-        for n in names:  # transitive: a name joins every class it spells and makes them one
-            near = sorted({ids[m] for m in ids if same_field(n.rpartition(".")[2], m.rpartition(".")[2])})
-            own = near[0] if near else n
-            ids[n] = own
-            for m in ids:
-                if ids[m] in near:
-                    ids[m] = own
-        return pd.DataFrame({"path": names, "field": [ids[n] for n in names]})
+def field_classes(paths: DataFrame, links: DataFrame) -> DataFrame:
+    """(path, field): one field for all spellings of a path; paths has (path, shape), links (path, to_path) of the scripts.
 
-    return named.select("path", "b").groupBy("b").applyInPandas(group, "path string, field string")
+    Two paths of one shape are never one field. Links of the scripts go first, then names of equal letters or words, then
+    shortened ones. A vocabulary of at most ONE_BLOCK paths is one block; a larger one is cut by `_blocks` of the last names,
+    which part no two spellings of a field, so the classes are the same.
+    """
+    ship(paths.sparkSession)
+    left = paths.groupBy("path").agg(F.collect_set(F.xxhash64("shape")).alias("shapes")).withColumn("name", F.element_at("path", -1))
+    right = links.distinct().withColumn("name", F.element_at("path", -1))
+    if paths.select("path").distinct().limit(ONE_BLOCK + 1).count() <= ONE_BLOCK:
+        left, right = left.withColumn("block", F.lit("")), right.withColumn("link_block", F.lit(""))
+    else:
+        blocks = _blocks(left.select("name").distinct())
+        left, right = left.join(blocks, "name"), right.join(blocks.select("name", F.col("block").alias("link_block")), "name")
+
+    def group(p: pd.DataFrame, k: pd.DataFrame) -> pd.DataFrame:
+        at = {tuple(x): set(s) for x, s in zip(p["path"], p["shapes"], strict=True)}
+        order = sorted(at, key=lambda x: (-len(at[x]), x))
+        of, members = {x: x for x in order}, {x: [x] for x in order}
+
+        def unite(x: tuple, y: tuple) -> None:
+            a, b = sorted((of[x], of[y]), key=order.index)
+            if a != b and not at[a] & at[b]:
+                at[a] |= at.pop(b)
+                for m in members[b]:
+                    of[m] = a
+                members[a] += members.pop(b)
+
+        for x, y in sorted((tuple(x), tuple(y)) for x, y in zip(k["from_path"], k["to_path"], strict=True)):
+            if x in of and y in of:
+                unite(x, y)
+        for form in (lambda n: "".join(words(n)), lambda n: " ".join(sorted(words(n)))):
+            first: dict[tuple, tuple] = {}
+            for x in order:
+                unite(first.setdefault(tuple(map(form, x)), x), x)
+        heads = [(x, _initials(x[-1])) for x in order if x in members]
+        for i, (x, a) in enumerate(heads):
+            for y, b in heads[i + 1 :]:
+                if (a == b or len(a) == 1 or len(b) == 1) and len(x) == len(y) and of[x] != of[y] and all(map(same_field, x, y)):
+                    unite(x, y)
+        return pd.DataFrame({"path": [list(x) for x in order], "field": [list(of[x]) for x in order]})
+
+    left, right = left.select("block", "path", "shapes"), right.select("link_block", F.col("path").alias("from_path"), "to_path")
+    return left.groupBy("block").cogroup(right.groupBy("link_block")).applyInPandas(group, "path array<string>, field array<string>")
+
+
+class Drift:
+    """What the files of a table of payloads have in common: chain, scripts, nodes of distinct shapes, field classes."""
+
+    def __init__(self, records: DataFrame, files: DataFrame, file: str, payload: str, feed: list[str], at: str):
+        self.file, self.feed = file, feed
+        known = pick(files, [file, *feed, at]).distinct().join(file_schemas(records, file, payload), file)
+        chain = chained(known, feed, at, file, ["schema"])
+        self.chain = settle(chain.select("*", shape(F.col("schema")).alias("shape"), shape(F.col("previous_schema")).alias("previous_shape")), "schemas")  # one row per file; all that follows reads it
+        self.scripts = settle(pair_scripts(self.chain.where("previous_file is not null")), "scripts")
+        self.nodes = settle(shape_nodes(self.chain), "nodes")
+        links = self.scripts.where("op in ('rename', 'move')").select("path", "to_path")
+        self.fields = settle(field_classes(self.nodes.select("path", "shape"), links), "fields")
 
 
 def changes(records: DataFrame, files: DataFrame, file: str, payload: str, feed: list[str], at: str) -> DataFrame:
@@ -105,46 +213,91 @@ def changes(records: DataFrame, files: DataFrame, file: str, payload: str, feed:
     Scripts decide what is added, removed and renamed. Kinds are compared over the whole chain, under any spelling, with
     the last earlier file that told one.
     """
-    known = pick(files, [file, *feed, at]).distinct().join(file_schemas(records, file, payload), file)
-    chain = spread(settle(chained(known, feed, at, file, ["schema"]), "schemas"), file)  # one row per file; all that follows reads it
-    ops = edit_scripts(chain, file)
-    moved = ops.where("op in ('rename', 'move')").select(file, F.col("to_path").alias("field_name"), F.lit("renamed").alias("change_kind"))
-    lone = ops.where("op in ('add', 'delete')").select(file, F.col("path").alias("field_name"), F.when(F.col("op") == "add", "added").otherwise("removed").alias("change_kind"))
-    kinds = field_kinds(chain.where("schema is not null"), file)
-    fields = spelling_classes(kinds.select("path").distinct())
-    told = kinds.where("kind <> 'null'").join(fields, "path").join(chain.select(file, *feed, "position"), file)
+    d = Drift(records, files, file, payload, feed, at)
+    how = F.when(F.col("op").isin("rename", "move"), "renamed").when(F.col("op") == "add", "added").when(F.col("op") == "delete", "removed")
+    side, _ = bounded(d.scripts.select("previous_shape", "shape", F.coalesce("to_path", "path").alias("p"), how.alias("change_kind")).where("change_kind is not null"))
+    moved = d.chain.where("previous_file is not null").select(file, "previous_shape", "shape").join(side, ["previous_shape", "shape"]).select(file, _as_text("p").alias("field_name"), "change_kind")
     rank = F.coalesce(*[F.when(F.col("kind") == k, F.lit(r)) for k, r in RANK.items()], F.lit(RANK["text"] + 1))
-    widest = told.withColumn("r", rank).groupBy(*feed, "field", file, "position").agg(F.max(F.struct("r", "kind")).alias("k"), F.max_by("path", "r").alias("path"))
+    told, _ = bounded(d.nodes.where("kind <> 'null'").join(d.fields, "path").groupBy("shape", "field").agg(F.max(F.struct(rank.alias("r"), "kind")).alias("k"), F.max_by("path", rank).alias("path")))
+    seen = d.chain.select(file, *feed, "position", "shape").join(told, "shape")
     w = Window.partitionBy(*feed, "field").orderBy("position")
-    retyped = widest.withColumn("before", F.lag("k.kind").over(w)).where("before <> k.kind").select(file, F.col("path").alias("field_name"), F.lit("retyped").alias("change_kind"))
-    return moved.unionByName(lone).unionByName(retyped).distinct()
+    retyped = seen.withColumn("before", F.lag("k.kind").over(w)).where("before <> k.kind").select(file, _as_text("path").alias("field_name"), F.lit("retyped").alias("change_kind"))
+    return moved.unionByName(retyped).distinct()
 
 
-def consistent_table(records: DataFrame, file: str, payload: str, keys: list[str]) -> DataFrame:
-    """All payloads as one table: a column per field under its plainest spelling, in its widest type.
+def _types(raw: DataFrame) -> DataFrame:
+    """(path, kind, digits, scale, far): of each distinct leaf path the widest kind, and what its decimals need where long
+    numbers occur; raw has (schema, long_numbers), distinct."""
 
-    The classes of spellings are the columns of the result, so they are the plan and come to the driver, checked against
-    MAX_SPELLINGS; beyond it the schema itself would be no table any more and the call fails.
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = []
+            for schema, far in zip(b["schema"], b["long_numbers"], strict=True):
+                for p, n in nodes(parse_schema(schema)).items():
+                    if "[]" not in p and is_leaf(n):
+                        m = re.fullmatch(r"DECIMAL\((\d+), ?(\d+)\)", n.note)
+                        digits, scale = (int(m[1]), int(m[2])) if m else (0, 0)
+                        rank = RANK["text"] if n.kind in (*NESTED, "boolean") else RANK[n.kind]
+                        rows.append((list(p), rank, digits - scale, scale, bool(far and digits > SAFE_DIGITS), bool(far and n.note in ("DOUBLE", "FLOAT"))))
+            yield pd.DataFrame(rows, columns=["path", "r", "whole", "scale", "wide", "lost"])
+
+    got = raw.mapInPandas(run, "path array<string>, r int, whole int, scale int, wide boolean, lost boolean")
+    return got.groupBy("path").agg(F.max("r").alias("r"), F.max("whole").alias("whole"), F.max("scale").alias("scale"), F.max("wide").alias("wide"), F.max("lost").alias("lost"))
+
+
+def consistent_table(records: DataFrame, files: DataFrame, file: str, payload: str, keys: list[str], feed: list[str], at: str) -> DataFrame:
+    """All payloads as one table: a column per field under its plainest spelling, in its widest type (the longest in
+    words, then the one of most files), nested fields under the names of their path; `more_fields` maps the text paths of fields beyond MOST_COLUMNS to their values as JSON
+    (of keys with both kinds of quotes, which no path can name, to the object that holds them).
+
+    Decimals are doubles unless a file holds numbers longer than a double's digits, where they are exact decimals, or text
+    beyond 38 digits. The columns are the plan of the result and come to the driver, at most MOST_COLUMNS; the projection
+    of each distinct schema is put together by the executors and joined to the rows by file.
     """
-    kinds = field_kinds(file_schemas(records, file, payload), file).where("path not like '%.%'")
-    fields = spelling_classes(kinds.select("path").distinct())
-    rank = F.coalesce(*[F.when(F.col("kind") == k, F.lit(r)) for k, r in RANK.items()], F.lit(RANK["text"]))
-    rows = kinds.groupBy("path").agg(F.max(rank).alias("r"), F.count("*").alias("n")).join(fields, "path").limit(MAX_SPELLINGS + 1).collect()
-    if len(rows) > MAX_SPELLINGS:
-        raise ValueError(f"more than {MAX_SPELLINGS} spellings: not one table")
-    classes: dict[str, list] = {}
-    for r in sorted(rows, key=lambda r: (-r["n"], r["path"])):
-        classes.setdefault(r["field"], []).append(r)
-    columns, taken = [], set(k.lower() for k in keys)
-    for members in sorted(classes.values(), key=lambda m: min(x["path"].lower() for x in m)):
-        label = min(("_".join(words(m["path"])) for m in members), key=lambda x: -len(x))
-        while label.lower() in taken:
-            label += "_"
-        taken.add(label.lower())
-        kind = {0: "string", 1: "bigint", 2: "double"}.get(max(m["r"] for m in members), "string")
-        texts = []
-        for m in members:
-            name = m["path"].replace("\\", "\\\\").replace("'", "\\'").replace('"', '\\"')
-            texts.append(F.expr(f"try_variant_get(v, '$[\"{name}\"]', '{kind}')"))
-        columns.append(F.coalesce(*texts).alias(label))
-    return pick(records, [*keys, payload], [*keys, "_payload"]).select(*keys, F.expr("try_parse_json(_payload)").alias("v")).where(F.expr("schema_of_variant(v) like 'OBJECT<%'")).select(*keys, *columns).dropDuplicates(keys)
+    d = Drift(records, files, file, payload, feed, at)
+    leaf = d.nodes.where("leaf").select("shape", "path").join(d.fields, "path")
+    files_of = leaf.join(d.chain.groupBy("shape").agg(F.count("*").alias("n")), "shape").groupBy("path", "field").agg(F.sum("n").alias("n"))
+    types = _types(d.chain.where("schema is not null").select("schema", "long_numbers").distinct())
+    by_path = settle(files_of.join(types, "path"), "types")
+    label = F.pandas_udf(lambda paths: paths.map(lambda p: "_".join("_".join(words(n)) for n in p)), "string")
+    tops = by_path.withColumn("label", label("path")).groupBy("field").agg(
+        F.max("r").alias("r"), F.max("whole").alias("whole"), F.max("scale").alias("scale"), F.max("wide").alias("wide"), F.max("lost").alias("lost"), F.sum("n").alias("n"),
+        F.min(F.struct(-F.length("label"), -F.col("n"), "label")).alias("label"), F.min("path").alias("first"),
+    ).orderBy(F.desc("n"), "first").limit(MOST_COLUMNS)
+    fields, taken, columns = sorted(tops.collect(), key=lambda r: (r["label"]["label"], len(r["first"]), list(r["first"]))), {k.lower() for k in keys} | {"more_fields"}, []
+    for r in fields:
+        name = r["label"]["label"] or "field"
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        kind = {0: "string", 1: "bigint", 2: "double"}.get(r["r"], "string")
+        if kind == "double" and (r["wide"] or r["lost"]):
+            kind = f"decimal(38,{r['scale']})" if not r["lost"] and r["whole"] + r["scale"] <= 38 else "string"
+        columns.append((name, kind, list(r["field"])))
+    spark = records.sparkSession
+    places = spark.createDataFrame([(f, i) for i, (_, _, f) in enumerate(columns)], "field array<string>, place int")
+    inner = F.pandas_udf(lambda paths: paths.map(lambda p: variant_path(tuple(p))[0]), "string")
+    whole = F.pandas_udf(lambda paths: paths.map(lambda p: variant_path(tuple(p))[1]), "boolean")
+    at_place = leaf.join(F.broadcast(places), "field", "left").select("shape", F.when(whole("path"), F.col("place")).alias("place"), inner("path").alias("inner"), _as_text("path").alias("outer"))
+    projection = at_place.groupBy("shape").agg(
+        F.map_from_entries(F.collect_list(F.when(F.col("place").isNotNull(), F.struct("place", "inner")))).alias("m"), F.collect_list(F.when(F.col("place").isNull(), F.struct("outer", "inner"))).alias("others"),
+    ).select("shape", F.transform(F.sequence(F.lit(0), F.lit(max(len(columns) - 1, 0))), lambda i: F.col("m")[i]).alias("_at"), "others")
+    projection, _ = bounded(settle(projection, "projections"), 5_000)
+    of_file, _ = bounded(d.chain.select(F.col(file).alias("_file"), "shape"))
+    rows = _parsed(records, list(dict.fromkeys([*keys, file])), payload).where(F.expr(IS_OBJECT))
+    rows = rows.join(of_file, F.col(file) == F.col("_file")).join(projection, "shape")
+    out = []
+    for i, (name, kind, _) in enumerate(columns):
+        value = F.expr(f"try_variant_get(v, _at[{i}], '{kind}')")
+        if kind == "string" and fields[i]["lost"]:  # the parsed number is rounded; the text is not
+            value = F.coalesce(F.expr(f"""get_json_object(_payload, replace(replace(_at[{i}], '["', "['"), '"]', "']"))"""), value)
+        out.append(value.alias(name))
+    more = F.expr("map_filter(map_from_entries(transform(others, o -> struct(o.outer, cast(try_variant_get(v, o.inner, 'variant') as string)))), (k, x) -> x is not null)")
+    return rows.select(*keys, *out, more.alias("more_fields")).dropDuplicates([*keys, *[n for n, _, _ in columns]]) if columns else rows.select(*keys, more.alias("more_fields")).dropDuplicates(keys)
+
+
+def cells(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The consistent table as (keys..., field_name, value): one row for each value that is not null, as text."""
+    fields = [c for c in rows.columns if c not in (*keys, "more_fields")]
+    each = F.explode(F.array(*[F.struct(F.lit(c).alias("field_name"), F.col("`" + c + "`").cast("string").alias("value")) for c in fields])) if fields else F.explode(F.array().cast("array<struct<field_name:string,value:string>>"))
+    return rows.select(*keys, each.alias("x")).select(*keys, "x.*").where("value is not null")

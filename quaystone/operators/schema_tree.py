@@ -1,8 +1,10 @@
 """Nested schemas as trees, and the cheapest script that turns one into another.
 
 A node has a name and a kind (`text`, `decimal`, `integer`, `boolean`, `null`, `object`, `array`). Children have no order, so the
-distance is the constrained edit distance of unordered trees: the children of two nodes are matched at least cost, what
-stays unmatched is deleted or added whole, and equal leaves deleted here and added there become one move.
+distance is the constrained edit distance of unordered trees: the children of two nodes are matched at least cost, equal
+and respelled names alike. What stays unmatched is deleted and added, unless moving is cheaper: the unmatched subtrees, and
+then the nodes left within them, are matched at least cost with what came elsewhere. (With moves of any kind between any
+nodes the least script is intractable; this is the least one among scripts of that form.)
 """
 
 from __future__ import annotations
@@ -12,6 +14,8 @@ from dataclasses import dataclass, field
 
 ADD, DELETE, RENAME, MOVE, RETYPE = 1.0, 1.0, 0.5, 1.5, 0.25
 RANK = {"null": 0, "integer": 1, "decimal": 2, "text": 3}
+NESTED = ("object", "array")
+Path = tuple[str, ...]
 
 
 @dataclass(frozen=True)
@@ -19,6 +23,8 @@ class Node:
     name: str
     kind: str
     children: tuple[Node, ...] = field(default=())
+    #: the type's own text, with the digits of decimals
+    note: str = field(default="", compare=False)
 
     def size(self) -> int:
         return 1 + sum(c.size() for c in self.children)
@@ -59,7 +65,7 @@ def parse_schema(text: str | None) -> Node:
             return Node(name, "array", (item,))
         m = re.compile(r"[A-Za-z_ ]+(\([0-9, ]*\))?").match(text, at)
         at = m.end()
-        return Node(name, kind_of(m[0]))
+        return Node(name, kind_of(m[0]), (), m[0].strip().upper())
 
     return value("")
 
@@ -74,11 +80,15 @@ def words(name: str) -> tuple[str, ...]:
 
 
 def shortens(short: str, long: str) -> bool:
-    """Whether a word stands for a longer one: its beginning, or its first letter and some of its consonants in order."""
-    if len(short) >= len(long) or len(short) < 2 or short[0] != long[0]:
+    """Whether a word of three letters or more stands for a longer one: its beginning up to a consonant, or its first
+    letter and some of its consonants in order.
+
+    A beginning that ends in a vowel is a word of its own more often than a cut (`date` in `datetime`).
+    """
+    if len(short) >= len(long) or len(short) < 3 or short[0] != long[0]:
         return False
-    if len(short) >= 3 and long.startswith(short):
-        return True
+    if long.startswith(short):
+        return short[-1] not in "aeiou"
     rest = iter(long[1:])
     return not set(short[1:]) & set("aeiou") and all(c in rest for c in short[1:])
 
@@ -145,60 +155,114 @@ def _cheapest(costs: list[list[float]]) -> list[tuple[int, int]]:
     return [(i, j) for i, j in enumerate(of_left) if j >= 0]
 
 
+def _pairs(gain: dict[tuple[int, int], float]) -> list[tuple[int, int]]:
+    """The matching of greatest total gain; parts of the graph that share nothing are solved one by one."""
+    of: dict[tuple[str, int], set] = {}
+    for i, j in gain:
+        both = of.setdefault(("l", i), {("l", i)}) | of.setdefault(("r", j), {("r", j)})
+        for k in both:
+            of[k] = both
+    out = []
+    for part in {id(v): v for v in of.values()}.values():
+        left, right = sorted(i for s, i in part if s == "l"), sorted(j for s, j in part if s == "r")
+        if len(left) == len(right) == 1:
+            out.append((left[0], right[0]))
+            continue
+        costs = [[-gain[i, j] if (i, j) in gain else None for j in right] for i in left]
+        out += [(left[i], right[j]) for i, j in _cheapest(costs)]
+    return out
+
+
+def within(path: Path, node: Node) -> list[tuple[Path, Node]]:
+    """A node and all below it, with their paths."""
+    return [(path, node)] + [x for c in node.children for x in within((*path, c.name), c)]
+
+
 def edit_script(old: Node, new: Node, same=same_field) -> tuple[float, list[dict]]:
     """(cost, operations) of the cheapest script; an operation has op, path, and to_path or kinds where it needs them.
 
-    `same(a, b)` says whether two unequal names may be one node renamed; unrelated names are deleted and added.
+    `same(a, b)` says whether two unequal names may be one node renamed; unrelated names are deleted and added. Paths are
+    tuples of names. A subtree that is deleted or added is listed node by node.
     """
+    known: dict[tuple[str, str], bool] = {}
+
+    def alike(a: str, b: str) -> bool:
+        if a != b and (a, b) not in known:
+            known[a, b] = same(a, b)
+        return a == b or known[a, b]
 
-    def edit(a: Node, b: Node, path: str) -> tuple[float, list[dict]]:
-        cost, ops = 0.0, []
-        here = f"{path}.{b.name}" if path and b.name else path or b.name
-        if a.name != b.name:
-            cost += RENAME
-            ops.append({"op": "rename", "path": f"{path}.{a.name}" if path else a.name, "to_path": here})
+    def aligned(a: Node, b: Node, path: Path) -> tuple[float, list[dict], list, list]:
+        """Cost and operations of turning a into b, which stands at path, and what is left unmatched on either side."""
+        cost, ops, gone, came = 0.0, [], [], []
         if a.kind != b.kind:
             cost += RETYPE
-            ops.append({"op": "retype", "path": here, "from": a.kind, "to": b.kind})
-        mine, theirs = {c.name: c for c in a.children}, {c.name: c for c in b.children}
-        for name in mine.keys() & theirs.keys():  # an equal name is never dearer than a renamed one
-            c, o = edit(mine[name], theirs[name], here)
-            cost, ops = cost + c, ops + o
-        gone, came = [c for n, c in mine.items() if n not in theirs], [c for n, c in theirs.items() if n not in mine]
-        tries = [[edit(x, y, here) if same(x.name, y.name) else None for y in came] for x in gone]
-        costs = [[t and t[0] - DELETE * x.size() - ADD * y.size() for t, y in zip(row, came, strict=True)] for row, x in zip(tries, gone, strict=True)]
-        pairs = _cheapest(costs) if gone and came else []
+            ops.append({"op": "retype", "path": path[1], "from": a.kind, "to": b.kind})
+        byname = {c.name: j for j, c in enumerate(b.children)}
+        tries = {}
+        for i, x in enumerate(a.children):
+            for j, y in enumerate(b.children):
+                if x.name == y.name or (x.name not in byname and alike(x.name, y.name)) or (x.children and y.children and alike(x.name, y.name)):
+                    tries[i, j] = aligned(x, y, ((*path[0], x.name), (*path[1], y.name)))
+        price = {(i, j): t[0] + RENAME * (a.children[i].name != b.children[j].name) + DELETE * sum(n.size() for _, n in t[2]) + ADD * sum(n.size() for _, n in t[3]) for (i, j), t in tries.items()}
+        gain = {(i, j): DELETE * a.children[i].size() + ADD * b.children[j].size() - c for (i, j), c in price.items()}
+        pairs = _pairs({k: g for k, g in gain.items() if g > 0})
         for i, j in pairs:
-            cost, ops = cost + tries[i][j][0], ops + tries[i][j][1]
-        join = lambda n: f"{here}.{n}" if here else n
-        for i, x in enumerate(gone):
-            if i not in {p for p, _ in pairs}:
-                cost += DELETE * x.size()
-                ops.append({"op": "delete", "path": join(x.name), "node": x})
-        for j, y in enumerate(came):
-            if j not in {p for _, p in pairs}:
-                cost += ADD * y.size()
-                ops.append({"op": "add", "path": join(y.name), "node": y})
-        return cost, ops
-
-    cost, ops = edit(old, new, "")
-    for d in [o for o in ops if o["op"] == "delete"]:  # the same leaf under another parent has moved
-        for a in [o for o in ops if o["op"] == "add"]:
-            if d["node"] == a["node"] and d["path"].rpartition(".")[0] != a["path"].rpartition(".")[0]:
-                ops.remove(d)
-                ops.remove(a)
-                ops.append({"op": "move", "path": d["path"], "to_path": a["path"]})
-                cost += MOVE - (DELETE + ADD) * d["node"].size()
-                break
+            x, y, t = a.children[i], b.children[j], tries[i, j]
+            if x.name != y.name:
+                cost += RENAME
+                ops.append({"op": "rename", "path": (*path[0], x.name), "to_path": (*path[1], y.name)})
+            cost, ops, gone, came = cost + t[0], ops + t[1], gone + t[2], came + t[3]
+        left, right = {i for i, _ in pairs}, {j for _, j in pairs}
+        gone += [((*path[0], x.name), x) for i, x in enumerate(a.children) if i not in left]
+        came += [((*path[1], y.name), y) for j, y in enumerate(b.children) if j not in right]
+        return cost, ops, gone, came
+
+    cost, ops, gone, came = aligned(old, new, ((), ()))
+    for whole in (True, False):  # first subtrees that move, then the single nodes left in the others
+        if not whole:
+            gone = [(p, Node(n.name, n.kind)) for p, x in gone for p, n in within(p, x)]
+            came = [(p, Node(n.name, n.kind)) for p, x in came for p, n in within(p, x)]
+        moves = {}
+        for i, (p, x) in enumerate(gone):
+            for j, (q, y) in enumerate(came):
+                if p[:-1] != q[:-1] and bool(x.children) == whole and bool(y.children) == whole and (whole or (x.kind not in NESTED and y.kind not in NESTED)) and alike(x.name, y.name):
+                    c, o, g, n = aligned(x, y, (p, q))
+                    c += MOVE + RENAME * (x.name != y.name)
+                    saved = DELETE * (x.size() - sum(z.size() for _, z in g)) + ADD * (y.size() - sum(z.size() for _, z in n)) - c
+                    if saved > 0:
+                        moves[i, j] = saved, c, o, g, n
+        pairs = _pairs({k: m[0] for k, m in moves.items()})
+        for i, j in pairs:
+            _, c, o, g, n = moves[i, j]
+            cost += c
+            ops += [{"op": "move", "path": gone[i][0], "to_path": came[j][0]}, *o]
+            gone, came = gone + g, came + n
+        gone = [x for i, x in enumerate(gone) if i not in {i for i, _ in pairs}]
+        came = [y for j, y in enumerate(came) if j not in {j for _, j in pairs}]
+    cost += DELETE * len(gone) + ADD * len(came)
+    ops += [{"op": "delete", "path": p} for p, _ in gone] + [{"op": "add", "path": p} for p, _ in came]
     order = {"rename": 0, "move": 1, "delete": 2, "add": 3, "retype": 4}
-    return cost, [{k: v for k, v in o.items() if k != "node"} for o in sorted(ops, key=lambda o: (order[o["op"]], o["path"]))]
+    return cost, sorted(ops, key=lambda o: (order[o["op"]], o["path"]))
 
 
-def leaves(tree: Node, prefix: str = "") -> dict[str, str]:
-    """Path and kind of each node below the root."""
-    out = {}
-    for c in tree.children:
-        path = f"{prefix}.{c.name}" if prefix else c.name
-        out[path] = c.kind
-        out |= leaves(c, path)
-    return out
+def nodes(tree: Node, prefix: Path = ()) -> dict[Path, Node]:
+    """Path and node of everything below the root."""
+    return {p: n for c in tree.children for p, n in within((*prefix, c.name), c)}
+
+
+def path_text(path: Path) -> str:
+    """A path as text: a top-level name as it is, deeper ones joined by points, with the points in names escaped."""
+    return path[0] if len(path) == 1 else ".".join(n.replace("\\", "\\\\").replace(".", "\\.") for n in path)
+
+
+def variant_path(path: Path) -> tuple[str, bool]:
+    """A path of object keys in the syntax of variant_get, and whether it is the whole path.
+
+    That syntax has no escapes, so a key that holds both kinds of quotes cannot be named; the path then ends above it.
+    """
+    out = "$"
+    for n in path:
+        if '"' in n and "'" in n:
+            return out, False
+        out += f"['{n}']" if '"' in n else f'["{n}"]'
+    return out, True

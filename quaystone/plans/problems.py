@@ -26,7 +26,17 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p1_table(spark: SparkSession, d: str) -> DataFrame:
     """All raw payloads as one consistent table."""
-    return drift.consistent_table(table(spark, d, "raw_record"), FILE, "payload", ROW)
+    return drift.consistent_table(table(spark, d, "raw_record"), _files(spark, d, "raw"), FILE, "payload", ROW, ["feed_id"], "published_at_utc").drop("more_fields")
+
+
+def p1_cells(spark: SparkSession, d: str) -> DataFrame:
+    """The consistent table value by value."""
+    return drift.cells(p1_table(spark, d), ROW)
+
+
+def p1_rejected(spark: SparkSession, d: str) -> DataFrame:
+    """Raw rows whose payload is no JSON object, and why."""
+    return drift.rejected(table(spark, d, "raw_record"), ROW, "payload")
 
 
 def p1_scripts(spark: SparkSession, d: str) -> DataFrame:
@@ -145,7 +155,7 @@ def p7_flags(spark: SparkSession, d: str) -> DataFrame:
     return _readings(spark, d)
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_table, p1_scripts, p2_found, p2_profile, p3_found, p5_found, p5_report, p5_keys, p6_found, p6_cells, p7_found, p7_flags)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_table, p1_cells, p1_rejected, p1_scripts, p2_found, p2_profile, p3_found, p5_found, p5_report, p5_keys, p6_found, p6_cells, p7_found, p7_flags)}
 
 _CHAIN = """chain AS (SELECT source_file_version_id AS f, lag(source_file_version_id) OVER (PARTITION BY feed_id ORDER BY published_at_utc, source_file_version_id) AS p
   FROM (SELECT DISTINCT source_file_version_id, feed_id, published_at_utc FROM artifact_manifest WHERE artifact_kind = 'trip' AND source_file_version_id IN (SELECT source_file_version_id FROM yellow_trip)))"""
@@ -158,7 +168,19 @@ _SPELLINGS = {
     "payment_type": "payment_type Payment_Type pmt_type type_payment",
     "vendor_id": "id_vendor Vendor+ID VendorID vendorId vendor_id VENDORID vndr_id",
 }
-_NAMES = ", ".join(f"('{s.replace('+', ' ')}', '{n}')" for n, group in _SPELLINGS.items() for s in group.split())
+_WORDS = {"fee_airport": "fee_airport", "arprt_fee": "arprt_fee", "cbd_cong_fee": "cbd_cong_fee", "congestion_fee_cbd": "congestion_fee_cbd", "count_passenger": "count_passenger", "passenger_cnt": "passenger_cnt", "psgr_count": "psgr_count",
+          "distance_trip": "distance_trip", "trip_dist": "trip_dist", "pmt_type": "pmt_type", "type_payment": "type_payment", "id_vendor": "id_vendor", "vndr_id": "vndr_id", "VENDORID": "vendorid"}
+_NAMES = ", ".join([f"('{s.replace('+', ' ')}', '{n}', '{_WORDS.get(s, n)}')" for n, group in _SPELLINGS.items() for s in group.split()] + ["('PULocationID', 'PULocationID', 'pu_location_id')", "('DOLocationID', 'DOLocationID', 'do_location_id')"])
+_DRIFT = f"""WITH names(k, n, w) AS (VALUES {_NAMES}),
+r AS (SELECT source_file_version_id AS f, payload FROM raw_record WHERE json_valid(payload) AND json_type(payload) = 'OBJECT'),
+t AS (SELECT f, k, max(CASE json_type(payload, '$."' || k || '"') WHEN 'NULL' THEN 0 WHEN 'BIGINT' THEN 1 WHEN 'UBIGINT' THEN 1 WHEN 'DOUBLE' THEN 2 ELSE 3 END) AS y FROM (SELECT f, payload, unnest(json_keys(payload)) AS k FROM r) GROUP BY f, k),
+c AS (SELECT f, t.k, y, coalesce(n, t.k) AS n FROM t LEFT JOIN names ON t.k = names.k),
+m AS (SELECT DISTINCT source_file_version_id AS f, feed_id, published_at_utc AS pub FROM artifact_manifest WHERE artifact_kind = 'raw' AND source_file_version_id IN (SELECT source_file_version_id FROM raw_record)),
+chain AS (SELECT *, lag(f) OVER (PARTITION BY feed_id ORDER BY pub, f) AS p FROM m),
+b AS (SELECT chain.f, k, n, y FROM chain JOIN c ON c.f = chain.p),
+came AS (SELECT c.f, c.k, c.n FROM c JOIN chain ON c.f = chain.f AND p IS NOT NULL ANTI JOIN b ON b.f = c.f AND b.k = c.k),
+gone AS (SELECT b.f, b.k, b.n FROM b ANTI JOIN c ON c.f = b.f AND c.k = b.k)
+"""
 _ORPHANS = """WITH refs AS (
   SELECT DISTINCT 'yellow_trip' AS table_name, source_file_version_id, source_row_ordinal, source_period, ingested_at_utc, pulocationid, dolocationid FROM yellow_trip
   UNION ALL SELECT DISTINCT 'hvfhv_trip', source_file_version_id, source_row_ordinal, source_period, ingested_at_utc, pulocationid, dolocationid FROM hvfhv_trip
@@ -174,18 +196,21 @@ _ORPHANS = """WITH refs AS (
 _CELLS = ["source_period", "pickup_datetime", "dropoff_datetime", "passenger_count", "trip_distance", "pickup_location_id", "dropoff_location_id", "payment_type", "fare_amount", "tip_amount", "total_amount", "store_and_fwd_flag", "pickup_zone_name"]
 _LEVELED = ("trip_distance", "fare_amount", "total_amount")
 ORACLE = {
-    "p1_found": f"""WITH names(k, n) AS (VALUES {_NAMES}),
-r AS (SELECT source_file_version_id AS f, payload FROM raw_record WHERE json_valid(payload) AND json_type(payload) = 'OBJECT'),
-t AS (SELECT f, k, max(CASE json_type(payload, '$."' || k || '"') WHEN 'NULL' THEN 0 WHEN 'BIGINT' THEN 1 WHEN 'UBIGINT' THEN 1 WHEN 'DOUBLE' THEN 2 ELSE 3 END) AS y FROM (SELECT f, payload, unnest(json_keys(payload)) AS k FROM r) GROUP BY f, k),
-c AS (SELECT f, t.k, y, coalesce(n, t.k) AS n FROM t LEFT JOIN names ON t.k = names.k),
-m AS (SELECT DISTINCT source_file_version_id AS f, feed_id, published_at_utc AS pub FROM artifact_manifest WHERE artifact_kind = 'raw' AND source_file_version_id IN (SELECT source_file_version_id FROM raw_record)),
-chain AS (SELECT *, lag(f) OVER (PARTITION BY feed_id ORDER BY pub, f) AS p FROM m),
-b AS (SELECT chain.f, k, n FROM chain JOIN c ON c.f = chain.p),
-came AS (SELECT c.f, c.k, c.n FROM c JOIN chain ON c.f = chain.f AND p IS NOT NULL ANTI JOIN b ON b.f = c.f AND b.k = c.k),
-gone AS (SELECT * FROM b ANTI JOIN c ON c.f = b.f AND c.k = b.k)
-SELECT f AS source_file_version_id, k AS field_name, CASE WHEN EXISTS (SELECT 1 FROM gone WHERE gone.f = came.f AND gone.n = came.n) THEN 'renamed' ELSE 'added' END AS change_kind FROM came
+    "p1_found": _DRIFT + """SELECT f AS source_file_version_id, k AS field_name, CASE WHEN EXISTS (SELECT 1 FROM gone WHERE gone.f = came.f AND gone.n = came.n) THEN 'renamed' ELSE 'added' END AS change_kind FROM came
 UNION ALL SELECT f, k, 'removed' FROM gone WHERE NOT EXISTS (SELECT 1 FROM came WHERE gone.f = came.f AND gone.n = came.n)
 UNION ALL SELECT f, k, 'retyped' FROM (SELECT f, k, y, lag(y) OVER (PARTITION BY feed_id, n ORDER BY pub, f) AS before FROM c JOIN m USING (f) WHERE y > 0) WHERE y <> before""",
+    "p1_scripts": _DRIFT + """, ops AS (
+  SELECT came.f, 'rename' AS op, gone.k AS path, came.k AS to_path, NULL AS a, NULL AS b, 0.5 AS w FROM came JOIN gone USING (f, n)
+  UNION ALL SELECT f, 'add', k, NULL, NULL, NULL, 1.0 FROM came WHERE NOT EXISTS (SELECT 1 FROM gone WHERE gone.f = came.f AND gone.n = came.n)
+  UNION ALL SELECT f, 'delete', k, NULL, NULL, NULL, 1.0 FROM gone WHERE NOT EXISTS (SELECT 1 FROM came WHERE gone.f = came.f AND gone.n = came.n)
+  UNION ALL SELECT c.f, 'retype', c.k, NULL, list_extract(['null', 'integer', 'decimal', 'text'], b.y + 1), list_extract(['null', 'integer', 'decimal', 'text'], c.y + 1), 0.25 FROM c JOIN b ON b.f = c.f AND b.n = c.n AND b.y <> c.y)
+SELECT f AS source_file_version_id, op, path, to_path, a AS from_kind, b AS to_kind, CAST(sum(w) OVER (PARTITION BY f) AS DOUBLE) AS cost FROM ops""",
+    "p1_cells": _DRIFT + """, u AS (SELECT DISTINCT source_file_version_id AS f, source_row_ordinal AS o, payload FROM raw_record WHERE json_valid(payload) AND json_type(payload) = 'OBJECT'),
+v AS (SELECT f, o, k, json_type(payload, '$."' || k || '"') AS kind, payload ->> ('$."' || k || '"') AS x FROM (SELECT *, unnest(json_keys(payload)) AS k FROM u)),
+label AS (SELECT n, max(y) AS y, arg_min(w, struct_pack(a := -length(w), b := -files, c := w)) AS field_name FROM (SELECT c.k, n, max(y) AS y, count(DISTINCT f) AS files, coalesce(max(names.w), c.k) AS w FROM c LEFT JOIN names USING (k, n) GROUP BY c.k, n) GROUP BY n)
+SELECT DISTINCT f AS source_file_version_id, o AS source_row_ordinal, field_name, CASE WHEN label.y = 2 THEN CAST(CAST(x AS DOUBLE) AS VARCHAR) WHEN label.y = 3 AND kind = 'DOUBLE' THEN regexp_replace(CAST(CAST(x AS DOUBLE) AS VARCHAR), '[.]0$', '') ELSE x END AS value
+FROM v LEFT JOIN names USING (k) JOIN label ON label.n = coalesce(names.n, v.k) WHERE kind <> 'NULL'""",
+    "p1_rejected": "SELECT DISTINCT source_file_version_id, source_row_ordinal, CASE WHEN payload IS NULL THEN 'null' WHEN NOT json_valid(payload) THEN 'no_json' ELSE 'no_object' END AS reason FROM raw_record WHERE payload IS NULL OR NOT json_valid(payload) OR json_type(payload) <> 'OBJECT'",
     "p2_found": f"""WITH y AS (SELECT DISTINCT source_file_version_id AS f, source_row_ordinal, fare_amount, pulocationid, source_period FROM yellow_trip), {_CHAIN},
 s AS (SELECT f, count(*) AS n, count(fare_amount) AS nf, count(pulocationid) AS np, count(source_period) AS ns, count(DISTINCT fare_amount) AS df, count(DISTINCT pulocationid) AS dp, median(fare_amount) AS mf,
   count_if(fare_amount < -500 OR fare_amount > 1500) AS xf, count_if(pulocationid < 1 OR pulocationid > 265) AS xp, count_if(NOT regexp_full_match(source_period, '[0-9]{{4}}-(0[1-9]|1[0-2])')) AS xs FROM y GROUP BY f),

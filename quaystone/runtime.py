@@ -53,10 +53,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's spark.checkpoint.dir; a temporary folder only where none is set (tests, one machine)."""
+    """The cluster's spark.checkpoint.dir; a temporary folder only where none is set and all of Spark runs on this machine."""
     given = spark.conf.get("spark.checkpoint.dir", None)
     if given:
         return given.rstrip("/")
+    if not spark.conf.get("spark.master", "local").startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     own = getattr(spark, "_quaystone_dir", None)
     if own is None:
         own = tempfile.mkdtemp(prefix="quaystone-")
@@ -70,11 +72,19 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/quaystone-{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    if path.startswith("file://"):
-        atexit.register(shutil.rmtree, Path(path[len("file://"):]), True)
+    _forget_at_end(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _forget_at_end(spark: SparkSession, path: str) -> None:
+    """Have the driver's file system client remove a folder, on whatever storage, when the driver ends."""
+    try:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)
+    except AttributeError:  # a remote session reaches no JVM; its cluster clears the shared folder
+        pass
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
     """A scan with at least four partitions per core, for long work per row; larger scans have them already and stay as they are."""
     want = 4 * df.sparkSession.sparkContext.defaultParallelism
@@ -106,14 +116,12 @@ def pick(df: DataFrame, names: list[str], labels: list[str] | None = None) -> Da
 
 
 def once(df: DataFrame, key: list[str]) -> DataFrame:
-    """df with rows delivered twice only once.
+    """df with rows delivered twice only once: they repeat whole, so all columns are compared.
 
-    Texts join the key, as repeats are whole and an aggregate that carries texts would have to sort; of rows that agree in
-    key and texts but not in their numbers one is kept.
+    Rows that share a key and differ in anything are different rows and all stay. Where df is partitioned by a part of its
+    columns already, nothing is shuffled.
     """
-    texts = [c for c, t in df.dtypes if t == "string" and c not in key]
-    rest = [c for c in df.columns if c not in key and c not in texts]
-    return df.groupBy(*key, *texts).agg(*[F.first(c).alias(c) for c in rest]) if rest else df.distinct()
+    return df.select(*key, *[c for c in df.columns if c not in key]).distinct()
 
 
 def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
