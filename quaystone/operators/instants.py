@@ -18,7 +18,7 @@ from zoneinfo import available_timezones
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quaystone.runtime import bounded, computed, pick
+from quaystone.runtime import bounded, computed, pick, settle
 
 # Month names and the offsets, in seconds, of zone abbreviations.
 MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
@@ -35,10 +35,12 @@ DATES = (
 CLOCK = r"(?<h1>\d{1,2}):(?<i1>\d{2})(?::(?<s1>\d{2})(?:[.,](?<f1>\d+))?)?"
 COMPACT = r"(?<y7>\d{4})(?<m7>\d{2})(?<d7>\d{2})[T ](?<h7>\d{2})(?<i7>\d{2})(?:(?<s7>\d{2})(?:[.,](?<f7>\d+))?)?"
 WEEKDAY = r"(?:[A-Za-z]{3,9},? )?"
-PATTERN = (
-    r"^\s*(?:(?<e>\d{9,19})|(?:" + WEEKDAY + "(?:" + "|".join(DATES) + r")(?:[Tt]|,?\s+)" + CLOCK + "|" + COMPACT + ")"
-    r"(?:\s*(?<ap>[AaPp])\.?[Mm]\.?)?(?:\s*(?:(?<zn>[A-Za-z]{1,5})|(?<zs>[+-])(?<zh>\d{2}):?(?<zm>\d{2})?|\[?(?<zi>[A-Za-z]+/[A-Za-z_/+\-0-9]+)\]?))?)\s*$"
+ZONE = (
+    r"(?:\s*(?<ap>[AaPp])\.?[Mm]\.?)?(?:\s*(?:(?<zn>[A-Za-z]{1,5})|(?<zs>[+-])(?<zh>\d{2}):?(?<zm>\d{2})?|\[?(?<zi>[A-Za-z]+/[A-Za-z_/+\-0-9]+)\]?))?"
 )
+PATTERN = r"^\s*(?:(?<e>\d{9,19})|(?:" + WEEKDAY + "(?:" + "|".join(DATES) + r")(?:[Tt]|,?\s+)" + CLOCK + "|" + COMPACT + ")" + ZONE + r")\s*$"
+#: The part of the alternation whose order of day and month is open.
+SLASHED = r"^\s*" + WEEKDAY + DATES[2] + r"(?:[Tt]|,?\s+)" + CLOCK + ZONE + r"\s*$"
 #: The components in the order in which the replacement lists them.
 PARTS = {
     "epoch": ("e",), "year": ("y1", "y2", "y3", "y4", "y5", "y6", "y7"), "month": ("m1", "m2", "m4", "m7"), "day": ("d1", "d2", "d4", "d5", "d6", "d7"), "first": ("p3",), "second": ("q3",), "name": ("n5", "n6"),
@@ -57,14 +59,17 @@ def known_zones(spark: SparkSession) -> list[str]:
 def components(df: DataFrame, text: str) -> DataFrame:
     """df with a struct `at` of the value's components as text, null where the value has no known form."""
     listed = "|".join("".join(f"${{{g}}}" for g in groups) for groups in PARTS.values())
-    df = computed(df, _hit=F.when(F.col(text).rlike(PATTERN), F.split(F.regexp_replace(F.col(text), PATTERN, listed), r"\|")))
+    df = computed(df, _all=F.regexp_replace(F.col(text), PATTERN, "\u0001" + listed))  # one match; the mark tells a hit from a text left as it is
+    df = computed(df, _hit=F.when(F.col("_all").startswith("\u0001") & ~F.col(text).startswith("\u0001"), F.split(F.substr("_all", F.lit(2)), r"\|"))).drop("_all")
     parts = [F.nullif(F.col("_hit")[i], F.lit("")).alias(name) for i, name in enumerate(PARTS)]
     return computed(df, at=F.when(F.col("_hit").isNotNull(), F.struct(*parts))).drop("_hit")
 
 
-def day_first(df: DataFrame, groups: list[str]) -> DataFrame:
-    """(groups..., day_first) of the groups whose dates with slashes show their order; df has `at`."""
-    p, q = F.col("at.first").cast("int"), F.col("at.second").cast("int")
+def day_first(df: DataFrame, groups: list[str], text: str) -> DataFrame:
+    """(groups..., day_first) of the groups whose dates with slashes show their order; only such dates are matched here."""
+    hit = F.when(F.col(text).contains("/"), F.regexp_replace(F.col(text), SLASHED, "\u0001${p3}|${q3}"))
+    df = computed(df.select(*groups, hit.alias("_h")).where("_h like '\u0001%'"), _p=F.substring_index(F.substr("_h", F.lit(2)), "|", 1), _q=F.substring_index("_h", "|", -1))
+    p, q = F.expr("try_cast(_p as int)"), F.expr("try_cast(_q as int)")
     shown = F.when(p.between(13, 31) & q.between(1, 12), 1).when(q.between(13, 31) & p.between(1, 12), 0)
     votes = df.select(*groups, shown.alias("v")).where("v is not null").groupBy(*groups).agg(F.sum("v").alias("yes"), F.count("v").alias("n"))
     return votes.select(*groups, (F.col("yes") * 2 > F.col("n")).alias("day_first"))
@@ -116,10 +121,11 @@ def stamp_instants(stamps: DataFrame, key: str, groups: list[str], fields: list[
     """(key, field_name, utc_micros) of each text field that names exactly one instant.
 
     The order of day and month is voted on per group from partial counts; the few result rows are broadcast within the
-    bound, beyond it they shuffle and adaptive execution splits hot groups.
+    bound, beyond it they shuffle and adaptive execution splits hot groups. Every value is taken apart once; the votes read
+    dates with slashes alone.
     """
     each = F.explode(F.array(*[F.struct(F.lit(f).alias("field_name"), F.col(f).alias("value")) for f in fields]))
-    long = components(pick(stamps, list(dict.fromkeys([key, *groups, zone, *fields]))).select(key, *groups, zone, each.alias("x")).select(key, *groups, zone, "x.field_name", "x.value"), "value")
-    order, _ = bounded(day_first(long, groups))
-    got = instants(long.where("at is not null").join(order, groups, "left"), zone, default_zone)
+    long = pick(stamps, list(dict.fromkeys([key, *groups, zone, *fields]))).select(key, *groups, zone, each.alias("x")).select(key, *groups, zone, "x.field_name", "x.value")
+    order, _ = bounded(settle(day_first(long, groups, "value"), "orders"))
+    got = instants(components(long, "value").where("at is not null").join(order, groups, "left"), zone, default_zone)
     return got.where("utc_micros is not null").select(key, "field_name", "utc_micros").distinct()

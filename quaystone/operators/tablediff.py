@@ -1,12 +1,12 @@
 """Differences between two copies of a table, cell by cell.
 
-Both sides are hashed into buckets by key; a bucket of either side arrives as one Arrow table. Keys are turned into one
-integer each, sorted, and aligned by binary search; the columns of aligned rows are compared through null-aware masks.
+Both sides are hashed into buckets by key, each bucket a partition of its own whose number follows the rows; a bucket of
+either side arrives as one Arrow table. Keys are turned into one integer each, sorted, and aligned by binary search; the columns of aligned rows are compared through null-aware masks.
 
 Defined results: rows repeated whole count once, thinned out within each batch before the shuffle, so that a row repeated
 without end does not fill a bucket; rows of one key that differ are aligned in the order of their values; null keys match
-null keys; null equals null only; text is compared by code point, NaN equals NaN, 0.0 equals -0.0; columns that only one
-side has are not compared; an empty side leaves all keys of the other as only there.
+null keys; null equals null only; text is compared by code point, NaN equals NaN, 0.0 equals -0.0; a column that only one
+side has is one difference without keys, `<only_...>:<column>`; an empty side leaves all keys of the other as only there.
 """
 
 from __future__ import annotations
@@ -19,8 +19,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quaystone.runtime import pick
+from quaystone.runtime import pick, ship
 
+#: Rows of both sides together that a task holds on average.
 ROWS_PER_BUCKET = 60_000
 
 
@@ -74,6 +75,8 @@ def _occurrence(code: np.ndarray) -> np.ndarray:
 def table_diff(left: DataFrame, right: DataFrame, keys: list[str], only_left: str, only_right: str, values: bool = False) -> DataFrame:
     """(keys..., difference[, left_value, right_value]): one row for each key on one side and each differing cell."""
     rest = [c for c in dict.fromkeys(left.columns) if c in right.columns and c not in keys]
+    spark = left.sparkSession
+    ship(spark)
     types, names = dict(left.dtypes), [*keys, *rest]
     ks, cs = [f"k{i}" for i in range(len(keys))], [f"c{i}" for i in range(len(rest))]  # inside, columns go by place
     buckets = max(8, -(-(left.count() + right.count()) // ROWS_PER_BUCKET))
@@ -82,7 +85,7 @@ def table_diff(left: DataFrame, right: DataFrame, keys: list[str], only_left: st
     for side in (left, right):
         rows = pick(side, names, ks + cs)
         rows = rows.select(*[F.col(x).cast(types[n]) for x, n in zip(ks + cs, names, strict=True)])
-        sides.append(rows.mapInArrow(_thin, rows.schema).withColumn("_bucket", bucket).groupBy("_bucket"))
+        sides.append(rows.mapInArrow(_thin, rows.schema).withColumn("_bucket", bucket).repartitionById(buckets, F.col("_bucket")).groupBy("_bucket"))
     schema = ", ".join(f"`{k}` {types[k]}" for k in keys) + ", difference string" + ", left_value string, right_value string" * values
 
     def compare(a: pa.Table, b: pa.Table) -> pa.Table:
@@ -117,4 +120,9 @@ def table_diff(left: DataFrame, right: DataFrame, keys: list[str], only_left: st
         found = pa.concat_tables(out)
         return _unique(found).select(found.column_names)  # a key stands in one bucket, so this is distinct over all
 
-    return sides[0].cogroup(sides[1]).applyInArrow(compare, schema)
+    found = sides[0].cogroup(sides[1]).applyInArrow(compare, schema)
+    apart = [f"{only_left}:{c}" for c in left.columns if c not in right.columns] + [f"{only_right}:{c}" for c in right.columns if c not in left.columns]
+    if apart:
+        nothing = [F.lit(None).cast(found.schema[c].dataType).alias(c) for c in found.columns]
+        found = found.unionByName(spark.createDataFrame([(x,) for x in apart], "difference string").select(*[F.col("difference") if c == "difference" else n for c, n in zip(found.columns, nothing, strict=True)]))
+    return found

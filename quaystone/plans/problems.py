@@ -194,6 +194,19 @@ _ORPHANS = """WITH refs AS (
 )
 """
 _CELLS = ["source_period", "pickup_datetime", "dropoff_datetime", "passenger_count", "trip_distance", "pickup_location_id", "dropoff_location_id", "payment_type", "fare_amount", "tip_amount", "total_amount", "store_and_fwd_flag", "pickup_zone_name"]
+_KEYS = "source_file_version_id, source_row_ordinal, derivation_id"
+_BOTH = "WITH a AS (SELECT DISTINCT * FROM published_trip), b AS (SELECT DISTINCT * FROM rebuilt_trip), j AS (SELECT a.*, " + ", ".join(f"b.{c} AS b_{c}" for c in _CELLS) + f" FROM a JOIN b USING ({_KEYS})) "
+
+
+def _cell_text(c: str) -> str:
+    """A value as Arrow writes it: numbers without an empty fraction and exponents without leading zeros, times to the microsecond."""
+    if c.endswith("_datetime"):
+        return f"strftime({c}, '%Y-%m-%d %H:%M:%S.%f')"
+    if c.endswith(("_zone_name", "_flag", "_period")):
+        return c
+    return f"regexp_replace(regexp_replace(CAST({c} AS VARCHAR), '[.]0$', ''), 'e([+-])0', 'e\\1')"
+
+
 _LEVELED = ("trip_distance", "fare_amount", "total_amount")
 ORACLE = {
     "p1_found": _DRIFT + """SELECT f AS source_file_version_id, k AS field_name, CASE WHEN EXISTS (SELECT 1 FROM gone WHERE gone.f = came.f AND gone.n = came.n) THEN 'renamed' ELSE 'added' END AS change_kind FROM came
@@ -231,11 +244,10 @@ SELECT f AS source_file_version_id, column_name, finding FROM (
     "p5_found": _ORPHANS + "SELECT DISTINCT table_name, source_file_version_id, source_row_ordinal, field_name, reason FROM found WHERE reason IS NOT NULL",
     "p5_report": _ORPHANS + "SELECT table_name, source_period, field_name, reason, count(*) AS orphans FROM found WHERE reason IS NOT NULL GROUP BY ALL",
     "p5_keys": _ORPHANS + "SELECT table_name, k AS ref_key, count(*) AS refs FROM long WHERE k NOT IN (SELECT location_id FROM zone_lookup WHERE retired_at_utc IS NULL) GROUP BY ALL",
-    "p6_found": "WITH a AS (SELECT DISTINCT * FROM published_trip), b AS (SELECT DISTINCT * FROM rebuilt_trip), j AS (SELECT a.*, " + ", ".join(f"b.{c} AS b_{c}" for c in _CELLS)
-    + ", a.rowid_a AS has_a, b.rowid_b AS has_b FROM (SELECT *, 1 AS rowid_a FROM a) a JOIN (SELECT *, 1 AS rowid_b FROM b) b USING (source_file_version_id, source_row_ordinal, derivation_id)) "
-    + "SELECT source_file_version_id, source_row_ordinal, derivation_id, 'only_published' AS difference FROM a ANTI JOIN b USING (source_file_version_id, source_row_ordinal, derivation_id) "
-    + "UNION ALL SELECT source_file_version_id, source_row_ordinal, derivation_id, 'only_rebuilt' FROM b ANTI JOIN a USING (source_file_version_id, source_row_ordinal, derivation_id) "
-    + " ".join(f"UNION ALL SELECT source_file_version_id, source_row_ordinal, derivation_id, '{c}' FROM j WHERE {c} IS DISTINCT FROM b_{c}" for c in _CELLS),
+    "p6_found": _BOTH + f"SELECT {_KEYS}, 'only_published' AS difference FROM a ANTI JOIN b USING ({_KEYS}) UNION ALL SELECT {_KEYS}, 'only_rebuilt' FROM b ANTI JOIN a USING ({_KEYS}) "
+    + " ".join(f"UNION ALL SELECT {_KEYS}, '{c}' FROM j WHERE {c} IS DISTINCT FROM b_{c}" for c in _CELLS),
+    "p6_cells": _BOTH + f"SELECT {_KEYS}, 'only_published' AS difference, NULL AS left_value, NULL AS right_value FROM a ANTI JOIN b USING ({_KEYS}) UNION ALL SELECT {_KEYS}, 'only_rebuilt', NULL, NULL FROM b ANTI JOIN a USING ({_KEYS}) "
+    + " ".join(f"UNION ALL SELECT {_KEYS}, '{c}', {_cell_text(c)}, {_cell_text('b_' + c)} FROM j WHERE {c} IS DISTINCT FROM b_{c}" for c in _CELLS),
     "p7_found": "WITH y AS (SELECT DISTINCT source_file_version_id, source_row_ordinal, feed_id, tpep_pickup_datetime AS a, tpep_dropoff_datetime AS b, trip_distance, fare_amount, total_amount, passenger_count FROM yellow_trip), "
     + "m AS (SELECT feed_id, " + ", ".join(f"median({f}) AS m_{f}" for f in _LEVELED) + " FROM y GROUP BY feed_id), found AS ("
     + " UNION ALL ".join(f"SELECT source_file_version_id, source_row_ordinal, '{f}' AS field_name FROM y JOIN m USING (feed_id) WHERE abs({f}) > 20 * m_{f}" for f in _LEVELED)
