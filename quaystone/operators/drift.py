@@ -16,6 +16,7 @@ ordered by id; rows delivered twice come once; an empty table gives no changes.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 
@@ -65,27 +66,32 @@ def chained(files: DataFrame, feed: list[str], at: str, file: str, columns: list
     return files.select("*", F.lag(file).over(w).alias("previous_file"), F.row_number().over(w).alias("position"), *[F.lag(c).over(w).alias(f"previous_{c}") for c in columns])
 
 
-def shape(schema: Column) -> Column:
-    """A schema without the digits of its decimals; files of one shape share their tree."""
+def shape_text(schema: Column) -> Column:
+    """A schema without the digits of its decimals; files of one such text share their tree and have its MD5 as their shape."""
     return F.coalesce(F.regexp_replace(schema, r": DECIMAL\(\d+, ?\d+\)", ": DECIMAL"), F.lit("OBJECT<>"))
 
 
 def pair_scripts(pairs: DataFrame) -> DataFrame:
-    """(previous_shape, shape, op, path, to_path, from_kind, to_kind, cost) of each distinct pair of unlike shapes; paths are arrays."""
+    """(previous_shape, shape, op, path, to_path, from_kind, to_kind, cost) of each distinct pair of unlike (previous_text, text);
+    paths are arrays."""
     ship(pairs.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
-            for old, new in zip(b["previous_shape"], b["shape"], strict=True):
+            for old, new in zip(b["previous_text"], b["text"], strict=True):
                 cost, ops = edit_script(parse_schema(old), parse_schema(new))
-                rows += [(old, new, o["op"], list(o["path"]), list(o["to_path"]) if "to_path" in o else None, o.get("from"), o.get("to"), cost) for o in ops]
+                rows += [(_md5(old), _md5(new), o["op"], list(o["path"]), list(o["to_path"]) if "to_path" in o else None, o.get("from"), o.get("to"), cost) for o in ops]
             yield pd.DataFrame(rows, columns=["previous_shape", "shape", "op", "path", "to_path", "from_kind", "to_kind", "cost"])
 
-    unlike = pairs.where("previous_shape <> shape").select("previous_shape", "shape").distinct()
+    unlike = pairs.where("previous_text <> text").select("previous_text", "text").distinct()
     return unlike.mapInPandas(run, "previous_shape string, shape string, op string, path array<string>, to_path array<string>, from_kind string, to_kind string, cost double")
 
 
+def _md5(text: str) -> str:
+    return hashlib.md5(text.encode(), usedforsecurity=False).hexdigest()
+
+
 def _as_text(path: str) -> Column:
     """A path array as schema_tree.path_text has it."""
     escaped = F.transform(F.col(path), lambda n: F.replace(F.replace(n, F.lit("\\"), F.lit("\\\\")), F.lit("."), F.lit("\\.")))
@@ -97,21 +103,21 @@ def edit_scripts(chain: DataFrame, file: str) -> DataFrame:
 
     chain has file, previous_file, schema and previous_schema, one row per file.
     """
-    pairs = chain.where("previous_file is not null").select(file, shape(F.col("previous_schema")).alias("previous_shape"), shape(F.col("schema")).alias("shape"))
+    pairs = chain.where("previous_file is not null").select(file, shape_text(F.col("previous_schema")).alias("previous_text"), shape_text(F.col("schema")).alias("text"))
     side, _ = bounded(settle(pair_scripts(pairs), "scripts"))
-    return pairs.join(side, ["previous_shape", "shape"]).select(file, "op", _as_text("path").alias("path"), _as_text("to_path").alias("to_path"), "from_kind", "to_kind", "cost")
+    return pairs.select(file, F.md5("previous_text").alias("previous_shape"), F.md5("text").alias("shape")).join(side, ["previous_shape", "shape"]).select(file, "op", _as_text("path").alias("path"), _as_text("to_path").alias("to_path"), "from_kind", "to_kind", "cost")
 
 
 def shape_nodes(shapes: DataFrame) -> DataFrame:
-    """(shape, path, kind, leaf) of every node of each distinct shape's tree; what lies within arrays is left out."""
+    """(shape, path, kind, leaf) of every node of each distinct text's tree; what lies within arrays is left out."""
     ship(shapes.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = [(s, list(p), n.kind, is_leaf(n)) for s in b["shape"] for p, n in nodes(parse_schema(s)).items() if "[]" not in p]
+            rows = [(_md5(s), list(p), n.kind, is_leaf(n)) for s in b["text"] for p, n in nodes(parse_schema(s)).items() if "[]" not in p]
             yield pd.DataFrame(rows, columns=["shape", "path", "kind", "leaf"])
 
-    return shapes.select("shape").distinct().mapInPandas(run, "shape string, path array<string>, kind string, leaf boolean")
+    return shapes.select("text").distinct().mapInPandas(run, "shape string, path array<string>, kind string, leaf boolean")
 
 
 def is_leaf(n: Node) -> bool:
@@ -200,9 +206,10 @@ class Drift:
         self.file, self.feed = file, feed
         known = pick(files, [file, *feed, at]).distinct().join(file_schemas(records, file, payload), file)
         chain = chained(known, feed, at, file, ["schema"])
-        self.chain = settle(chain.select("*", shape(F.col("schema")).alias("shape"), shape(F.col("previous_schema")).alias("previous_shape")), "schemas")  # one row per file; all that follows reads it
-        self.scripts = settle(pair_scripts(self.chain.where("previous_file is not null")), "scripts")
-        self.nodes = settle(shape_nodes(self.chain), "nodes")
+        texts = settle(chain.select("*", shape_text(F.col("schema")).alias("text"), shape_text(F.col("previous_schema")).alias("previous_text")), "schemas")  # one row per file; all that follows reads it
+        self.chain = texts.select(*chain.columns, F.md5("text").alias("shape"), F.md5("previous_text").alias("previous_shape"))
+        self.scripts = settle(pair_scripts(texts.where("previous_file is not null")), "scripts")
+        self.nodes = settle(shape_nodes(texts), "nodes")
         links = self.scripts.where("op in ('rename', 'move')").select("path", "to_path")
         self.fields = settle(field_classes(self.nodes.select("path", "shape"), links), "fields")
 

@@ -146,12 +146,12 @@ def _readings(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
-    """Impossible, stuck and outlying readings, field by field."""
-    return _readings(spark, d).select(*ROW, "field_name")
+    """Impossible, stuck and outlying readings, field by field: what the sources' models flag, held to the exact rules."""
+    return _readings(spark, d).where("exact").select(*ROW, "field_name")
 
 
 def p7_flags(spark: SparkSession, d: str) -> DataFrame:
-    """As p7_found, with the probability that the reading is not normal."""
+    """All readings that the sources' models flag, with their state and the probability that they are not normal."""
     return _readings(spark, d)
 
 

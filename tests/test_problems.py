@@ -283,7 +283,7 @@ def test_table_diff_with_a_key_of_a_third_of_all_rows(spark):
 def _spikes(spark, data, bounds=None):
     df = spark.createDataFrame(data, f"{FILE} string, {ORD} bigint, feed_id bigint, v double, c double").withColumn("_block", F.lit(0)).withColumn("n", F.lit(0))
     m = spikes.Model(fields=("v", "c"), leveled=("v",), runs=("v",))
-    return {tuple(r)[:3] for r in spikes.implausible(df, m, "feed_id", [FILE, ORD], bounds or {"c": F.col("c") < 0}).collect()}
+    return {tuple(r)[:3] for r in spikes.implausible(df, m, "feed_id", [FILE, ORD], bounds or {"c": F.col("c") < 0}).where("exact").collect()}
 
 
 def test_implausible_readings(spark):
@@ -297,6 +297,64 @@ def test_implausible_readings(spark):
     assert _spikes(spark, [("g", i, 2, None, None) for i in range(20)] + [(None, 1, 2, 1.0, -1.0), ("g", None, 2, 1.0, -1.0)]) == set()
 
 
+def _plain_posteriors(m, values, median):
+    """Probability of not being normal of each reading of one short file's one field, by loops over the whole chain, after one
+    round of expected counts."""
+    n, edges = len(values), spikes.LEVELS
+    same = [v is not None and ((i > 0 and values[i - 1] == v) or (i + 1 < n and values[i + 1] == v)) for i, v in enumerate(values)]
+    level = [None if v is None else len(edges) + 1 if abs(v) > m.times * median else sum(abs(v) / median >= e for e in edges) for v in values]
+
+    def passes(start, moves, normal, repeat):
+        e = [[1.0] * 4 if v is None else [(normal if k == 0 else m.levels[k])[level[i]] * ((0.999 if same[i] else 0.001) if k == 2 else repeat if same[i] else 1 - repeat) * (1 - (m.stray, 0.01, 0.01, 0.99)[k]) for k in range(4)] for i, v in enumerate(values)]
+        f, b = [], [[1.0] * 4]
+        for i in range(n):
+            now = [(start[k] if i == 0 else sum(f[-1][j] * moves[j][k] for j in range(4))) * e[i][k] for k in range(4)]
+            f.append([x / sum(now) for x in now])
+        for i in range(n - 1, 0, -1):
+            now = [sum(moves[j][k] * e[i][k] * b[0][k] for k in range(4)) for j in range(4)]
+            b.insert(0, [x / sum(now) for x in now])
+        both = [[x * y for x, y in zip(p, q, strict=True)] for p, q in zip(f, b, strict=True)]
+        return e, f, b, [[x / sum(p) for x in p] for p in both]
+
+    moves = m.transitions.tolist()
+    start = spikes.long_run(m.transitions)
+    e, f, b, p = passes(start, moves, m.levels[0], m.repeat)
+    sums = np.zeros(spikes.stat_size(m))
+    for i in range(n):
+        if values[i] is not None:
+            sums[level[i]] += p[i][0]
+            sums[len(edges) + 2 + (not same[i])] += p[i][0]
+        x = np.array([[(f[i - 1] if i else start)[j] * moves[j][k] * e[i][k] * b[i][k] for k in range(4)] for j in range(4)])
+        sums[len(edges) + 4 :] += (x / x.sum()).ravel()
+    normal, repeat, moves = spikes.fitted(m, sums)
+    return [1 - x[0] for x in passes(spikes.long_run(moves)[0], moves[0].tolist(), normal[0], float(repeat[0]))[3]]
+
+
+def test_posteriors_equal_plain_ones(spark):
+    rng = np.random.default_rng(7)
+    values = [float(x) for x in np.round(rng.lognormal(2.3, 0.2, 300), 2)]
+    values[51], values[90], values[120:140] = None, 900.0, [11.0] * 20
+    df = spark.createDataFrame([("f", i, 1, v) for i, v in enumerate(values)], f"{FILE} string, {ORD} bigint, feed_id bigint, v double")
+    m = spikes.Model(fields=("v",), leveled=("v",), runs=("v",))
+    got = {r[ORD]: r["probability"] for r in spikes.implausible(df, m, "feed_id", [FILE, ORD], {}).collect()}
+    want = _plain_posteriors(m, values, float(np.median([v for v in values if v is not None])))
+    assert set(got) == {i for i, p in enumerate(want) if p > 0.5 and values[i] is not None} >= {90, *range(120, 140)}
+    for i, p in got.items():
+        assert abs(p - want[i]) < 1e-6, i
+
+
+def test_sources_are_judged_by_their_own_model(spark):
+    rng = np.random.default_rng(8)
+    even = [float(x) for x in np.round(rng.uniform(9, 11, 1500), 3)]
+    wild = [float(x) for x in np.round(rng.uniform(9, 11, 1500) * np.where(rng.random(1500) < 0.08, 15, 1), 3)]
+    even[700] = wild[700] = 150.0
+    data = [("e", i, 1, v, 1.0) for i, v in enumerate(even)] + [("w", i, 2, v, 1.0) for i, v in enumerate(wild)]
+    df = spark.createDataFrame(data, f"{FILE} string, {ORD} bigint, feed_id bigint, v double, c double")
+    m = spikes.Model(fields=("v", "c"), leveled=("v",), runs=("v",))
+    got = {(r[FILE], r[ORD], r["state"], r["exact"]) for r in spikes.implausible(df, m, "feed_id", [FILE, ORD], {}).collect()}
+    assert got == {("e", 700, "spike", False)}  # fifteen medians: a spike where all is even, normal where it is usual
+
+
 def test_whole_file_stuck_across_blocks(spark):
     assert len(_spikes(spark, [("f", i, 1, 3.0, 1.0) for i in range(700)])) == 700
 
