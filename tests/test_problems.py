@@ -302,7 +302,7 @@ def _plain_posteriors(m, values, median):
     round of expected counts."""
     n, edges = len(values), spikes.LEVELS
     same = [v is not None and ((i > 0 and values[i - 1] == v) or (i + 1 < n and values[i + 1] == v)) for i, v in enumerate(values)]
-    level = [None if v is None else len(edges) + 1 if abs(v) > m.times * median else sum(abs(v) / median >= e for e in edges) for v in values]
+    level = [None if v is None else len(edges) + 1 if abs(v) > m.times * median else sum(abs(v) / (m.times * median) * m.times >= e for e in edges) for v in values]
 
     def passes(start, moves, normal, repeat):
         e = [[1.0] * 4 if v is None else [(normal if k == 0 else m.levels[k])[level[i]] * ((0.999 if same[i] else 0.001) if k == 2 else repeat if same[i] else 1 - repeat) * (1 - (m.stray, 0.01, 0.01, 0.99)[k]) for k in range(4)] for i, v in enumerate(values)]
