@@ -61,6 +61,9 @@ class Model:
     most_leave: float = 0.02
     least_stay: float = 0.9
     most_repeat: float = 0.2
+    #: share of a source's readings below which a level of four medians or more is none of its usual ones, and its probability then
+    usual: float = 0.005
+    unusual: float = 1e-7
     #: readings that the common model is worth beside a source's own
     weight: float = 50.0
 
@@ -88,9 +91,10 @@ def fitted(m: Model, sums: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, n
     """(levels of normal, repeat of normal, transitions) per field out of a source's expected counts; the common model without any."""
     n, b = len(m.fields), len(LEVELS) + 2
     s = np.zeros((n, stat_size(m))) if sums is None else np.asarray(sums, float).reshape(n, -1)
-    level = s[:, :b] + m.weight / 50 * m.levels[0]
+    level = s[:, :b] + m.levels[0]
+    rare = (s[:, :b] < m.usual * s[:, :b].sum(axis=1, keepdims=True)) & (np.arange(b) > LEVELS.index(4.0))
     level[:, -1] = 0
-    level *= (1 - m.stray) / level.sum(axis=1, keepdims=True)
+    level = np.where(rare, m.unusual, level / level.sum(axis=1, keepdims=True))
     level[:, -1] = m.stray
     if sums is None:
         level[:] = m.levels[0]
