@@ -17,7 +17,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from quaystone.runtime import pick
+from quaystone.runtime import pick, ship
 
 #: The pieces kept per worker with their ids, and the longest piece that is kept; a full cache starts anew.
 CACHE_PIECES, CACHE_BYTES = 400_000, 64
@@ -122,6 +122,7 @@ def _encoder(raw: bytes) -> Encoder:
 
 def encode_texts(docs: DataFrame, key: str, text: str, vocabulary: str, out: str = "ids") -> DataFrame:
     """(key, out): the token ids of each text. vocabulary is the path of a rank file, read here and broadcast (under 1 MB)."""
+    ship(docs.sparkSession)
     with open(vocabulary, "rb") as f:
         raw = docs.sparkSession.sparkContext.broadcast(f.read())
 
@@ -132,3 +133,18 @@ def encode_texts(docs: DataFrame, key: str, text: str, vocabulary: str, out: str
             yield pa.RecordBatch.from_arrays([b.column(0), ids], names=[key, out])
 
     return pick(docs, [key, text]).mapInArrow(run, f"`{key}` {dict(docs.dtypes)[key]}, `{out}` array<int>")
+
+
+def decode_ids(encoded: DataFrame, key: str, ids: str, vocabulary: str, out: str = "text") -> DataFrame:
+    """(key, out): the text that each list of ids spells; null lists give null."""
+    ship(encoded.sparkSession)
+    with open(vocabulary, "rb") as f:
+        raw = encoded.sparkSession.sparkContext.broadcast(f.read())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        token = {rank: piece for piece, rank in read_ranks(raw.value).items()}
+        for b in batches:
+            texts = [None if x is None else b"".join(map(token.__getitem__, x)).decode() for x in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], names=[key, out])
+
+    return pick(encoded, [key, ids]).mapInArrow(run, f"`{key}` {dict(encoded.dtypes)[key]}, `{out}` string")

@@ -1,13 +1,15 @@
 """Mergeable percentiles with bounded error: quantile digests over a bounded universe.
 
-A value becomes the number of its cell, round(value / unit), in a universe of 2**DEPTH cells; values beyond either end take
-the end's cell. A digest is a set of dyadic nodes (level, place) with
-counts; a leaf has level 0. Digests of any two sets of rows are merged by adding the counts of equal nodes. Compression
-pushes counts up while a node, its sibling and its parent hold at most n // k rows together, which leaves at most 3 k nodes
-and misplaces a rank by at most DEPTH * (n // k), whatever the order of merges.
+A value becomes the number of its cell, round(value / unit), in a universe of 2**DEPTH cells. A digest is a set of dyadic nodes
+(level, place) with counts; a leaf has level 0. Digests of any two sets of rows are merged by adding the counts of equal
+nodes. Compression pushes counts up while a node, its sibling and its parent hold at most n // k rows together, which leaves
+at most 3 k nodes and misplaces a rank by at most DEPTH * (n // k), whatever the order of merges.
 
-Leaves, node addition and queries stay in the JVM; only the compression of groups of at least k rows is Arrow code, over
-pieces of bounded size.
+The first and the last cell hold what lies beyond the universe (with a unit of 0.01 beyond 5.49 billion either way); they
+are never merged into other nodes, so that their counts stay exact, and a percentile that falls there is infinite.
+
+Leaf counts and their first compression are one Arrow pass over the rows; node addition and queries stay in the JVM; later
+compression of groups of at least k rows is Arrow code over pieces of bounded size.
 
 Defined results: null and NaN have no rank; rows delivered twice count once; a group without values has no row; ties fall
 into one leaf; the value reported lies within half a unit of a value whose rank is within the bound.
@@ -16,18 +18,23 @@ into one leaf; the value reported lies within half a unit of a value whose rank
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quaystone.runtime import bounded, settle
+from quaystone.runtime import bounded, settle, ship
 
-DEPTH = 32
+DEPTH = 40
 HALF = 1 << (DEPTH - 1)
+#: The cells of values below and above the universe.
+BELOW, ABOVE = 0, 2 * HALF - 1
 #: Nodes up to which one group is compressed in one task; larger groups are first compressed in pieces.
 PIECE_NODES = 1_000_000
+#: Rows of a partition that are counted and compressed together.
+ROWS_AT_ONCE = 200_000
 
 
 def compression(rank_error: float) -> int:
@@ -43,7 +50,7 @@ def cell(value: Column, unit: float) -> Column:
 
 
 def leaves(values: DataFrame, groups: list[str], value: str, unit: float) -> DataFrame:
-    """The uncompressed digest (groups..., level, place, n) of each group's values."""
+    """The uncompressed digest (groups..., level, place, n) of each group's values, for any number of values."""
     known = values.where(F.col(value).isNotNull() & ~F.isnan(value))
     return known.select(*groups, F.lit(0).alias("level"), cell(F.col(value), unit).alias("place")).groupBy(*groups, "level", "place").agg(F.count("*").alias("n"))
 
@@ -56,7 +63,9 @@ def add(nodes: DataFrame, groups: list[str]) -> DataFrame:
 def compress_nodes(level: np.ndarray, place: np.ndarray, n: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The compressed digest of one group; nodes are distinct."""
     most = int(n.sum()) // k
-    kept = []
+    beyond = (level == 0) & ((place == BELOW) | (place == ABOVE))
+    kept = [(level[beyond], place[beyond], n[beyond])]
+    level, place, n = level[~beyond], place[~beyond], n[~beyond]
     rise = (np.empty(0, np.int64), np.empty(0, np.int64))
     for lv in range(DEPTH + 1):
         at = level == lv
@@ -84,6 +93,57 @@ def compress_nodes(level: np.ndarray, place: np.ndarray, n: np.ndarray, k: int)
     return tuple(np.concatenate(x) for x in zip(*kept, strict=True))
 
 
+def partial_digests(values: DataFrame, groups: list[str], fields: list[str], unit: float, k: int) -> DataFrame:
+    """(groups..., field_name, level, place, n): digests of stretches of the rows of each partition, compressed where a
+    group has k rows in a stretch. values is read in Arrow batches; ROWS_AT_ONCE rows make a stretch."""
+    kinds = dict(values.dtypes)
+    ship(values.sparkSession)
+
+    def digests(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        code, labels = np.zeros(len(t), np.int64), []
+        for g in groups:
+            d = t[g].combine_chunks().dictionary_encode(null_encoding="encode")
+            d = d.combine_chunks() if isinstance(d, pa.ChunkedArray) else d
+            code = code * (len(d.dictionary) + 1) + d.indices.to_numpy(zero_copy_only=False)
+        _, first, code = np.unique(code, return_index=True, return_inverse=True)
+        for f in fields:
+            known = t[f].is_valid().to_numpy(zero_copy_only=False) if isinstance(t[f], pa.Array) else t[f].combine_chunks().is_valid().to_numpy(zero_copy_only=False)
+            own, place = code[known], t[f].drop_null().to_numpy()
+            if not len(own):
+                continue
+            order = np.lexsort((place, own))
+            own, place = own[order], place[order]
+            at = np.flatnonzero(np.r_[True, (np.diff(own) != 0) | (np.diff(place) != 0)])
+            n, own, place = np.diff(np.r_[at, len(own)]), own[at], place[at]
+            level = np.zeros(len(own), np.int64)
+            bounds = np.r_[np.flatnonzero(np.r_[True, np.diff(own) != 0]), len(own)]
+            rows = np.add.reduceat(n, bounds[:-1])
+            if (rows >= k).any():
+                parts = []
+                for i, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
+                    lv, p, c = compress_nodes(level[a:b], place[a:b], n[a:b], k) if rows[i] >= k else (level[a:b], place[a:b], n[a:b])
+                    parts.append((np.full(len(lv), own[a]), lv, p, c))
+                own, level, place, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+            take = pa.array(first[own])
+            same = [c.combine_chunks() if isinstance(c := t[g].take(take), pa.ChunkedArray) else c for g in groups]
+            yield pa.RecordBatch.from_arrays([*same, pa.array([f] * len(own), pa.string()), pa.array(level.astype(np.int32)), pa.array(place), pa.array(n.astype(np.int64))], names=[*groups, "field_name", "level", "place", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, count = [], 0
+        for b in batches:
+            held.append(b)
+            count += b.num_rows
+            if count >= ROWS_AT_ONCE:
+                yield from digests(pa.Table.from_batches(held))
+                held, count = [], 0
+        if count:
+            yield from digests(pa.Table.from_batches(held))
+
+    cells = [F.when(F.col(f).isNotNull() & ~F.isnan(f), cell(F.col(f), unit)).alias(f) for f in fields]
+    schema = ", ".join(f"`{g}` {kinds[g]}" for g in groups) + ", field_name string, level int, place bigint, n bigint"
+    return values.select(*groups, *cells).mapInArrow(run, schema)
+
+
 def _compress(nodes: DataFrame, groups: list[str], k: int) -> DataFrame:
     kinds = dict(nodes.dtypes)
     schema = ", ".join(f"`{g}` {kinds[g]}" for g in groups) + ", level int, place bigint, n bigint"
@@ -140,13 +200,15 @@ def estimates(nodes: DataFrame, groups: list[str], shares: list[float], unit: fl
 def percentiles(digests: DataFrame, groups: list[str], shares: list[float], unit: float, k: int) -> DataFrame:
     """(groups..., percentile, value, n, rank_bound): estimates from one digest per group."""
     end = F.expr("shiftleft(place + 1, level) - 1")
-    nodes = digests.withColumn("_end", end)
+    leaf = F.col("level") == 0
+    last = F.when(leaf & (F.col("place") == BELOW), -1).when(leaf & (F.col("place") == ABOVE), F.lit(2 * HALF)).otherwise(F.least(end, F.lit(ABOVE - 1)))
+    nodes = digests.withColumn("_end", last)
     w = Window.partitionBy(*groups)
     upto = F.sum("n").over(w.orderBy("_end", "level").rowsBetween(Window.unboundedPreceding, 0))
     run = nodes.select(*groups, "_end", upto.alias("_upto"), F.sum("n").over(w).alias("n"))
     at = [F.min(F.when(F.col("_upto") >= F.greatest(F.lit(1), F.ceil(F.lit(q) * F.col("n"))), F.col("_end"))).alias(f"_{i}") for i, q in enumerate(shares)]
     got = run.groupBy(*groups).agg(F.first("n").alias("n"), *at)
-    value = lambda i: (F.least(F.col(f"_{i}"), F.lit(2 * HALF - 1)) - HALF) * F.lit(unit)
-    each = F.explode(F.array(*[F.struct(F.lit(q).alias("percentile"), F.round(value(i), 9).alias("value")) for i, q in enumerate(shares)]))
+    value = lambda c: F.when(c < 0, F.lit(float("-inf"))).when(c > ABOVE, F.lit(float("inf"))).otherwise(F.round((c - HALF) * F.lit(unit), 9))
+    each = F.explode(F.array(*[F.struct(F.lit(q).alias("percentile"), value(F.col(f"_{i}")).alias("value")) for i, q in enumerate(shares)]))
     bound = F.when(F.col("n") >= k, F.floor(F.col("n") / k) * DEPTH).otherwise(0).cast("long")
     return got.select(*groups, each.alias("x"), "n", bound.alias("rank_bound")).select(*groups, "x.percentile", "x.value", "n", "rank_bound")

@@ -105,16 +105,23 @@ def test_percentiles_in_spark(spark, monkeypatch):
     df = spark.createDataFrame(data, "g string, v double").withColumn("f", F.spark_partition_id())
     k = qdigest.compression(0.05)
     nodes = qdigest.leaves(df, ["g", "f"], "v", 0.01).drop("f")
-    got = {(r["g"], r["percentile"]): r for r in qdigest.estimates(nodes, ["g"], [0.1, 0.5, 0.99, 1.0], 0.01, k).collect()}
-    assert len(got) == 12 and got["b", 0.5]["value"] == 1.5 and got["b", 0.5]["rank_bound"] == 0 and got[None, 0.5]["value"] == 7.0
-    v = np.sort([x for g, x in data if g == "a"])
+    monkeypatch.setattr(qdigest, "ROWS_AT_ONCE", 2500)
+    parts = qdigest.partial_digests(df, ["g", "f"], ["v"], 0.01, k).drop("f", "field_name")
+    for n in (nodes, parts):
+        got = {(r["g"], r["percentile"]): r for r in qdigest.estimates(n, ["g"], [0.1, 0.5, 0.99, 1.0], 0.01, k).collect()}
+        assert len(got) == 12 and got["b", 0.5]["value"] == 1.5 and got["b", 0.5]["rank_bound"] == 0 and got[None, 0.5]["value"] == 7.0
+        assert got["a", 1.0]["value"] == float("inf")  # beyond the universe
+        _check_ranks(np.sort([x for g, x in data if g == "a"]), got)
+    assert qdigest.partial_digests(df.limit(0), ["g"], ["v"], 0.01, k).count() == 0
+
+
+def _check_ranks(v, got):
     for q in (0.1, 0.5, 0.99):
         r = got["a", q]
         assert r["n"] == 9001
         target = int(np.ceil(q * 9001))
         lo, hi = np.searchsorted(v, r["value"] - 0.0051, "left"), np.searchsorted(v, r["value"] + 0.0051, "right")
         assert max(0, lo + 1 - target, target - hi) <= r["rank_bound"] <= 0.05 * 9001
-    assert qdigest.estimates(nodes.limit(0), ["g"], [0.5], 0.01, k).count() == 0
 
 
 def test_p4_runs_over_all_rows(spark):
@@ -145,10 +152,42 @@ def test_p9_equals_brute_force(spark):
     assert {tuple(r) for r in queries.p9_found(spark, SF).collect()} == want
 
 
-def test_p9_sql(spark):
+@pytest.mark.parametrize("name", list(queries.ORACLE))
+def test_sql(spark, name):
     from tests.test_queries import same_as_sql
 
-    same_as_sql(spark, queries, "p9_found")
+    same_as_sql(spark, queries, name)
+
+
+def test_two_replaced_words_anywhere_are_found():
+    item = [f"w{i}" for i in range(leaks.SPAN)]
+    index = leaks.Index([("a", " ".join(item))])
+    for i in range(leaks.SPAN):
+        for j in range(i, leaks.SPAN):
+            text = ["x", *[w if k not in (i, j) else "other" for k, w in enumerate(item)], "y"]
+            (found,) = index.overlaps(leaks.word_hashes(text), np.array([len(text)]))
+            assert found[3:] == (leaks.SPAN, len({i, j}))
+
+
+def test_both_ways_find_the_same(spark, monkeypatch):
+    rng = random.Random(11)
+    vocabulary = [f"v{i}" for i in range(40)]
+    item = lambda n: " ".join(rng.choice(vocabulary) for _ in range(n))
+    texts = [item(n) for n in (12, 20, 60, 60, 11)] + ["cab " * 40] * 3
+    items = spark.createDataFrame([(f"i{k}", t) for k, t in enumerate(texts)] + [(None, "x"), ("n", None)], "item_id string, item_text string")
+    pages = ["cab " * 300, None, " "]
+    for t in texts:
+        w = t.split()
+        for _ in range(3):
+            at = rng.randrange(max(1, len(w) - 13))
+            cut = [x if rng.random() > 0.12 else "other" for x in w[at : at + rng.randrange(12, 30)]]
+            pages.append(" ".join([item(rng.randrange(4)), *cut, item(rng.randrange(30))]))
+    d = docs(spark, pages)
+    got = []
+    for most in (10**6, 0):
+        monkeypatch.setattr(leaks, "BLOCK_CHARS", most)
+        got.append({tuple(r) for r in leaks.overlaps(d, "doc_id", "text", items, "item_id", "item_text").collect()})
+    assert got[0] == got[1] and len(got[0]) > 10 and {(0, f"i{k}", 40, 40, 0) for k in (5, 6, 7)} <= got[0]
 
 
 def test_words_of_any_writing():
@@ -162,15 +201,16 @@ def test_words_of_any_writing():
 def test_leaks_at_the_limits(spark, monkeypatch):
     item = [f"w{i}" for i in range(40)]
     cut = lambda a, b: " ".join(item[a:b])
-    swapped = " ".join(w if i % 6 else "other" for i, w in enumerate(item))
+    swapped = " ".join(w if i % 6 else "other" for i, w in enumerate(item))  # two of any twelve words
     texts = [None, "", "  ", cut(0, 12), cut(5, 16), "x " * 5000 + cut(28, 40) + " y" * 5000, cut(0, 11) + " z " + cut(11, 22), swapped, cut(0, 12), "<p>" + ",".join(item[3:20]) + "</p>"]
     items = spark.createDataFrame([(7, " ".join(item)), (8, cut(0, 12)), (9, None), (10, "short"), (7, " ".join(item))], "item_id long, item_text string").withColumn("i", F.lit(1))
     d = docs(spark, texts)
     want = {(3, 7), (3, 8), (5, 7), (8, 7), (8, 8), (9, 7)}
     assert {tuple(r) for r in leaks.leaks(d, "doc_id", "text", items, "item_id", "item_text").collect()} == want
     over = {(r["doc_id"], r["item_id"]): r for r in leaks.overlaps(d, "doc_id", "text", items, "item_id", "item_text").collect()}
-    assert over[7, 7]["run"] == 5 and over[7, 7]["overlap"] >= 30 and over[7, 7]["replaced"] >= 5  # found through replaced words
-    monkeypatch.setattr(leaks, "BLOCK_CHARS", 20)  # many blocks of items
+    assert tuple(over[7, 7])[2:] == (5, 40, 7)  # found through replaced words
+    assert tuple(over[6, 7])[2:] == (11, 13, 2)
+    monkeypatch.setattr(leaks, "BLOCK_CHARS", 20)  # by shuffle
     assert {tuple(r) for r in leaks.leaks(d, "doc_id", "text", items, "item_id", "item_text").collect()} == want
     assert leaks.leaks(d.limit(0), "doc_id", "text", items, "item_id", "item_text").count() == 0
     assert leaks.leaks(d, "doc_id", "text", items.limit(0), "item_id", "item_text").count() == 0
