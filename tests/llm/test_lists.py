@@ -1,5 +1,8 @@
 """Lists without repeats, and repeats within scripts without spaces."""
 
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
 from quaystone.llm import stuffing
 
 TAGS = "leather wallet, phone case, usb charger, garden hose, desk lamp, wool scarf, tea pot, bike pump, rain coat, oak table, steel pan, glass jar, silk tie, toy train, bread knife, door mat, paper fan, wall clock, sun hat, ear plug, copper wire, plant pot, wine rack, bath towel, snow boot, coin purse, hair dryer, fish tank, book shelf, fire alarm"
@@ -23,3 +26,31 @@ def test_sentences_with_lists_are_no_case():
     poem = "\n".join(["the rain on the road", "is it the night", "or only the wind", "that was at the door"] * 1 + ["she is at sea", "and he is home", "we had no lamp", "but the moon was", "it is not far", "to the old mill", "where they had been", "in the long grass", "by the low wall"])
     for text in (PROSE, poem, PROSE * 2 + "\n" + "\n".join(TAGS.split(", ")[:14]), "Anna, Ben, Clara, and Dora took the cab to the harbour, paid in cash, and left.", HAN.replace("，", ",")):
         assert stuffing.filler_share(text)[0] < 0.5, text[:60]
+
+
+def test_tables_logs_and_code_are_no_case():
+    stations = "\n".join(f"{a}{b} {i * 7 % 90 + 10} {i * 3.5}" for i, (a, b) in enumerate((a, b) for a in ("Elm", "Oak", "Fen", "Ald", "Kes", "Mer") for b in ("wick", "ham", "port", "ley")))
+    log = "\n".join(f"{6 + i // 4:02d}:{i % 4 * 15:02d} {x}" for i, x in enumerate(["left depot", "stand full", "rider picked up", "rank empty", "refuelled", "rider dropped", "short break", "meter reset"] * 3))
+    code = "\n".join(["def total(rows):", "    out = {}", "    for r in rows:", "        out[r['zone']] = out.get(r['zone'], 0) + r['fare']", "    return out", "print(total([{'zone': 1, 'fare': 2.5}]))", "x = total(rows)", "y = {k: v for k, v in x.items()}"])
+    for text in (stations, stations.replace(" ", " | "), log, code):
+        assert stuffing.filler_share(text)[0] <= 0.5, text[:60]
+
+
+def test_a_run_of_words_that_nothing_ties_is_filler():
+    names = " ".join(x for x in TAGS.split(", ")[:23])
+    assert stuffing.filler_share(names)[0] > 0.5 and stuffing.filler_share(PROSE + " " + PROSE + "\n" + names)[0] < 0.5
+
+
+def test_a_page_below_the_bar_needs_no_automaton(monkeypatch):
+    monkeypatch.setattr(stuffing, "repeats", None)
+    share, covered = stuffing.filler_share(PROSE, 0.5)
+    assert share <= 0.5 and covered is None and stuffing.filler_share("  ", 0.5) == (0.0, 0.0)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.sampled_from([*PROSE.split(), *TAGS.split(), "\n", "|", "https://a.example/b", ".", "12:30", HAN[:9]]), max_size=60))
+def test_the_bound_holds(words):
+    text = " ".join(words)
+    most, covered = stuffing.filler_share(text, 0.5)
+    exact = stuffing.filler_share(text)
+    assert (exact[0] <= most and exact[0] <= 0.5) if covered is None and text.strip() else (most, covered) == exact
