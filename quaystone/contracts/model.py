@@ -35,6 +35,9 @@ class Rule:
         return {"action": self.action, "name": self.name, "severity": self.severity}
 
 
+GRAIN = "one physical source row inside one landed source-file version"
+
+
 @dataclass(frozen=True)
 class Contract:
     service: str
@@ -44,6 +47,8 @@ class Contract:
     pickup_key: str
     dropoff_key: str
     rules: tuple[Rule, ...]
+    version: str
+    grain: str = GRAIN
     zone: str = "America/New_York"
     components: tuple[str, ...] = ()
 
@@ -59,7 +64,7 @@ class Contract:
 
     def document(self) -> dict:
         return {
-            "columns": [c.document() for c in self.columns], "components": list(self.components), "dropoff": self.dropoff, "dropoff_key": self.dropoff_key, "pickup": self.pickup,
+            "columns": [c.document() for c in self.columns], "components": list(self.components), "contract_version": self.version, "dropoff": self.dropoff, "dropoff_key": self.dropoff_key, "grain": self.grain, "pickup": self.pickup,
             "pickup_key": self.pickup_key, "rules": [r.document() for r in self.rules], "service": self.service, "zone": self.zone,
         }
 
@@ -86,72 +91,64 @@ RULES = (
 )
 
 
-def _columns(text: str) -> tuple[ColumnSpec, ...]:
-    """name[=alias|alias] kind role [required] [guarded], one column a line."""
-    out = []
-    for line in text.strip().splitlines():
-        head, kind, role, *marks = line.split()
-        name, _, aliases = head.partition("=")
-        out.append(ColumnSpec(name, tuple(aliases.split("|")) if aliases else (name,), kind, "required" in marks, role, "guarded" in marks))
-    return tuple(out)
-
-
 # The columns of the two trip services.
 YELLOW = Contract(
     "yellow",
-    _columns("""
-vendor_id=VendorID int64 code
-pickup_datetime=tpep_pickup_datetime timestamp_ntz temporal required
-dropoff_datetime=tpep_dropoff_datetime timestamp_ntz temporal required
-passenger_count float64 measure guarded
-trip_distance float64 measure
-ratecode_id=RatecodeID float64 code guarded
-store_and_fwd_flag string flag
-pickup_location_id=PULocationID int64 zone_key required
-dropoff_location_id=DOLocationID int64 zone_key required
-payment_type int64 code
-fare_amount float64 measure required
-extra float64 measure
-mta_tax float64 measure
-tip_amount float64 measure
-tolls_amount float64 measure
-improvement_surcharge float64 measure
-total_amount float64 measure required
-congestion_surcharge float64 measure
-airport_fee=airport_fee|Airport_fee float64 measure
-cbd_congestion_fee float64 measure
-"""),
-    "pickup_datetime", "dropoff_datetime", "pickup_location_id", "dropoff_location_id", RULES, components=("fare_amount", "tip_amount", "total_amount"),
+    (
+        ColumnSpec("vendor_id", ("VendorID",), "int64", role="code"),
+        ColumnSpec("pickup_datetime", ("tpep_pickup_datetime",), "timestamp_ntz", role="temporal", required=True),
+        ColumnSpec("dropoff_datetime", ("tpep_dropoff_datetime",), "timestamp_ntz", role="temporal", required=True),
+        ColumnSpec("passenger_count", ("passenger_count",), "float64", role="measure", guarded=True),
+        ColumnSpec("trip_distance", ("trip_distance",), "float64", role="measure"),
+        ColumnSpec("ratecode_id", ("RatecodeID",), "float64", role="code", guarded=True),
+        ColumnSpec("store_and_fwd_flag", ("store_and_fwd_flag",), "string", role="flag"),
+        ColumnSpec("pickup_location_id", ("PULocationID",), "int64", role="zone_key", required=True),
+        ColumnSpec("dropoff_location_id", ("DOLocationID",), "int64", role="zone_key", required=True),
+        ColumnSpec("payment_type", ("payment_type",), "int64", role="code"),
+        ColumnSpec("fare_amount", ("fare_amount",), "float64", role="measure", required=True),
+        ColumnSpec("extra", ("extra",), "float64", role="measure"),
+        ColumnSpec("mta_tax", ("mta_tax",), "float64", role="measure"),
+        ColumnSpec("tip_amount", ("tip_amount",), "float64", role="measure"),
+        ColumnSpec("tolls_amount", ("tolls_amount",), "float64", role="measure"),
+        ColumnSpec("improvement_surcharge", ("improvement_surcharge",), "float64", role="measure"),
+        ColumnSpec("total_amount", ("total_amount",), "float64", role="measure", required=True),
+        ColumnSpec("congestion_surcharge", ("congestion_surcharge",), "float64", role="measure"),
+        ColumnSpec("airport_fee", ("airport_fee", "Airport_fee"), "float64", role="measure"),
+        ColumnSpec("cbd_congestion_fee", ("cbd_congestion_fee",), "float64", role="measure"),
+    ),
+    "pickup_datetime", "dropoff_datetime", "pickup_location_id", "dropoff_location_id", RULES, "yellow/v1",
+    components=("fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount", "improvement_surcharge", "congestion_surcharge", "airport_fee", "cbd_congestion_fee", "total_amount"),
 )
 HVFHV = Contract(
     "hvfhv",
-    _columns("""
-hvfhs_license_num string code
-dispatching_base_num string code
-originating_base_num string code
-request_datetime timestamp_ntz temporal
-on_scene_datetime timestamp_ntz temporal
-pickup_datetime timestamp_ntz temporal required
-dropoff_datetime timestamp_ntz temporal required
-pickup_location_id=PULocationID int64 zone_key required
-dropoff_location_id=DOLocationID int64 zone_key required
-trip_miles float64 measure
-trip_time int64 measure
-base_passenger_fare float64 measure required
-tolls float64 measure
-bcf float64 measure
-sales_tax float64 measure
-congestion_surcharge float64 measure
-airport_fee float64 measure
-tips float64 measure
-driver_pay float64 measure required
-shared_request_flag string flag
-shared_match_flag string flag
-access_a_ride_flag string flag
-wav_request_flag string flag
-wav_match_flag string flag
-cbd_congestion_fee float64 measure
-"""),
-    "pickup_datetime", "dropoff_datetime", "pickup_location_id", "dropoff_location_id", RULES, components=("base_passenger_fare", "tips", "driver_pay"),
+    (
+        ColumnSpec("hvfhs_license_num", ("hvfhs_license_num",), "string", role="code"),
+        ColumnSpec("dispatching_base_num", ("dispatching_base_num",), "string", role="code"),
+        ColumnSpec("originating_base_num", ("originating_base_num",), "string", role="code"),
+        ColumnSpec("request_datetime", ("request_datetime",), "timestamp_ntz", role="temporal"),
+        ColumnSpec("on_scene_datetime", ("on_scene_datetime",), "timestamp_ntz", role="temporal"),
+        ColumnSpec("pickup_datetime", ("pickup_datetime",), "timestamp_ntz", role="temporal", required=True),
+        ColumnSpec("dropoff_datetime", ("dropoff_datetime",), "timestamp_ntz", role="temporal", required=True),
+        ColumnSpec("pickup_location_id", ("PULocationID",), "int64", role="zone_key", required=True),
+        ColumnSpec("dropoff_location_id", ("DOLocationID",), "int64", role="zone_key", required=True),
+        ColumnSpec("trip_miles", ("trip_miles",), "float64", role="measure"),
+        ColumnSpec("trip_time", ("trip_time",), "int64", role="measure"),
+        ColumnSpec("base_passenger_fare", ("base_passenger_fare",), "float64", role="measure", required=True),
+        ColumnSpec("tolls", ("tolls",), "float64", role="measure"),
+        ColumnSpec("bcf", ("bcf",), "float64", role="measure"),
+        ColumnSpec("sales_tax", ("sales_tax",), "float64", role="measure"),
+        ColumnSpec("congestion_surcharge", ("congestion_surcharge",), "float64", role="measure"),
+        ColumnSpec("airport_fee", ("airport_fee",), "float64", role="measure"),
+        ColumnSpec("tips", ("tips",), "float64", role="measure"),
+        ColumnSpec("driver_pay", ("driver_pay",), "float64", role="measure", required=True),
+        ColumnSpec("shared_request_flag", ("shared_request_flag",), "string", role="flag"),
+        ColumnSpec("shared_match_flag", ("shared_match_flag",), "string", role="flag"),
+        ColumnSpec("access_a_ride_flag", ("access_a_ride_flag",), "string", role="flag"),
+        ColumnSpec("wav_request_flag", ("wav_request_flag",), "string", role="flag"),
+        ColumnSpec("wav_match_flag", ("wav_match_flag",), "string", role="flag"),
+        ColumnSpec("cbd_congestion_fee", ("cbd_congestion_fee",), "float64", role="measure"),
+    ),
+    "pickup_datetime", "dropoff_datetime", "pickup_location_id", "dropoff_location_id", RULES, "hvfhv/v1",
+    components=("base_passenger_fare", "tolls", "bcf", "sales_tax", "congestion_surcharge", "airport_fee", "cbd_congestion_fee", "tips", "driver_pay"),
 )
 CONTRACTS = {c.service: c for c in (YELLOW, HVFHV)}

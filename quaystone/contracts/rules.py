@@ -11,7 +11,7 @@ from quaystone.contracts.model import Contract
 from quaystone.contracts.resolve import Mapping, Resolution
 from quaystone.runtime import bounded
 
-LINEAGE = ("logical_id", "source_service", "source_period", "source_file_version_id", "source_published_at_utc", "source_content_sha256", "artifact_completeness", "contract_fingerprint", "derivation_id", "zone_lookup_version_id", "source_row_ordinal")
+LINEAGE = ("logical_id", "source_service", "source_period", "source_file_version_id", "source_published_at_utc", "source_logical_url", "source_content_sha256", "artifact_completeness", "contract_version", "contract_fingerprint", "derivation_id", "zone_lookup_version_id", "source_row_ordinal")
 SIDES = ("pickup", "dropoff")
 
 
@@ -120,13 +120,13 @@ def incident_id(*parts: Column) -> Column:
     return F.sha2(F.to_json(F.array(*[p.cast("string") for p in parts])), 256)
 
 
-INCIDENT = ("incident_id", "scope", "rule", "severity", "action", "logical_id", "source_service", "source_period", "source_file_version_id", "derivation_id", "source_row_ordinal", "detail")
+INCIDENT = ("incident_id", "scope", "rule", "severity", "action", "logical_id", "source_service", "source_period", "source_file_version_id", "derivation_id", "source_row_ordinal", "contract_version", "detail")
 
 
 def row_incidents(rows: DataFrame, contract: Contract) -> DataFrame:
     """One incident for each flag that a row raises."""
     raised = F.array_compact(F.array(*[F.when(F.col(f"_{r.name}"), F.struct(F.lit(r.name).alias("rule"), F.lit(r.severity).alias("severity"), F.lit(r.action).alias("action"))) for r in contract.rules]))
-    each = rows.select("logical_id", "source_service", "source_period", "source_file_version_id", "derivation_id", "source_row_ordinal", F.explode(raised).alias("f")).select("*", "f.*")
+    each = rows.select("logical_id", "source_service", "source_period", "source_file_version_id", "derivation_id", "source_row_ordinal", "contract_version", F.explode(raised).alias("f")).select("*", "f.*")
     each = each.withColumns({"incident_id": incident_id(*[F.col(c) for c in ("source_file_version_id", "derivation_id", "source_row_ordinal", "rule")]), "scope": F.lit("row"), "detail": F.lit(None).cast("string")})
     return each.select(*INCIDENT)
 
@@ -134,7 +134,7 @@ def row_incidents(rows: DataFrame, contract: Contract) -> DataFrame:
 def version_incidents(spark, resolved: Resolution, lineage: dict[str, object]) -> DataFrame:
     """One incident for each violation of a rejected file."""
     schema = ", ".join(f"{c} {'bigint' if c == 'source_row_ordinal' else 'string'}" for c in (*INCIDENT[1:], "column_name"))
-    rows = [("version", v.rule, "high", "quarantine", lineage["logical_id"], lineage["source_service"], lineage["source_period"], lineage["source_file_version_id"], lineage["derivation_id"], None, f"{v.column}: {v.detail}", v.column) for v in resolved.violations]
+    rows = [("version", v.rule, "high", "quarantine", lineage["logical_id"], lineage["source_service"], lineage["source_period"], lineage["source_file_version_id"], lineage["derivation_id"], None, lineage["contract_version"], f"{v.column}: {v.detail}", v.column) for v in resolved.violations]
     df = spark.createDataFrame(rows, schema)
     return df.withColumn("incident_id", incident_id(*[F.col(c) for c in ("derivation_id", "source_file_version_id", "rule", "column_name")])).select(*INCIDENT)
 

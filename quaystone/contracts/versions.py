@@ -17,6 +17,14 @@ class Conflict(RuntimeError):
     """A document exists with other content."""
 
 
+class Damaged(RuntimeError):
+    """A document of the catalog cannot be read, or stands where another belongs."""
+
+
+class ForeignLayout(RuntimeError):
+    """A warehouse holds publications but not in the layout that this package recovers."""
+
+
 @dataclass(frozen=True)
 class Candidate:
     logical_id: str
@@ -160,6 +168,9 @@ class Marker:
         return {"schema_version": 1, **asdict(self), "violations": list(self.violations)}
 
 
+LAYOUT = {"schema_version": 1, "table_layout": "contract-fingerprint"}
+
+
 class Catalog:
     """Markers per derivation, one boundary, and an append-only ledger of decisions, under one folder."""
 
@@ -178,15 +189,56 @@ class Catalog:
         return install(self.marker_path(m.logical_id, m.derivation_id), m.document())
 
     def markers(self) -> list[Marker]:
-        docs = [json.loads(p.read_text()) for p in sorted(self.root.glob("markers/*/*.json"))]
-        return [Marker(**{k: tuple(v) if k == "violations" else v for k, v in d.items() if k != "schema_version"}) for d in docs]
+        out = []
+        for p in sorted(self.root.glob("markers/*/*.json")):
+            d = self._document(p)
+            try:
+                m = Marker(**{k: tuple(v) if k == "violations" else v for k, v in d.items() if k != "schema_version"})
+            except TypeError as e:
+                raise Damaged(f"{p.name}: {e}") from None
+            if self.marker_path(m.logical_id, m.derivation_id) != p:
+                raise Damaged(f"{p.parent.name}/{p.name} holds the marker of {m.logical_id}")
+            out.append(m)
+        return out
+
+    @staticmethod
+    def _document(path: Path) -> dict:
+        try:
+            d = json.loads(path.read_text())
+        except ValueError as e:
+            raise Damaged(f"{path.name}: {e}") from None
+        if not isinstance(d, dict):
+            raise Damaged(f"{path.name} is no document")
+        return d
+
+    # -- layout
+
+    @property
+    def layout_path(self) -> Path:
+        return self.root / "layout.json"
+
+    def check_layout(self) -> None:
+        """Refuse a warehouse that shows publications without the mark of this layout, or another layout's mark.
+
+        The mark is set before the first write, so that a run that died before its first boundary can be told from a
+        warehouse of another kind.
+        """
+        if self.layout_path.exists():
+            if self._document(self.layout_path) != LAYOUT:
+                raise ForeignLayout(f"{self.layout_path.name} names another layout")
+        elif (self.root / "boundary.json").exists() or any(self.root.glob("markers/*/*.json")):
+            raise ForeignLayout("publications without a layout mark: build into a new warehouse")
+
+    def prepare_layout(self) -> str:
+        self.check_layout()
+        return install(self.layout_path, LAYOUT)
 
     def has(self, logical_id: str, derivation: str) -> bool:
         return self.marker_path(logical_id, derivation).exists()
 
     def boundary(self) -> Boundary | None:
         path = self.root / "boundary.json"
-        return Boundary.of(json.loads(path.read_text())) if path.exists() else None
+        return Boundary.of(self._document(path)) if path.exists() else None
 
     def covered(self, target: Boundary) -> set[str]:
         """Artifacts with a marker under the target."""

@@ -6,29 +6,38 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BUCKETS = 256
+#: Folds of so many values at most, on average, are sorted together.
+FOLD = 4096
+
+
+def row_metrics(period: str, pickup: str, dropoff: str, pickup_key: str, dropoff_key: str) -> dict[str, str]:
+    """What makes a row count, by metric; a null pickup counts as out of period here."""
+    year, month = (int(x) for x in period.split("-"))
+    return {
+        "source_rows": "true",
+        "null_pickup_zone_rows": f"{pickup_key} IS NULL",
+        "null_dropoff_zone_rows": f"{dropoff_key} IS NULL",
+        "pickup_out_of_period_rows": f"coalesce(year({pickup}) <> {year} OR month({pickup}) <> {month}, true)",
+        "negative_duration_rows": f"{dropoff} < {pickup}",
+        "unresolved_duration_rows": f"{pickup} IS NULL OR {dropoff} IS NULL",
+    }
+
+
+def component_metrics(component: str) -> dict[str, str]:
+    """The sums of a fare component, by metric; a sum of nothing is null."""
+    return {f"{component}_non_null_rows": f"count({component})", f"{component}_sum_cents": f"sum(CAST(round({component} * 100) AS BIGINT))"}
 
 
 def metric_names(components: tuple[str, ...]) -> list[str]:
-    fixed = ["source_rows", "null_pickup_zone_rows", "null_dropoff_zone_rows", "pickup_out_of_period_rows", "negative_duration_rows", "unresolved_duration_rows"]
-    return fixed + [f"{c}_{x}" for c in components for x in ("non_null_rows", "sum_cents")]
+    return [*row_metrics("2000-01", "", "", "", ""), *[n for c in components for n in component_metrics(c)]]
 
 
 def metrics_sql(relation: str, period: str, pickup: str, dropoff: str, pickup_key: str, dropoff_key: str, components: tuple[str, ...]) -> str:
-    """One statement that Spark and DuckDB both run. A null pickup counts as out of period here; sums of nothing are null."""
-    year, month = (int(x) for x in period.split("-"))
-    count = lambda test: f"CAST(sum(CASE WHEN {test} THEN 1 ELSE 0 END) AS BIGINT)"
-    parts = [
-        "CAST(count(*) AS BIGINT) AS source_rows",
-        f"{count(f'{pickup_key} IS NULL')} AS null_pickup_zone_rows",
-        f"{count(f'{dropoff_key} IS NULL')} AS null_dropoff_zone_rows",
-        f"{count(f'{pickup} IS NULL OR year({pickup}) <> {year} OR month({pickup}) <> {month}')} AS pickup_out_of_period_rows",
-        f"{count(f'{dropoff} < {pickup}')} AS negative_duration_rows",
-        f"{count(f'{pickup} IS NULL OR {dropoff} IS NULL')} AS unresolved_duration_rows",
-    ]
+    """One statement that Spark and DuckDB both run."""
+    parts = {n: f"count(CASE WHEN {test} THEN 1 END)" for n, test in row_metrics(period, pickup, dropoff, pickup_key, dropoff_key).items()}
     for c in components:
-        parts += [f"CAST(count({c}) AS BIGINT) AS {c}_non_null_rows", f"CAST(sum(CAST(round({c} * 100) AS BIGINT)) AS BIGINT) AS {c}_sum_cents"]
-    return f"SELECT {', '.join(parts)} FROM {relation}"
+        parts |= component_metrics(c)
+    return "SELECT " + ", ".join(f"CAST({x} AS BIGINT) AS {n}" for n, x in parts.items()) + f" FROM {relation}"
 
 
 def _stable(df: DataFrame, column: str) -> Column:
@@ -57,15 +66,19 @@ def additive_digest(hashes: DataFrame) -> DataFrame:
 def sorted_digest(hashes: DataFrame) -> DataFrame:
     """(row_count, digest): exact for the multiset of rows, whatever its order and size.
 
-    Equal hashes are counted before the shuffle, buckets of the hash space are folded in parallel, and 256 folds are
-    folded at the end; no bucket holds rows of one key more than once.
+    Equal hashes are counted before the shuffle and folded by leading digits, as many as keep a fold at FOLD hashes whatever
+    the number of rows; then 256 folds become one, level by level. The number of rows decides the levels, so equal multisets
+    have equal ones.
     """
+    rows, digits = hashes.count(), 4
+    while rows > FOLD * 16**digits:
+        digits += 2
     counted = hashes.groupBy("h").agg(F.count("*").alias("n"))
-    # a bucket is as many leading digits as keep it small: two levels, so that the widest fold stays bounded
     fold = lambda c: F.sha2(F.array_join(F.array_sort(F.collect_list(c)), "\n"), 256)
-    fine = counted.groupBy(F.substring("h", 1, 4).alias("b")).agg(F.sum("n").alias("n"), fold(F.concat_ws(":", "h", F.col("n").cast("string"))).alias("f"))
-    coarse = fine.groupBy(F.substring("b", 1, 2).alias("b")).agg(F.sum("n").alias("n"), fold(F.concat_ws(":", "b", "f")).alias("f"))
-    return coarse.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"), fold(F.concat_ws(":", "b", "f")).alias("digest"))
+    level = counted.groupBy(F.substring("h", 1, digits).alias("b")).agg(F.sum("n").alias("n"), fold(F.concat_ws(":", "h", F.col("n").cast("string"))).alias("f"))
+    for width in range(digits - 2, 0, -2):
+        level = level.groupBy(F.substring("b", 1, width).alias("b")).agg(F.sum("n").alias("n"), fold(F.concat_ws(":", "b", "f")).alias("f"))
+    return level.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"), fold(F.concat_ws(":", "b", "f")).alias("digest"))
 
 
 def key_digest(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -78,11 +91,16 @@ def signature(df: DataFrame) -> list[str]:
 
 
 def measure(df: DataFrame, keys: list[str]) -> dict:
-    """Schema, rows, distinct keys and digests; the row hashes are computed once for both digests."""
+    """Schema, rows, distinct keys, and both digests of the rows and of the distinct keys, so that copies that differ can be
+    told to differ in keys or only in values."""
     hashes = df.select(F.sha2(row_text(df), 256).alias("h"), F.sha2(row_text(df, keys), 256).alias("k"))
     additive = hashes.agg(F.count("*").alias("rows"), F.countDistinct("k").alias("keys"), F.sum(F.conv(F.substring("h", 1, 15), 16, 10).cast("decimal(38,0)")).cast("string").alias("additive")).first()
     exact = sorted_digest(hashes.select("h")).first()
-    return {"schema": signature(df), "rows": additive["rows"], "distinct_keys": additive["keys"], "additive_digest": additive["additive"], "sorted_digest": exact["digest"]}
+    single = hashes.select(F.col("k").alias("h")).distinct()
+    return {
+        "schema": signature(df), "rows": additive["rows"], "distinct_keys": additive["keys"], "additive_digest": additive["additive"], "sorted_digest": exact["digest"],
+        "key_additive_digest": additive_digest(single).first()["digest"], "key_sorted_digest": sorted_digest(single).first()["digest"],
+    }
 
 
 def compare(left: dict, right: dict) -> dict:

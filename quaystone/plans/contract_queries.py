@@ -27,7 +27,7 @@ def _evaluated(spark: SparkSession, d: str, name: str = "yellow_trip", contract:
     derived = F.sha2(F.concat_ws("\n", version, F.lit(print_), F.lit(ZONES)), 256)
     lineage = {
         "logical_id": F.concat_ws(":", F.lit("trip"), F.lit("synthetic_fixture"), F.lit(contract.service), "source_period"), "source_service": contract.service, "source_period": F.col("source_period"), "source_file_version_id": version,
-        "source_published_at_utc": F.col("ingested_at_utc").cast("string"), "source_content_sha256": version, "artifact_completeness": "synthetic_fixture", "contract_fingerprint": print_, "derivation_id": derived, "zone_lookup_version_id": ZONES,
+        "source_published_at_utc": F.col("ingested_at_utc").cast("string"), "source_content_sha256": version, "artifact_completeness": "synthetic_fixture", "contract_version": contract.version, "contract_fingerprint": print_, "derivation_id": derived, "zone_lookup_version_id": ZONES,
     }
     return rules.evaluated(source, contract, resolved, lineage, table(spark, d, "zone_lookup"), INTERVALS)
 

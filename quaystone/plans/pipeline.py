@@ -49,7 +49,7 @@ class Lake:
     """A landing store, tables per contract fingerprint, and the catalog that says what is visible."""
 
     def __init__(self, spark: SparkSession, landing_root: Path | str, warehouse: Path | str, completeness: str = "synthetic_fixture"):
-        scan.case_sensitive(spark)
+        spark = scan.case_sensitive(spark)
         self.spark, self.store, self.root, self.completeness = spark, landing.Store(landing_root), Path(warehouse), completeness
         self.catalog = Catalog(self.root / "catalog")
 
@@ -108,7 +108,8 @@ class Lake:
         m = p.manifest
         return {
             "logical_id": p.identity.logical_id, "source_service": p.identity.service, "source_period": p.identity.period, "source_file_version_id": m["version_id"], "source_published_at_utc": m["published_at_utc"],
-            "source_content_sha256": m["content_sha256"], "artifact_completeness": p.identity.completeness, "contract_fingerprint": contract.fingerprint(), "zone_lookup_version_id": zone_version,
+            "source_content_sha256": m["content_sha256"], "artifact_completeness": p.identity.completeness, "contract_version": contract.version, "contract_fingerprint": contract.fingerprint(),
+            "source_logical_url": (m.get("upstream") or {}).get("url") or inventory.source_file(p.identity.service, *inventory.parse_period(p.identity.period))["url"], "zone_lookup_version_id": zone_version,
             "derivation_id": derivation_id(m["version_id"], contract.fingerprint(), zone_version),
         }
 
@@ -150,6 +151,7 @@ class Lake:
 
     def run(self, requested: list[tuple[str, str]], run_id: str, zone_version: str | None = None, contracts: dict[str, Contract] = CONTRACTS, fail_after: int | None = None) -> dict:
         """Bring the requested artifacts up to date and show them; refuses before the first write what would leave others behind."""
+        self.catalog.check_layout()
         zone_version, zones = self.zones(zone_version)
         services = sorted({s for s, _ in requested})
         now = self.catalog.boundary()
@@ -159,6 +161,7 @@ class Lake:
         if left := self.catalog.missing(target, wanted):
             raise Conflict(f"the change also needs {', '.join(sorted(left))}")
         planned = self.plan(requested, contracts)
+        self.catalog.prepare_layout()
 
         def apply(p: Planned) -> dict:
             contract = contracts[p.identity.service]

@@ -21,9 +21,15 @@ def as_uri(path: str | Path) -> str:
     return text if "://" in text else f"file://{Path(text).absolute().as_posix()}"
 
 
-def case_sensitive(spark: SparkSession) -> None:
-    """Files may hold two spellings of a name; matching them is the contract's business."""
-    spark.conf.set("spark.sql.caseSensitive", "true")
+def case_sensitive(spark: SparkSession) -> SparkSession:
+    """A session of its own, with the caller's settings, that tells names by case: files may hold two spellings of a name, and
+    matching them is the contract's business."""
+    own = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(name):
+            own.conf.set(name, value)
+    own.conf.set("spark.sql.caseSensitive", "true")
+    return own
 
 
 def with_ordinal(spark: SparkSession, path: str) -> DataFrame:

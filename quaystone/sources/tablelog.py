@@ -1,15 +1,17 @@
 """Tables of Parquet files with a commit log: atomic appends, one commit per transaction key, snapshots.
 
-A commit writes its files aside, moves them into place and creates the next numbered log entry exclusively; the first
-creator wins, the other looks again and either finds its own key committed or takes the next number. Readers see only
-files that the log names.
+A commit writes its files aside, moves them into place and creates its entry, which is named by the transaction key,
+exclusively: the first creator wins, the other drops its files. Commits of different keys never meet. Whether a key is
+committed is one look; entries never change, so a process parses each once. Readers see only files that the log names.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 import os
 import shutil
+import time
 import uuid
 from pathlib import Path
 
@@ -25,16 +27,26 @@ class TableLog:
     def __init__(self, root: Path | str):
         self.root = Path(root)
         self.log = self.root / "_log"
+        self._known: dict[str, dict] = {}
+
+    def _entry(self, key: str) -> Path:
+        return self.log / f"{hashlib.sha256(key.encode()).hexdigest()}.json"
+
+    def _parsed(self, path: Path) -> dict:
+        if path.name not in self._known:
+            self._known[path.name] = json.loads(path.read_text())
+        return self._known[path.name]
 
     def entries(self) -> list[dict]:
-        return [json.loads(p.read_text()) for p in sorted(self.log.glob("*.json"))]
+        """All commits, the oldest first."""
+        return sorted((self._parsed(p) for p in self.log.glob("*.json")), key=lambda e: (e["committed_at"], e["key"]))
 
     def version(self) -> int:
         """Number of the last commit, -1 for no table."""
-        return max((int(p.stem) for p in self.log.glob("*.json")), default=-1)
+        return sum(1 for _ in self.log.glob("*.json")) - 1
 
     def committed(self, key: str) -> bool:
-        return any(e["key"] == key for e in self.entries())
+        return self._entry(key).exists()
 
     def append(self, df: DataFrame, key: str, partitions: list[str]) -> dict:
         """Commit df once under a key: `appended`, or `replayed` with nothing written. No rows are a commit too."""
@@ -49,27 +61,26 @@ class TableLog:
             os.replace(p, target)
             files.append({"bytes": target.stat().st_size, "path": str(target.relative_to(self.root))})
         shutil.rmtree(staged, ignore_errors=True)
-        entry = {"files": files, "key": key, "partitions": partitions, "schema": json.loads(df.schema.json())}
+        entry = {"committed_at": time.time_ns(), "files": files, "key": key, "partitions": partitions, "schema": json.loads(df.schema.json())}
         self.log.mkdir(parents=True, exist_ok=True)
-        while True:
-            number = self.version() + 1
-            # asked after the number is known: a commit that this misses takes the same number, and one of the two fails
-            if self.committed(key):  # the other writer was quicker; its files count, ours are dropped
-                for f in files:
-                    (self.root / f["path"]).unlink(missing_ok=True)
-                return {"state": "replayed", "rows": 0, "version": self.version()}
-            part = self.log / f".{label}"
-            part.write_text(json.dumps(entry, sort_keys=True))
-            try:
-                os.link(part, self.log / f"{number:020d}.json")
-                return {"state": "appended", "files": len(files), "version": number}
-            except FileExistsError:
-                continue
-            finally:
-                part.unlink(missing_ok=True)
+        part = self.log / f".{label}"
+        with part.open("w") as f:
+            f.write(json.dumps(entry, sort_keys=True))
+            f.flush()
+            os.fsync(f.fileno())
+        try:
+            os.link(part, self._entry(key))
+            return {"state": "appended", "files": len(files), "version": self.version()}
+        except FileExistsError:  # the other writer was quicker; its files count, ours are dropped
+            for f in files:
+                (self.root / f["path"]).unlink(missing_ok=True)
+            return {"state": "replayed", "rows": 0, "version": self.version()}
+        finally:
+            part.unlink(missing_ok=True)
 
     def files(self, keys: set[str] | None = None) -> list[str]:
-        return [f["path"] for e in self.entries() for f in e["files"] if keys is None or e["key"] in keys]
+        entries = self.entries() if keys is None else [self._parsed(p) for p in map(self._entry, sorted(keys)) if p.exists()]
+        return [f["path"] for e in entries for f in e["files"]]
 
     def missing_files(self) -> list[str]:
         return [f for f in self.files() if not (self.root / f).exists()]

@@ -40,6 +40,9 @@ def test_contracts():
     for c in CONTRACTS.values():
         aliases = [a for x in c.columns for a in x.document()["aliases"]]
         assert len(aliases) == len(set(aliases))
+    assert [len(c.components) for c in CONTRACTS.values()] == [10, 9] and set(YELLOW.components) & set(HVFHV.components) == {"congestion_surcharge", "airport_fee", "cbd_congestion_fee"}
+    assert all(c.column(x).kind == "float64" for c in CONTRACTS.values() for x in c.components)
+    assert [c.document()["contract_version"] for c in CONTRACTS.values()] == ["yellow/v1", "hvfhv/v1"] and YELLOW.document()["grain"] == HVFHV.document()["grain"]
     assert YELLOW.fingerprint() != HVFHV.fingerprint() and len(YELLOW.fingerprint()) == 64
     with pytest.raises(KeyError):
         YELLOW.column("nothing")

@@ -7,7 +7,7 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
-from quaystone.contracts.versions import Conflict
+from quaystone.contracts.versions import Conflict, Damaged, ForeignLayout
 from quaystone.functions import measure
 from quaystone.plans import pipeline
 from quaystone.sources import landing, scan
@@ -49,8 +49,7 @@ def lake(spark, tmp_path):
     lake.land("yellow", "2024-01", write_trips(tmp_path / "a.parquet", 1), RUN, "2024-02-01")
     lake.land("yellow", "2024-02", write_trips(tmp_path / "b.parquet", 2, current=True), RUN, "2024-03-01")
     assert lake.land_zones(write_zones(tmp_path / "z.csv"), RUN)["state"] == "published"
-    yield lake
-    spark.conf.unset("spark.sql.caseSensitive")
+    return lake
 
 
 ASKED = [("yellow", "2024-01"), ("yellow", "2024-02")]
@@ -137,7 +136,7 @@ def test_run_rebuild_replay(lake, tmp_path):
     assert rows == {"2024-01": (391, 9), "2024-02": (390, 10)}
     assert report["measured"]["yellow.trip"]["rows"] == 781
     trips = lake.read("yellow", "trip")
-    assert len(trips.columns) == 41 and trips.where("pickup_zone_resolved = false and pickup_location_id = 9001").count() == 8
+    assert len(trips.columns) == 43 and trips.where("pickup_zone_resolved = false and pickup_location_id = 9001").count() == 8
     incidents = {r["rule"]: r["count"] for r in lake.read("yellow", "incident").groupBy("rule").count().collect()}
     assert incidents == {"pickup_timestamp_missing": 10, "negative_duration": 8, "guarded_promotion_out_of_range": 1, "pickup_out_of_declared_period": 10, "zone_key_missing": 8, "zone_key_unknown": 8}
 
@@ -214,6 +213,70 @@ def test_two_writers(spark, tmp_path):
     assert sorted(states) == ["appended"] * 3 + ["replayed"] and log.version() == 2 and log.read(spark).count() == 150 and not log.missing_files()
 
 
+WRITER = """
+import sys
+from quaystone.runtime import session
+from quaystone.sources.tablelog import TableLog
+s = session("writer", 1, 1)
+df = s.range(20).selectExpr("id", "'p' p")
+print([TableLog(sys.argv[1]).append(df, k, ["p"])["state"] for k in ("same", "same too", sys.argv[2])])
+s.stop()
+"""
+
+
+def test_two_drivers(spark, tmp_path):
+    """Two processes that commit the same keys and one of their own each; what they leave is verified by a third."""
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    root = str(Path(__file__).resolve().parent.parent)
+    runs = [subprocess.Popen([sys.executable, "-c", WRITER, str(tmp_path / "t"), own], cwd=root, stdout=subprocess.PIPE, stderr=subprocess.DEVNULL, text=True) for own in ("one", "two")]
+    said = [r.communicate(timeout=180)[0] for r in runs]
+    assert all(r.returncode == 0 for r in runs) and sum(x.count("appended") for x in said) == 4 and sum(x.count("replayed") for x in said) == 2, said
+    log = TableLog(tmp_path / "t")
+    on_disk = {str(p.relative_to(tmp_path / "t")) for p in (tmp_path / "t" / "data").rglob("*.parquet")}
+    assert log.version() == 3 and sorted(e["key"] for e in log.entries()) == ["one", "same", "same too", "two"]
+    assert log.read(spark).count() == 80 and not log.missing_files() and set(log.files()) == on_disk
+
+
+def test_foreign_and_damaged_catalogs(lake):
+    lake.run(ASKED, RUN)
+    catalog = lake.catalog
+    marker = next(catalog.root.glob("markers/*/*.json"))
+    text = marker.read_text()
+    for broken in ("{", "[]", '{"schema_version": 1}', text.replace("2024-0", "2025-0")):
+        marker.write_text(broken)
+        with pytest.raises(Damaged):
+            catalog.markers()
+    marker.write_text(text)
+    for mark in ('{"schema_version": 1, "table_layout": "other"}', None):
+        catalog.layout_path.write_text(mark) if mark else catalog.layout_path.unlink()
+        with pytest.raises(ForeignLayout):
+            lake.run(ASKED, RUN)
+    assert catalog.visible()["trip"]  # refused before anything was written
+
+
+def test_keys_are_told_from_values(spark):
+    a = measure.measure(spark.createDataFrame([(1, "a"), (2, "b")], "k int, t string"), ["k"])
+    b = measure.measure(spark.createDataFrame([(1, "a"), (2, "c")], "k int, t string"), ["k"])
+    c = measure.measure(spark.createDataFrame([(1, "a"), (3, "b")], "k int, t string"), ["k"])
+    differs = lambda x: {k for k, f in measure.compare(a, x)["fields"].items() if not f["match"]}
+    assert differs(b) == {"additive_digest", "sorted_digest"} and differs(c) == {"additive_digest", "sorted_digest", "key_additive_digest", "key_sorted_digest"}
+
+
+def test_sorted_digest_grows(spark, monkeypatch):
+    df = measure.row_hashes(spark.range(2000).selectExpr("id % 1500 as id"))
+    one = measure.sorted_digest(df).first()
+    monkeypatch.setattr(measure, "FOLD", 0.01)  # more levels
+    more, again = measure.sorted_digest(df).first(), measure.sorted_digest(df.repartition(7)).first()
+    assert more == again and more["row_count"] == one["row_count"] == 2000 and more["digest"] != one["digest"]
+
+
+def test_a_lake_leaves_the_session_as_it_is(spark, lake):
+    assert spark.conf.get("spark.sql.caseSensitive") == "false" and lake.spark.conf.get("spark.sql.caseSensitive") == "true"
+
+
 def test_samples_need_recorded_hashes(spark, tmp_path):
     lake = pipeline.Lake(spark, tmp_path / "l", tmp_path / "w", "bounded_sample")
     f = write_trips(tmp_path / "a.parquet", 1)
@@ -221,7 +284,6 @@ def test_samples_need_recorded_hashes(spark, tmp_path):
         lake.land("yellow", "2024-01", f, RUN)
     assert lake.land("yellow", "2024-01", f, RUN, recorded={("yellow", "2024-01"): "0" * 64})["state"] == "rejected"
     assert lake.land("yellow", "2024-01", f, RUN, recorded={("yellow", "2024-01"): landing.sha256_file(f)})["state"] == "published"
-    spark.conf.unset("spark.sql.caseSensitive")
 
 
 def test_measure(spark):
