@@ -139,6 +139,13 @@ def version_incidents(spark, resolved: Resolution, lineage: dict[str, object]) -
     return df.withColumn("incident_id", incident_id(*[F.col(c) for c in ("derivation_id", "source_file_version_id", "rule", "column_name")])).select(*INCIDENT)
 
 
+def conservation(rows: DataFrame, contract: Contract, groups: list[str]) -> DataFrame:
+    """(groups..., source_rows, published_rows, quarantined_rows, conserved) from one pass over the flags."""
+    held = _quarantined(contract)
+    got = rows.groupBy(*groups).agg(F.count("*").alias("source_rows"), F.count(F.when(~held, 1)).alias("published_rows"), F.count(F.when(held, 1)).alias("quarantined_rows"))
+    return got.withColumn("conserved", F.col("source_rows") == F.col("published_rows") + F.col("quarantined_rows"))
+
+
 def conserved(source_rows: int, published_rows: int, quarantined_rows: int) -> None:
     if source_rows != published_rows + quarantined_rows:
         raise ArithmeticError(f"{source_rows} rows in, {published_rows} published and {quarantined_rows} quarantined")

@@ -9,7 +9,7 @@ import time
 from dataclasses import asdict, dataclass
 from pathlib import Path
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -76,6 +76,11 @@ def derivation_id(version_id: str, contract_fingerprint: str, zone_version: str)
     return hashlib.sha256("\n".join((version_id, contract_fingerprint, zone_version)).encode()).hexdigest()
 
 
+def derivation_of(version: Column, contract_fingerprint: str, zone_version: str) -> Column:
+    """derivation_id over a column of versions."""
+    return F.sha2(F.concat_ws("\n", version, F.lit(contract_fingerprint), F.lit(zone_version)), 256)
+
+
 def version_id(logical_id: str, content_sha256: str) -> str:
     return hashlib.sha256(f"{logical_id}\n{content_sha256}".encode()).hexdigest()
 

@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import csv
+import shutil
+import uuid
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,8 +15,11 @@ from quaystone.contracts import resolve, rules, versions
 from quaystone.contracts.model import HVFHV, YELLOW, Contract
 from quaystone.functions import measure
 from quaystone.functions.civiltime import Interval, transitions
+from quaystone.operators import drift
+from quaystone.operators.schema_tree import RANK
 from quaystone.plans import products
-from quaystone.runtime import table
+from quaystone.plans.pipeline import Lake, together
+from quaystone.runtime import shared_dir, table
 from quaystone.sources import inventory, scan
 
 YEARS, ZONES, PERIOD = range(2022, 2027), "zones-1", "2024-03"
@@ -24,7 +33,7 @@ def _evaluated(spark: SparkSession, d: str, name: str = "yellow_trip", contract:
         source = source.withColumn("passenger_count", F.col("vendorid") * F.lit(4503599627370496))
     resolved = resolve.resolve(contract, resolve.of_struct(source.schema))
     version, print_ = F.col("source_file_version_id"), contract.fingerprint()
-    derived = F.sha2(F.concat_ws("\n", version, F.lit(print_), F.lit(ZONES)), 256)
+    derived = versions.derivation_of(version, print_, ZONES)
     lineage = {
         "logical_id": F.concat_ws(":", F.lit("trip"), F.lit("synthetic_fixture"), F.lit(contract.service), "source_period"), "source_service": contract.service, "source_period": F.col("source_period"), "source_file_version_id": version,
         "source_published_at_utc": F.col("ingested_at_utc").cast("string"), "source_content_sha256": version, "artifact_completeness": "synthetic_fixture", "contract_version": contract.version, "contract_fingerprint": print_, "derivation_id": derived, "zone_lookup_version_id": ZONES,
@@ -32,6 +41,15 @@ def _evaluated(spark: SparkSession, d: str, name: str = "yellow_trip", contract:
     return rules.evaluated(source, contract, resolved, lineage, table(spark, d, "zone_lookup"), INTERVALS)
 
 
+def _folder(spark: SparkSession, label: str) -> Path:
+    """A folder for one query's files, in the shared folder, which has to be a mounted one here; removed when the driver ends."""
+    base = shared_dir(spark).removeprefix("file://")
+    path = Path(base) / f"quaystone-{label}-{uuid.uuid4().hex}"
+    path.mkdir(parents=True)
+    atexit.register(shutil.rmtree, path, True)
+    return path
+
+
 # -- scans ------------------------------------------------------------------------------------------------------------
 
 
@@ -103,13 +121,25 @@ def local_time_flags(spark, d):
     return _evaluated(spark, d).where("_local_time_nonexistent or _local_time_ambiguous").select(*KEY, F.col("_local_time_nonexistent").alias("nonexistent"), F.col("_local_time_ambiguous").alias("ambiguous"))
 
 
+def _zone_file(spark, d) -> Path:
+    """The zone lookup as the CSV file in which it is landed, with stray blanks."""
+    path = _folder(spark, "zones") / "zones.csv"
+    with path.open("w", encoding="utf-8-sig", newline="") as f:
+        out = csv.writer(f)
+        out.writerow(scan.ZONE_HEADER)
+        for r in table(spark, d, "zone_lookup").select("location_id", "borough", "zone_name", "service_zone").toLocalIterator():
+            out.writerow([f" {x} " if x is not None else "" for x in r])
+    return path
+
+
 def zone_dimension(spark, d):
-    return table(spark, d, "zone_lookup").select("location_id", F.trim("borough").alias("borough"), F.trim("zone_name").alias("zone_name"), F.trim("service_zone").alias("service_zone"))
+    """The zone dimension as read and checked from its file."""
+    return scan.zone_frame(spark, scan.read_zones(_zone_file(spark, d)))
 
 
 def zone_validation(spark, d):
-    key = F.expr("try_cast(location_id as int)")
-    return table(spark, d, "zone_lookup").agg(F.count("*").alias("row_count"), (F.count(key) - F.countDistinct(key)).alias("duplicate_ids"), F.count(F.when(key.isNull(), 1)).alias("invalid_ids"))
+    got = scan.zone_problems(_zone_file(spark, d))
+    return spark.createDataFrame([(got["rows"], got["duplicate_ids"], got["invalid_ids"], len(got["missing_columns"]))], "row_count bigint, duplicate_ids bigint, invalid_ids bigint, missing_columns int")
 
 
 def zone_join(spark, d):
@@ -141,13 +171,11 @@ def incident_summary(spark, d):
 
 
 def row_conservation(spark, d):
-    rows, held = _evaluated(spark, d, guard=True), rules._quarantined(YELLOW)
-    got = rows.groupBy("source_file_version_id").agg(F.count("*").alias("source_rows"), F.count(F.when(~held, 1)).alias("published_rows"), F.count(F.when(held, 1)).alias("quarantined_rows"))
-    return got.withColumn("conserved", F.col("source_rows") == F.col("published_rows") + F.col("quarantined_rows"))
+    return rules.conservation(_evaluated(spark, d, guard=True), YELLOW, ["source_file_version_id"])
 
 
 def derivation_id(spark, d):
-    return table(spark, d, "artifact_manifest").select("source_file_version_id", F.sha2(F.concat_ws("\n", "source_file_version_id", F.lit(YELLOW.fingerprint()), F.lit(ZONES)), 256).alias("derivation_id"))
+    return table(spark, d, "artifact_manifest").select("source_file_version_id", versions.derivation_of(F.col("source_file_version_id"), YELLOW.fingerprint(), ZONES).alias("derivation_id"))
 
 
 # -- metrics and digests ----------------------------------------------------------------------------------------------
@@ -215,9 +243,18 @@ def row_alignment(spark, d):
 
 
 def promotion_profile(spark, d):
-    source = table(spark, d, "yellow_trip")
-    got = resolve.resolve(YELLOW, resolve.of_struct(source.schema)).promotions()
-    return spark.createDataFrame([(k, len(v)) for k, v in got.items()], "promotion string, columns bigint")
+    """Promotions of a file that stores counts as whole numbers and codes and distances narrower than the contract."""
+    source = table(spark, d, "yellow_trip").selectExpr("* except (vendorid, payment_type, trip_distance, passenger_count)", "cast(vendorid as int) vendorid", "cast(payment_type as smallint) payment_type", "cast(trip_distance as float) trip_distance", "cast(passenger_count as bigint) passenger_count")
+    got = resolve.resolve(YELLOW, resolve.of_struct(source.schema))
+    return spark.createDataFrame([(k, len(v)) for k, v in got.promotions().items()], "promotion string, columns bigint")
+
+
+def rule_flags_hvfhv(spark, d):
+    return _evaluated(spark, d, "hvfhv_trip", HVFHV).select(*KEY, *[F.col(f"_{r.name}").alias(r.name) for r in HVFHV.rules])
+
+
+def contracted_rows_hvfhv(spark, d):
+    return rules.published(_evaluated(spark, d, "hvfhv_trip", HVFHV), HVFHV).select(*KEY, "derivation_id", "source_period", "contract_version", *HVFHV.names, "pickup_local_hour", "pickup_zone_resolved")
 
 
 # -- versions ---------------------------------------------------------------------------------------------------------
@@ -246,19 +283,43 @@ def ledger_reconcile(spark, d):
     return versions.ledger_changes(now, old, ["o_custkey", "o_orderkey"], "seq", what)
 
 
-def _active_files(spark, d):
-    m = table(spark, d, "artifact_manifest").where("artifact_kind = 'contracted'")
+def _active_files(spark, d, kinds: tuple[str, ...] = ("contracted",)):
+    m = table(spark, d, "artifact_manifest").where(F.col("artifact_kind").isin(*kinds))
     return versions.newest(m, "logical_id", "source_file_version_id", "published_at_utc")
 
 
+def _published_lake(spark, d, rows: bool) -> Lake:
+    """The contracted files as a published warehouse: a marker each, and if wanted one commit of published_trip's rows each.
+
+    Files of raw trips, which nothing published yet, are marked under an older contract.
+    """
+    root = _folder(spark, "lake")
+    lake, trips, now = Lake(spark, root / "landing", root / "warehouse"), table(spark, d, "published_trip"), YELLOW.fingerprint()
+    files = table(spark, d, "artifact_manifest").where("artifact_kind in ('contracted', 'trip')").select("logical_id", "artifact_kind", "source_period", "source_file_version_id", "published_at_utc").distinct().collect()
+    lake.catalog.prepare_layout()
+    for f in files:
+        print_ = now if f["artifact_kind"] == "contracted" else "0" * 64
+        lake.catalog.publish(versions.Marker(f["logical_id"], "yellow", f["source_period"], f["source_file_version_id"], f["published_at_utc"].isoformat(), "active", print_, ZONES, versions.derivation_id(f["source_file_version_id"], print_, ZONES)))
+    lake.catalog.settle(versions.Boundary(ZONES, {"yellow": now}))
+
+    def commit(file: str) -> None:
+        own = trips.where(F.col("source_file_version_id") == file).coalesce(1)
+        lake.table(YELLOW, "trip").append(own, f"yellow:trip:{versions.derivation_id(file, now, ZONES)}", ["source_period"])
+
+    if rows:
+        together(commit, [f["source_file_version_id"] for f in files if f["artifact_kind"] == "contracted"])
+    return lake
+
+
 def published_view(spark, d):
-    """Published rows of the newest file of each artifact."""
-    return table(spark, d, "published_trip").join(_active_files(spark, d).select("source_file_version_id"), "source_file_version_id", "left_semi").select("source_file_version_id", "source_row_ordinal", "derivation_id", "fare_amount")
+    """What readers see of a warehouse: the rows of the newest file of each artifact, of all that were committed."""
+    return _published_lake(spark, d, True).read("yellow", "trip").select("source_file_version_id", "source_row_ordinal", "derivation_id", "fare_amount")
 
 
 def coverage(spark, d):
-    """Artifacts whose newest file has no published rows."""
-    return _active_files(spark, d).join(table(spark, d, "published_trip").select("source_file_version_id").distinct(), "source_file_version_id", "left_anti").select("logical_id", "source_file_version_id")
+    """Artifacts that the boundary requires, and whether it covers them."""
+    got = _published_lake(spark, d, False).coverage([])
+    return spark.createDataFrame([(x, True) for x in got["covered"]] + [(x, False) for x in got["missing"]], "logical_id string, covered boolean")
 
 
 def coverage_summary(spark, d):
@@ -274,13 +335,13 @@ def event_counts(spark, d):
 
 
 def schema_change_history(spark, d):
-    """Changes of the columns that carry values, from period to period of yellow and hvfhv trips."""
-    parts = []
-    for name, cols in (("yellow_trip", ["cbd_congestion_fee", "airport_fee", "congestion_surcharge"]), ("hvfhv_trip", ["tips", "originating_base_num"])):
-        t = table(spark, d, name).where(F.col("source_period").rlike(r"^[0-9]{4}-(0[1-9]|1[0-2])$"))
-        cells = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(k).alias("kind"), F.col(c).isNotNull().alias("there")) for c, k in ((c, dict(t.dtypes)[c]) for c in cols)]))
-        parts.append(t.select(F.lit(name).alias("service"), "source_period", cells.alias("x")).where("x.there").select("service", "source_period", "x.column_name", "x.kind").distinct())
-    return inventory.schema_history(parts[0].unionByName(parts[1]), "service", "source_period", "column_name", "kind")
+    """Changes of the payloads' fields from period to period of each raw feed."""
+    raw = drift.file_schemas(table(spark, d, "raw_record"), "source_file_version_id", "payload").select("source_file_version_id", drift.shape_text(F.col("schema")).alias("text"))
+    fields = drift.shape_nodes(raw).where("size(path) = 1")
+    files = table(spark, d, "artifact_manifest").where("artifact_kind = 'raw' and source_period is not null").select("source_file_version_id", F.col("feed_id").cast("string").alias("feed"), "source_period").distinct()
+    rank = F.coalesce(*[F.when(F.col("kind") == k, F.lit(r)) for k, r in RANK.items()], F.lit(RANK["text"]))
+    cells = raw.withColumn("shape", F.md5("text")).join(fields, "shape").join(files, "source_file_version_id").groupBy("feed", "source_period", F.col("path")[0].alias("field_name")).agg(F.max(rank).alias("kind"))
+    return inventory.schema_history(cells, "feed", "source_period", "field_name", "kind")
 
 
 # -- products ---------------------------------------------------------------------------------------------------------
@@ -294,8 +355,28 @@ def fare_day(spark, d):
     return products.fare_day(table(spark, d, "hvfhv_trip"), "pickup_datetime", ["base_passenger_fare", "tips", "driver_pay"]).withColumn("local_date", F.col("local_date").cast("string"))
 
 
+def fare_day_yellow(spark, d):
+    return products.fare_day(table(spark, d, "yellow_trip"), "tpep_pickup_datetime", list(YELLOW.components)).withColumn("local_date", F.col("local_date").cast("string"))
+
+
+def _dimensions(spark, d):
+    return products.dimensional(table(spark, d, "hvfhv_trip"), "pickup_datetime", "pulocationid", "hvfhs_license_num", ["source_file_version_id", "feed_id", "source_period"])
+
+
 def dimensional_dates(spark, d):
-    return products.dimensional(table(spark, d, "hvfhv_trip"), "pickup_datetime", "pulocationid", "hvfhs_license_num")["date"].withColumn("local_date", F.col("local_date").cast("string"))
+    return _dimensions(spark, d)["date"].withColumn("local_date", F.col("local_date").cast("string"))
+
+
+def dimensional_zones(spark, d):
+    return _dimensions(spark, d)["zone"]
+
+
+def dimensional_services(spark, d):
+    return _dimensions(spark, d)["service"]
+
+
+def dimensional_versions(spark, d):
+    return _dimensions(spark, d)["source_version"]
 
 
 QUERIES = {
@@ -304,7 +385,7 @@ QUERIES = {
         occurrence_scan, dense_ordinals, schema_profile, schema_diff, schema_fingerprint, bounded_sample, version_filter, distinct_versions, contract_project, rule_flags, guarded_promotion, local_date_hour, local_time_flags,
         zone_dimension, zone_validation, zone_join, zone_key_unknown, contracted_rows, quarantine_rows, row_incidents, incident_ids, incident_summary, row_conservation, derivation_id, quality_metrics_yellow, quality_metrics_hvfhv,
         table_totals, additive_digest, sorted_digest, key_digest, metric_compare, ordinal_alignment, row_alignment, promotion_profile, version_selection, ledger_state, ledger_reconcile, published_view, coverage, coverage_summary,
-        inventory_rollup, event_counts, schema_change_history, zone_hour_demand, fare_day, dimensional_dates,
+        inventory_rollup, event_counts, schema_change_history, zone_hour_demand, fare_day, fare_day_yellow, dimensional_dates, dimensional_zones, dimensional_services, dimensional_versions, rule_flags_hvfhv, contracted_rows_hvfhv,
     )
 }
 
@@ -319,7 +400,10 @@ def _between(kind: str) -> str:
     return f"coalesce({' OR '.join(tests)}, false)"
 
 
-def _flag_sql(guard: bool) -> str:
+def _flag_sql(guard: bool, service: str = "yellow") -> str:
+    if service == "hvfhv":
+        text = _flag_sql(False).replace("yellow_trip", "hvfhv_trip").replace("tpep_", "").replace(YELLOW.fingerprint(), HVFHV.fingerprint())
+        return text.replace("CAST(passenger_count AS DOUBLE) AS riders, ", "")
     count = "vendorid * 4503599627370496" if guard else "passenger_count"
     guarded = "coalesce(vendorid * 4503599627370496 > 9007199254740992 OR vendorid * 4503599627370496 < -9007199254740992, false)" if guard else "false"
     return f"""WITH e AS (SELECT y.*, tpep_pickup_datetime AS pickup, tpep_dropoff_datetime AS dropoff, CAST({count} AS DOUBLE) AS riders, {guarded} AS guard,
@@ -344,7 +428,6 @@ _DECIDE = "CASE WHEN o_orderstatus = 'F' THEN 'rejected' WHEN row_number() OVER
 _ACTIVE = "SELECT logical_id, arg_max(source_file_version_id, struct_pack(a := published_at_utc, b := source_file_version_id)) AS source_file_version_id FROM artifact_manifest WHERE artifact_kind = 'contracted' GROUP BY logical_id"
 _METRICS = "SELECT unnest(['row_count', 'fares', 'fare_cents', 'derivations']) AS metric, unnest([count(*), count(fare_amount), CAST(sum(CAST(round(fare_amount * 100) AS BIGINT)) AS BIGINT), count(DISTINCT derivation_id)]) AS value FROM "
 _FOLD = "sha256(string_agg({x}, chr(10) ORDER BY {x}))"
-_NULLS = lambda t, cs: " UNION ALL ".join(f"SELECT '{t}' AS service, source_period, '{c}' AS column_name FROM {t} WHERE {c} IS NOT NULL AND regexp_full_match(source_period, '[0-9]{{4}}-(0[1-9]|1[0-2])')" for c in cs)
 _ORDINAL_KEY = "source_file_version_id || ':' || lpad(CAST(source_row_ordinal AS VARCHAR), 12, '0')"
 _VALUES = ["derivation_id", "source_period", "pickup_datetime", "dropoff_datetime", "passenger_count", "trip_distance", "pickup_location_id", "dropoff_location_id", "payment_type", "fare_amount", "tip_amount", "total_amount", "store_and_fwd_flag", "pickup_zone_name"]
 
@@ -362,8 +445,8 @@ ORACLE = {
     "guarded_promotion": _flag_sql(True) + f"SELECT {_K}, riders AS passenger_count FROM g WHERE guard",
     "local_date_hour": f"SELECT {_K}, strftime(tpep_pickup_datetime, '%Y-%m-%d') AS pickup_local_date, CAST(hour(tpep_pickup_datetime) AS INTEGER) AS pickup_local_hour FROM yellow_trip",
     "local_time_flags": _flag_sql(False) + f"SELECT {_K}, local_time_nonexistent AS nonexistent, local_time_ambiguous AS ambiguous FROM g WHERE local_time_nonexistent OR local_time_ambiguous",
-    "zone_dimension": "SELECT location_id, trim(borough) AS borough, trim(zone_name) AS zone_name, trim(service_zone) AS service_zone FROM zone_lookup",
-    "zone_validation": "SELECT count(*) AS row_count, count(TRY_CAST(location_id AS INTEGER)) - count(DISTINCT TRY_CAST(location_id AS INTEGER)) AS duplicate_ids, count_if(TRY_CAST(location_id AS INTEGER) IS NULL)::BIGINT AS invalid_ids FROM zone_lookup",
+    "zone_dimension": "SELECT location_id, coalesce(trim(borough), '') AS borough, coalesce(trim(zone_name), '') AS zone_name, coalesce(trim(service_zone), '') AS service_zone FROM zone_lookup",
+    "zone_validation": "SELECT count(*) AS row_count, count(TRY_CAST(location_id AS INTEGER)) - count(DISTINCT TRY_CAST(location_id AS INTEGER)) AS duplicate_ids, count_if(TRY_CAST(location_id AS INTEGER) IS NULL)::BIGINT AS invalid_ids, CAST(0 AS INTEGER) AS missing_columns FROM zone_lookup",
     "zone_join": _flag_sql(False) + f"SELECT {_K}, pb AS pickup_borough, pz AS pickup_zone_name, pr AS pickup_zone_resolved, db AS dropoff_borough, dz AS dropoff_zone_name, dr AS dropoff_zone_resolved FROM g",
     "zone_key_unknown": _flag_sql(False) + f"SELECT {_K}, pulocationid AS pickup_location_id, dolocationid AS dropoff_location_id FROM g WHERE zone_key_unknown",
     "contracted_rows": _flag_sql(True) + f"SELECT {_K}, derivation AS derivation_id, source_period, " + ", ".join(f"{_SOURCE_OF.get(n, n)} AS {n}" for n in YELLOW.names) + ", CAST(hour(pickup) AS INTEGER) AS pickup_local_hour, pr AS pickup_zone_resolved FROM g WHERE NOT held",
@@ -382,16 +465,27 @@ ORACLE = {
     "metric_compare": f"SELECT metric, a.value AS left_value, b.value AS right_value, a.value IS NOT DISTINCT FROM b.value AS matches FROM ({_METRICS} published_trip) a FULL JOIN ({_METRICS} rebuilt_trip) b USING (metric)",
     "ordinal_alignment": "WITH s AS (SELECT *, source_file_version_id || ':' || lpad(CAST(source_row_ordinal AS VARCHAR), 12, '0') AS k FROM published_trip), t AS (SELECT *, source_file_version_id || ':' || lpad(CAST(source_row_ordinal AS VARCHAR), 12, '0') AS k FROM rebuilt_trip), j AS (SELECT * FROM (SELECT DISTINCT k, payment_type AS p, store_and_fwd_flag AS f, 1 AS l FROM s) FULL JOIN (SELECT DISTINCT k, payment_type AS p2, store_and_fwd_flag AS f2, 1 AS r FROM t) USING (k)) SELECT count(l) AS left_rows, count(r) AS right_rows, min(CASE WHEN l IS NULL OR r IS NULL OR p IS DISTINCT FROM p2 OR f IS DISTINCT FROM f2 THEN k END) AS first_mismatch, count(l) = count(r) AND count(l) > 0 AND count_if(l IS NULL OR r IS NULL OR p IS DISTINCT FROM p2 OR f IS DISTINCT FROM f2) = 0 AS aligned FROM j",
     "row_alignment": f"WITH s AS (SELECT DISTINCT {_ORDINAL_KEY} AS k, {', '.join(f'{c} AS a_{c}' for c in _VALUES)}, 1 AS l FROM published_trip), t AS (SELECT DISTINCT {_ORDINAL_KEY} AS k, {', '.join(f'{c} AS b_{c}' for c in _VALUES)}, 1 AS r FROM rebuilt_trip), j AS (SELECT *, l IS NULL OR r IS NULL OR {' OR '.join(f'a_{c} IS DISTINCT FROM b_{c}' for c in _VALUES)} AS x FROM s FULL JOIN t USING (k)) SELECT count(l) AS left_rows, count(r) AS right_rows, min(CASE WHEN x THEN k END) AS first_mismatch, count(l) = count(r) AND count(l) > 0 AND count_if(x) = 0 AS aligned FROM j",
-    "promotion_profile": "SELECT 'identity' AS promotion, CAST(20 AS BIGINT) AS columns",
+    "promotion_profile": "SELECT CASE WHEN column_name = 'passenger_count' AND column_type = 'BIGINT' THEN 'guarded' WHEN column_type IN ('FLOAT', 'INTEGER', 'SMALLINT') THEN 'widening' ELSE 'identity' END AS promotion, count(*) AS columns FROM (DESCRIBE SELECT * REPLACE (CAST(vendorid AS INTEGER) AS vendorid, CAST(payment_type AS SMALLINT) AS payment_type, CAST(trip_distance AS FLOAT) AS trip_distance, CAST(passenger_count AS BIGINT) AS passenger_count) FROM (SELECT * EXCLUDE (source_file_version_id, source_row_ordinal, feed_id, source_period, ingested_at_utc) FROM yellow_trip)) GROUP BY ALL",
+    "rule_flags_hvfhv": _flag_sql(False, "hvfhv") + f"SELECT {_K}, " + ", ".join(r.name for r in HVFHV.rules) + " FROM g",
+    "contracted_rows_hvfhv": _flag_sql(False, "hvfhv") + f"SELECT {_K}, derivation AS derivation_id, source_period, '{HVFHV.version}' AS contract_version, " + ", ".join(f"CAST({_HVFHV_SOURCE.get(c.name, c.name) if c.name in _HVFHV_THERE | _HVFHV_SOURCE.keys() else 'NULL'} AS {_DUCK[c.kind]}) AS {c.name}" for c in HVFHV.columns) + ", CAST(hour(pickup) AS INTEGER) AS pickup_local_hour, pr AS pickup_zone_resolved FROM g WHERE NOT held",
     "version_selection": f"SELECT o_custkey, o_orderkey, {_DECIDE} FROM orders",
     "ledger_state": "WITH e AS (SELECT event_id, user_id, event_id % 50 AS version, event_id % 3 = 0 AS act FROM events), o AS (SELECT user_id, max(event_id) AS on_id FROM e WHERE act GROUP BY user_id), v AS (SELECT user_id, on_id, on_id % 50 AS version FROM o), f AS (SELECT user_id, version, max(event_id) AS off_id FROM e WHERE NOT act GROUP BY ALL) SELECT u.user_id, CASE WHEN off_id IS NULL OR off_id < on_id THEN v.version END AS active_version FROM (SELECT DISTINCT user_id FROM e) u LEFT JOIN v USING (user_id) LEFT JOIN f ON f.user_id = v.user_id AND f.version = v.version",
     "ledger_reconcile": f"WITH n AS (SELECT o_custkey, o_orderkey, {_DECIDE} FROM orders), o AS (SELECT o_custkey, o_orderkey, {_DECIDE} FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01') SELECT n.* FROM n LEFT JOIN o USING (o_custkey, o_orderkey) WHERE o.decision IS DISTINCT FROM n.decision",
     "published_view": f"SELECT source_file_version_id, source_row_ordinal, derivation_id, fare_amount FROM published_trip WHERE source_file_version_id IN (SELECT source_file_version_id FROM ({_ACTIVE}))",
-    "coverage": f"SELECT logical_id, source_file_version_id FROM ({_ACTIVE}) WHERE source_file_version_id NOT IN (SELECT source_file_version_id FROM published_trip)",
+    "coverage": "SELECT logical_id, bool_or(artifact_kind = 'contracted') AS covered FROM artifact_manifest WHERE artifact_kind IN ('contracted', 'trip') GROUP BY logical_id",
     "coverage_summary": f"SELECT count(*) AS required, count(p) AS covered, count(*) - count(p) AS missing FROM (SELECT DISTINCT source_file_version_id FROM ({_ACTIVE})) LEFT JOIN (SELECT DISTINCT source_file_version_id, 1 AS p FROM published_trip) USING (source_file_version_id)",
     "inventory_rollup": "SELECT source_service, count(*) AS files, CAST(sum(content_length_bytes) AS BIGINT) AS content_length_bytes FROM artifact_manifest GROUP BY ROLLUP (source_service)",
     "event_counts": "SELECT publication_state, count(*) AS events FROM artifact_manifest GROUP BY publication_state",
-    "schema_change_history": f"WITH c AS (SELECT DISTINCT * FROM ({_NULLS('yellow_trip', ['cbd_congestion_fee', 'airport_fee', 'congestion_surcharge'])} UNION ALL {_NULLS('hvfhv_trip', ['tips', 'originating_base_num'])})), p AS (SELECT service, source_period, lead(source_period) OVER (PARTITION BY service ORDER BY source_period) AS nxt FROM (SELECT DISTINCT service, source_period FROM c)), b AS (SELECT c.service, nxt AS source_period, column_name, 1 AS o FROM c JOIN p USING (service, source_period) WHERE nxt IS NOT NULL), a AS (SELECT c.*, 1 AS n FROM c SEMI JOIN (SELECT service, nxt AS source_period FROM p WHERE nxt IS NOT NULL) q USING (service, source_period)) SELECT service, source_period, column_name, CASE WHEN o IS NULL THEN 'added' ELSE 'removed' END AS change FROM b FULL JOIN a USING (service, source_period, column_name) WHERE o IS NULL OR n IS NULL",
+    "schema_change_history": """WITH r AS (SELECT source_file_version_id AS f, payload FROM raw_record WHERE json_valid(payload) AND json_type(payload) = 'OBJECT'),
+t AS (SELECT f, k, max(CASE json_type(payload, '$."' || k || '"') WHEN 'NULL' THEN 0 WHEN 'BIGINT' THEN 1 WHEN 'UBIGINT' THEN 1 WHEN 'DOUBLE' THEN 2 ELSE 3 END) AS y FROM (SELECT f, payload, unnest(json_keys(payload)) AS k FROM r) GROUP BY f, k),
+c AS (SELECT CAST(feed_id AS VARCHAR) AS feed, source_period, k AS field_name, max(y) AS y FROM t JOIN (SELECT DISTINCT source_file_version_id AS f, feed_id, source_period FROM artifact_manifest WHERE artifact_kind = 'raw' AND source_period IS NOT NULL) USING (f) GROUP BY ALL),
+p AS (SELECT feed, source_period, lead(source_period) OVER (PARTITION BY feed ORDER BY source_period) AS nxt FROM (SELECT DISTINCT feed, source_period FROM c)),
+b AS (SELECT c.feed, nxt AS source_period, field_name, y AS o FROM c JOIN p USING (feed, source_period) WHERE nxt IS NOT NULL), a AS (SELECT c.feed, c.source_period, field_name, y AS n FROM c SEMI JOIN (SELECT feed, nxt AS source_period FROM p WHERE nxt IS NOT NULL) q USING (feed, source_period))
+SELECT feed, source_period, field_name, CASE WHEN o IS NULL THEN 'added' WHEN n IS NULL THEN 'removed' ELSE 'retyped' END AS change FROM b FULL JOIN a USING (feed, source_period, field_name) WHERE o IS DISTINCT FROM n""",
+    "fare_day_yellow": "SELECT strftime(tpep_pickup_datetime, '%Y-%m-%d') AS local_date, count(*) AS trips, " + ", ".join(f"count({c}) AS {c}_rows, CAST(sum(CAST(round({c} * 100) AS BIGINT)) AS BIGINT) AS {c}_cents" for c in YELLOW.components) + " FROM yellow_trip GROUP BY ALL",
+    "dimensional_zones": "SELECT DISTINCT pulocationid FROM hvfhv_trip",
+    "dimensional_services": "SELECT DISTINCT hvfhs_license_num FROM hvfhv_trip",
+    "dimensional_versions": "SELECT DISTINCT source_file_version_id, feed_id, source_period FROM hvfhv_trip",
     "zone_hour_demand": "SELECT pulocationid AS zone_id, strftime(tpep_pickup_datetime, '%Y-%m-%d') AS local_date, CAST(hour(tpep_pickup_datetime) AS INTEGER) AS local_hour, count(*) AS trips FROM yellow_trip WHERE tpep_pickup_datetime IS NOT NULL GROUP BY ALL",
     "fare_day": "SELECT strftime(pickup_datetime, '%Y-%m-%d') AS local_date, count(*) AS trips, " + ", ".join(f"count({c}) AS {c}_rows, CAST(sum(CAST(round({c} * 100) AS BIGINT)) AS BIGINT) AS {c}_cents" for c in _HVFHV_COMPONENTS) + " FROM hvfhv_trip GROUP BY ALL",
     "dimensional_dates": "SELECT DISTINCT CAST(strftime(pickup_datetime, '%Y%m%d') AS INTEGER) AS date_key, strftime(pickup_datetime, '%Y-%m-%d') AS local_date, CAST(year(pickup_datetime) AS INTEGER) AS year, CAST(month(pickup_datetime) AS INTEGER) AS month, CAST(dayofweek(pickup_datetime) + 1 AS INTEGER) AS weekday FROM hvfhv_trip WHERE pickup_datetime IS NOT NULL",

@@ -14,7 +14,6 @@ from datetime import UTC, datetime
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from quaystone.contracts import resolve, rules
 from quaystone.contracts.model import CONTRACTS, Contract
@@ -124,10 +123,9 @@ class Lake:
         source = scan.with_ordinal(self.spark, scan.as_uri(self.store.file_path(p.identity, p.manifest["version_id"])))
         rows = rules.evaluated(source, contract, p.resolution, lineage, zones, transitions(year, month, contract.zone)).persist()
         try:
-            held = rules._quarantined(contract)
-            n = rows.agg(F.count("*").alias("rows"), F.count(F.when(~held, 1)).alias("published"), F.count(F.when(held, 1)).alias("quarantined")).first()
-            rules.conserved(n["rows"], n["published"], n["quarantined"])
-            if n["rows"] != scan.footer(self.store.file_path(p.identity, p.manifest["version_id"]))["rows"]:
+            n = rules.conservation(rows, contract, []).first()
+            rules.conserved(n["source_rows"], n["published_rows"], n["quarantined_rows"])
+            if n["source_rows"] != scan.footer(self.store.file_path(p.identity, p.manifest["version_id"]))["rows"]:
                 raise ArithmeticError("rows read differ from the footer")
             states = {}
             for k, (kind, df) in enumerate(zip(KINDS, (rules.published(rows, contract), rules.quarantined(rows, contract), rules.row_incidents(rows, contract)), strict=True)):
@@ -137,7 +135,7 @@ class Lake:
         finally:
             rows.unpersist(blocking=False)
         self._mark(p, lineage, "active")
-        return {"action": "written", "derivation_id": lineage["derivation_id"], "published": n["published"], "quarantined": n["quarantined"], "tables": states}
+        return {"action": "written", "derivation_id": lineage["derivation_id"], "published": n["published_rows"], "quarantined": n["quarantined_rows"], "tables": states}
 
     def reject(self, p: Planned, contract: Contract, zone_version: str) -> dict:
         lineage = self._lineage(p, contract, zone_version)

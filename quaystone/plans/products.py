@@ -29,8 +29,8 @@ def incident_summary(incidents: DataFrame) -> DataFrame:
     return incidents.groupBy("rule", "severity", "action").agg(F.count("*").alias("incidents"))
 
 
-def dimensional(trips: DataFrame, at: str, zone: str, service: str) -> dict[str, DataFrame]:
-    """A trip fact with date keys, and the date, zone and service dimensions it refers to."""
+def dimensional(trips: DataFrame, at: str, zone: str, service: str, versions: list[str]) -> dict[str, DataFrame]:
+    """A trip fact with date keys, and the date, zone, service and source-version dimensions it refers to."""
     fact = trips.withColumn("date_key", F.date_format(at, "yyyyMMdd").cast("int"))
     date = fact.where("date_key is not null").select("date_key", F.to_date(at).alias("local_date")).distinct()
-    return {"fact": fact, "date": date.withColumns({"year": F.year("local_date"), "month": F.month("local_date"), "weekday": F.dayofweek("local_date")}), "zone": fact.select(zone).distinct(), "service": fact.select(service).distinct()}
+    return {"fact": fact, "date": date.withColumns({"year": F.year("local_date"), "month": F.month("local_date"), "weekday": F.dayofweek("local_date")}), "zone": fact.select(zone).distinct(), "service": fact.select(service).distinct(), "source_version": fact.select(*versions).distinct()}
