@@ -207,6 +207,18 @@ def _cell_text(c: str) -> str:
     return f"regexp_replace(regexp_replace(CAST({c} AS VARCHAR), '[.]0$', ''), 'e([+-])0', 'e\\1')"
 
 
+_TRIP_COLUMNS = ["feed_id", "source_period", "ingested_at_utc", "vendorid", "tpep_pickup_datetime", "tpep_dropoff_datetime", "passenger_count", "trip_distance", "ratecodeid", "store_and_fwd_flag", "pulocationid", "dolocationid", "payment_type", "fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount", "improvement_surcharge", "total_amount", "congestion_surcharge", "airport_fee", "cbd_congestion_fee"]
+_TRIP_TEXTS = ("source_period", "store_and_fwd_flag")
+
+
+def _as_number(c: str) -> str:
+    return "NULL::DOUBLE" if c in _TRIP_TEXTS else f"CAST(epoch_us({c}) AS DOUBLE)" if c.endswith(("_utc", "_datetime")) else f"CAST({c} AS DOUBLE)"
+
+
+def _as_text(c: str) -> str:
+    return c if c in _TRIP_TEXTS else "NULL::VARCHAR"
+
+
 _LEVELED = ("trip_distance", "fare_amount", "total_amount")
 ORACLE = {
     "p1_found": _DRIFT + """SELECT f AS source_file_version_id, k AS field_name, CASE WHEN EXISTS (SELECT 1 FROM gone WHERE gone.f = came.f AND gone.n = came.n) THEN 'renamed' ELSE 'added' END AS change_kind FROM came
@@ -241,6 +253,16 @@ SELECT f AS source_file_version_id, column_name, finding FROM (
   UNION ALL SELECT f, 'pulocationid', 'distinct_count' FROM j WHERE bdp > 0 AND dp * 10 <= bdp
   UNION ALL SELECT f, 'fare_amount', 'distribution' FROM j WHERE bmf > 0 AND (mf >= bmf * 1.5 OR mf * 1.5 <= bmf)
   UNION ALL SELECT f, 'pulocationid', 'distribution' FROM j WHERE np > 0 AND bnp > 0 AND tv >= 0.8 - 1e-12)""",
+    "p2_profile": f"""WITH y AS (SELECT DISTINCT * FROM yellow_trip), {_CHAIN},
+l AS ({" UNION ALL ".join(f"SELECT source_file_version_id AS f, '{c}' AS column_name, {_as_number(c)} AS v, {_as_text(c)} AS t FROM y" for c in _TRIP_COLUMNS)}),
+s AS (SELECT f, column_name, count(*) AS rows, count(*) - count(v) - count(t) AS nulls, CASE column_name WHEN 'pulocationid' THEN count_if(v < 1 OR v > 265) WHEN 'fare_amount' THEN count_if(v < -500 OR v > 1500) END AS outside,
+  CASE column_name WHEN 'source_period' THEN count_if(NOT regexp_full_match(t, '[0-9]{{4}}-(0[1-9]|1[0-2])')) END AS broken, count(DISTINCT v) + count(DISTINCT t) AS distinct_values, min(v) AS low, max(v) AS high, min(t) AS first_text, max(t) AS last_text,
+  quantile_cont(v, 0.25) AS q25, quantile_cont(v, 0.5) AS median, quantile_cont(v, 0.75) AS q75 FROM l GROUP BY f, column_name),
+n AS (SELECT f, column_name, v, t, count(*) / sum(count(*)) OVER (PARTITION BY f, column_name) AS w FROM l WHERE v IS NOT NULL OR t IS NOT NULL GROUP BY f, column_name, v, t),
+d AS (SELECT f, column_name, v, t, sum(w) AS w FROM (SELECT n.f, column_name, v, t, w FROM n JOIN chain ON n.f = chain.f AND p IS NOT NULL UNION ALL SELECT chain.f, column_name, v, t, -w FROM n JOIN chain ON chain.p = n.f) GROUP BY f, column_name, v, t),
+k AS (SELECT f, column_name, max(abs(c)) AS ks FROM (SELECT f, column_name, sum(w) OVER (PARTITION BY f, column_name ORDER BY v) AS c FROM d WHERE v IS NOT NULL) GROUP BY f, column_name),
+z AS (SELECT d.f, column_name, sum(abs(w)) / 2 AS tv FROM d JOIN chain ON d.f = chain.f WHERE t IS NOT NULL AND (d.f, column_name) IN (SELECT (f, column_name) FROM n) AND (p, column_name) IN (SELECT (f, column_name) FROM n) GROUP BY d.f, column_name)
+SELECT s.f AS source_file_version_id, column_name, rows, nulls, outside, broken, distinct_values, low, high, first_text, last_text, q25, median, q75, round(ks, 9) AS ks, round(tv, 9) AS text_distance FROM s LEFT JOIN k USING (f, column_name) LEFT JOIN z USING (f, column_name)""",
     "p5_found": _ORPHANS + "SELECT DISTINCT table_name, source_file_version_id, source_row_ordinal, field_name, reason FROM found WHERE reason IS NOT NULL",
     "p5_report": _ORPHANS + "SELECT table_name, source_period, field_name, reason, count(*) AS orphans FROM found WHERE reason IS NOT NULL GROUP BY ALL",
     "p5_keys": _ORPHANS + "SELECT table_name, k AS ref_key, count(*) AS refs FROM long WHERE k NOT IN (SELECT location_id FROM zone_lookup WHERE retired_at_utc IS NULL) GROUP BY ALL",
