@@ -220,7 +220,29 @@ def _as_text(c: str) -> str:
 
 
 _LEVELED = ("trip_distance", "fare_amount", "total_amount")
+# One pattern of five parts (date, hour, minute, second, fraction), half of the day and zone; the dates are taken apart by form.
+_STAMP = r"""^(?:[A-Za-z]{3,9},? )?(?:([0-9]{4}-[0-9]{1,2}-[0-9]{1,2}|[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}|[0-9]{1,2}[.][0-9]{1,2}[.][0-9]{4}|[0-9]{1,2}[ -][A-Za-z]{3,9}[.]?,?[ -][0-9]{4}|[A-Za-z]{3,9}[.]? [0-9]{1,2},? [0-9]{4})(?:[Tt]|,?\s+)([0-9]{1,2}):([0-9]{2})(?::([0-9]{2})(?:[.,]([0-9]+))?)?|([0-9]{8})[T ]([0-9]{2})([0-9]{2})(?:([0-9]{2})(?:[.,]([0-9]+))?)?)(?:\s*([AaPp])[.]?[Mm][.]?)?(?:\s*(?:([A-Za-z]{1,5})|([+-][0-9]{2}:?(?:[0-9]{2})?)|\[?([A-Za-z]+/[A-Za-z_/+0-9-]+)\]?))?$"""
+_ZONES_SQL = ", ".join(f"('{k}', {v})" for k, v in instants.ABBREVIATIONS.items())
+_LOCAL = "timezone(z, make_timestamptz({x}))"
 ORACLE = {
+    "p3_found": f"""WITH s AS (SELECT DISTINCT stamp_id, source_file_version_id AS f, clock_zone, field_name, regexp_replace(v, '^\\s+|\\s+$', '', 'g') AS v FROM (
+  SELECT *, 'tpep_pickup_datetime' AS field_name, tpep_pickup_datetime AS v FROM meter_stamp UNION ALL SELECT *, 'tpep_dropoff_datetime', tpep_dropoff_datetime FROM meter_stamp) WHERE v IS NOT NULL),
+g AS (SELECT *, regexp_extract(v, '{_STAMP}', ['da', 'h1', 'i1', 's1', 'f1', 'cd', 'h2', 'i2', 's2', 'f2', 'ap', 'zn', 'zo', 'zi']) AS r FROM s WHERE regexp_matches(v, '{_STAMP}')),
+a AS (SELECT stamp_id, f, clock_zone, field_name, r.da || CASE WHEN r.cd <> '' THEN r.cd[1:4] || '-' || r.cd[5:6] || '-' || r.cd[7:8] ELSE '' END AS da, CAST(r.h1 || r.h2 AS INT) AS h, CAST(r.i1 || r.i2 AS INT) AS i, coalesce(TRY_CAST(r.s1 || r.s2 AS INT), 0) AS s,
+  CAST(rpad((r.f1 || r.f2)[1:6], 6, '0') AS BIGINT) AS us, lower(r.ap) AS ap, upper(r.zn) AS zn, r.zo AS zo, r.zi AS zi FROM g),
+n AS (SELECT *, [CAST(x AS INT) FOR x IN regexp_extract_all(da, '[0-9]+')] AS p, regexp_matches(da, '^[0-9]+/[0-9]+/[0-9]{{4}}$') AS slash, list_position(['jan', 'feb', 'mar', 'apr', 'may', 'jun', 'jul', 'aug', 'sep', 'oct', 'nov', 'dec'], lower(regexp_extract(da, '[A-Za-z]{{3}}'))) AS mo FROM a),
+o AS (SELECT f, count_if(p[1] > 12 AND p[1] <= 31 AND p[2] BETWEEN 1 AND 12) * 2 > count_if((p[1] > 12 AND p[1] <= 31 AND p[2] BETWEEN 1 AND 12) OR (p[2] > 12 AND p[2] <= 31 AND p[1] BETWEEN 1 AND 12)) AS dmy FROM n WHERE slash AND (p[1] BETWEEN 13 AND 31 AND p[2] BETWEEN 1 AND 12 OR p[2] BETWEEN 13 AND 31 AND p[1] BETWEEN 1 AND 12) GROUP BY f),
+d AS (SELECT n.*, CASE WHEN slash THEN p[3] WHEN regexp_matches(da, '^[0-9]{{4}}') THEN p[1] ELSE p[-1] END AS y,
+  CASE WHEN slash THEN CASE WHEN dmy THEN p[2] WHEN NOT dmy THEN p[1] WHEN p[1] = p[2] THEN p[1] END WHEN regexp_matches(da, '[A-Za-z]') THEN mo WHEN regexp_matches(da, '^[0-9]{{4}}') THEN p[2] ELSE p[2] END AS m,
+  CASE WHEN slash THEN CASE WHEN dmy THEN p[1] WHEN NOT dmy THEN p[2] WHEN p[1] = p[2] THEN p[1] END WHEN regexp_matches(da, '^[0-9]{{4}}') THEN p[3] ELSE p[1] END AS d,
+  CASE WHEN ap = '' THEN h WHEN h BETWEEN 1 AND 12 THEN h % 12 + CASE ap WHEN 'p' THEN 12 ELSE 0 END END AS hh FROM n LEFT JOIN o USING (f)),
+l AS (SELECT stamp_id, field_name, clock_zone, zn, zo, zi, epoch_us(CAST(t AS TIMESTAMP)) + CAST((hh * 60 + i) * 60 + s AS BIGINT) * 1000000 + us AS u FROM (SELECT *, TRY_CAST(format('{{:04d}}-{{:02d}}-{{:02d}}', y, m, d) AS DATE) AS t FROM d WHERE m IS NOT NULL AND d IS NOT NULL) WHERE t IS NOT NULL AND hh BETWEEN 0 AND 23 AND i < 60 AND s < 60),
+fixed AS (SELECT stamp_id, field_name, u - CAST(1000000 AS BIGINT) * CASE WHEN zo <> '' THEN (CAST(regexp_extract(zo, '([0-9]{{2}})', 1) AS INT) * 3600 + coalesce(TRY_CAST(regexp_extract(zo, '[0-9]{{2}}:?([0-9]{{2}})$', 1) AS INT), 0) * 60) * CASE zo[1] WHEN '-' THEN -1 ELSE 1 END ELSE sec END AS u FROM l LEFT JOIN (VALUES {_ZONES_SQL}) q(k, sec) ON zn = k WHERE zn <> '' OR zo <> ''),
+c AS (SELECT stamp_id, field_name, u, z FROM (SELECT *, CASE WHEN zi <> '' THEN zi ELSE coalesce(nullif(trim(clock_zone), ''), 'America/New_York') END AS z FROM l WHERE zn = '' AND zo = '') SEMI JOIN (SELECT name AS z FROM pg_timezone_names()) USING (z)),
+w AS (SELECT stamp_id, field_name, u, z, epoch_us(timezone(z, make_timestamp(u))) + unnest([-3600000000, -1800000000, 0, 1800000000, 3600000000]) AS x FROM c),
+civil AS (SELECT stamp_id, field_name, max(x) AS u FROM w WHERE {_LOCAL.format(x="x")} = make_timestamp(u) GROUP BY stamp_id, field_name, u HAVING count(*) = 1),
+bare AS (SELECT stamp_id, field_name, CASE WHEN length(v) <= 11 THEN TRY_CAST(v AS BIGINT) * 1000000 WHEN length(v) <= 14 THEN TRY_CAST(v AS BIGINT) * 1000 WHEN length(v) <= 16 THEN TRY_CAST(v AS BIGINT) ELSE TRY_CAST(v AS BIGINT) // 1000 END AS u FROM s WHERE regexp_matches(v, '^[0-9]{{9,19}}$'))
+SELECT DISTINCT stamp_id, field_name, u AS utc_micros FROM (FROM fixed UNION ALL FROM civil UNION ALL FROM bare) WHERE u IS NOT NULL""",
     "p1_found": _DRIFT + """SELECT f AS source_file_version_id, k AS field_name, CASE WHEN EXISTS (SELECT 1 FROM gone WHERE gone.f = came.f AND gone.n = came.n) THEN 'renamed' ELSE 'added' END AS change_kind FROM came
 UNION ALL SELECT f, k, 'removed' FROM gone WHERE NOT EXISTS (SELECT 1 FROM came WHERE gone.f = came.f AND gone.n = came.n)
 UNION ALL SELECT f, k, 'retyped' FROM (SELECT f, k, y, lag(y) OVER (PARTITION BY feed_id, n ORDER BY pub, f) AS before FROM c JOIN m USING (f) WHERE y > 0) WHERE y <> before""",

@@ -359,7 +359,7 @@ def test_whole_file_stuck_across_blocks(spark):
     assert len(_spikes(spark, [("f", i, 1, 3.0, 1.0) for i in range(700)])) == 700
 
 
-@pytest.mark.parametrize("name", ["p1_found", "p1_cells", "p1_rejected", "p1_scripts", "p2_found", "p2_profile", "p5_found", "p5_report", "p5_keys", "p6_found", "p6_cells", "p7_found"])
+@pytest.mark.parametrize("name", ["p1_found", "p1_cells", "p1_rejected", "p1_scripts", "p2_found", "p2_profile", "p3_found", "p5_found", "p5_report", "p5_keys", "p6_found", "p6_cells", "p7_found"])
 def test_problem_sql(spark, name):
     from tests.test_queries import same_as_sql
 
