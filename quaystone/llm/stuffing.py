@@ -55,7 +55,7 @@ CODE = re.compile(r"[=(){}\[\]<>]")
 TOKEN = re.compile(r"[^\W_]+")
 ITEMS = re.compile(r"\s*(?:[|,;•·»]|\s/\s|\s-\s)\s*")
 SENTENCE = re.compile(r"(?<=[.!?…。！？])[\"'”’)\]]*\s+")
-CLOSED = re.compile(r"[.!?…。！？][\"'”’)\]]*\s*$")
+ENDS = frozenset(".!?…。！？")
 
 
 def repeats(symbols: list[int], least: list[int] | None = None) -> bytearray:
@@ -118,7 +118,20 @@ def repeats(symbols: list[int], least: list[int] | None = None) -> bytearray:
 
 
 def _parts(text: str) -> list[str]:
-    return [p.lower() for w in TOKEN.findall(text) for p in (PART.findall(w) if not w.islower() and not w.isdigit() else (w,))]
+    out = []
+    for w in TOKEN.findall(text):
+        if w.islower() or w.isdigit():
+            out.append(w)
+        elif w.isascii() and w.isalpha() and w[1:].islower():  # a capitalised word is one part
+            out.append(w.lower())
+        else:
+            out += [p.lower() for p in PART.findall(w)]
+    return out
+
+
+def _closed(text: str) -> bool:
+    """Whether a unit ends like a sentence, quotes and brackets aside."""
+    return text.rstrip().rstrip("\"'”’)]")[-1:] in ENDS
 
 
 @dataclass(slots=True)
@@ -206,8 +219,8 @@ def _share(units: list[Unit], all_covered: bool = False) -> tuple[float, float]:
         size = (n + sum(len(p) if UNSPACED.search(p) else 1 for p in parts)) / 2 if not u.text.isascii() else n  # two characters of a script without spaces count as a word
         tied = [p for p in parts if p in TIES]
         ties, bound = set(tied), len(tied)
-        closed, distinct = bool(CLOSED.search(u.text)), len(set(parts))
-        items = [i for i in ITEMS.split(u.text) if i.strip()]
+        closed, distinct = _closed(u.text), len(set(parts))
+        items = [i for i in ITEMS.split(u.text) if i.strip()] if sum(map(u.text.count, "|,;•·»/-")) >= 3 else ()
         listed = len(items) >= 4 and n <= 4.5 * len(items) and not (closed and len(ties) >= 2 and bound >= 0.15 * n)
         linked = links > 0 and n <= 8 * links and len(ties) < 3
         few = n > 0 and sum(p in stuffed for p in parts) >= 0.85 * n and not (n >= 6 and distinct >= 0.7 * n and len(ties) >= 2)
