@@ -13,10 +13,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quaystone.operators import ranks
+from quaystone.operators import curves, ranks
 from quaystone.operators.drift import chained
 from quaystone.runtime import bounded, once, pick, settle
 
+#: Ordinals of a load that are moved together.
+STRETCH = 65_536
+QUARTILES = {"q25": 0.25, "median": 0.5, "q75": 0.75}
 MONTH = r"^[0-9]{4}-(0[1-9]|1[0-2])\z"
 
 
@@ -117,15 +120,32 @@ def findings(rows: DataFrame, files: DataFrame, key: list[str], load: str, feed:
 
 def profile(rows: DataFrame, files: DataFrame, key: list[str], load: str, feed: list[str], at: str, numbers: list[str], texts: list[str], ranges: dict | None = None, patterns: dict | None = None) -> DataFrame:
     """The profile of each column of each load: counts, range, values outside `ranges` and off `patterns`, exact quartiles, and
-    the distance from the load before: Kolmogorov-Smirnov for numbers, of shares for texts."""
-    p = Profile(rows, key, load, numbers, texts)
-    s = p.basics(ranges or {}, patterns or {})
-    for count, given in (("outside", ranges), ("broken", patterns)):  # null where nothing is expected of the column
-        s = s.withColumn(count, F.when(F.col("_column").isin(p.named(list(given or {}))), F.col(count)))
+    the distance from the load before: Kolmogorov-Smirnov for numbers, of shares for texts.
+
+    Numbers go by sorted arrays (see curves): the rows are moved once, not their cells. Texts are counted by value. key is
+    (load, ordinal); STRETCH ordinals of a load are moved together.
+    """
+    ranges, patterns = ranges or {}, patterns or {}
+    p = Profile(rows, key, load, [], texts)
     chain = p.chain(files, feed, at)
-    r = settle(p.ranks(), "ranks")
-    q = ranks.quantiles(r, p.group, "number", {"q25": 0.25, "median": 0.5, "q75": 0.75}).select(*p.group, "q25", "median", "q75")
-    before = s.select(*p.group).join(chain.select("_load", F.col("_before").alias("previous__load")), "_load")
-    ks = ranks.ks_distances(r, p.group, "number", before, ["_load"]).withColumn("ks", F.round("ks", 9))
+    s = p.basics({}, patterns)
+    s = s.withColumn("broken", F.when(F.col("_column").isin(p.named(list(patterns))), F.col("broken"))).withColumn("outside", F.lit(None).cast("bigint"))
     tv = p.shares_distance(texts, chain, "text").select(*p.group, F.round("tv", 9).alias("text_distance"))
-    return p.spelled(s.join(q, p.group, "left").join(ks, p.group, "left").join(tv, p.group, "left"))
+    nothing = [F.lit(None).cast("double").alias(c) for c in (*QUARTILES, "ks")]
+    of_texts = p.spelled(s.join(tv, p.group, "left").select(*p.group, "rows", "nulls", "outside", "broken", "distinct_values", "low", "high", "first_text", "last_text", *nothing, "text_distance"))
+    known, _ = bounded(p.loads)
+    labels = [f"_c{i}" for i in range(len(numbers))]
+    moved = pick(rows, list(dict.fromkeys([*key, load, *numbers])))
+    moved = moved.withColumnRenamed(load, "_name").join(known, F.col("_name").eqNullSafe(F.col(load)))
+    same = [k for k in key if k != load]
+    stretch = F.floor(F.col(same[0]) / STRETCH) if same else F.lit(0)
+    moved = moved.select("_load", stretch.alias("_stretch"), *same, *[_number(moved, c).alias(x) for c, x in zip(numbers, labels, strict=True)])
+    moved = once(moved.repartition("_load", "_stretch"), ["_load", "_stretch", *same])
+    parts = curves.pieces(moved, "_load", labels, {numbers.index(c): r for c, r in ranges.items() if c in numbers}, curves.splitters(moved, labels))
+    counted = parts.where("_range < 0").groupBy("load", "_column").agg(F.sum("n").alias("rows"), F.sum("nulls").alias("nulls"), F.sum("outside").alias("outside"))
+    found = curves.curves(parts, chain.select(F.col("_load").alias("load"), "_before"), QUARTILES)
+    of = F.element_at(F.array(*[F.lit(c) for c in numbers]), F.col("_column") + 1)
+    got = counted.join(found, ["load", "_column"], "left").withColumnRenamed("load", "_load").join(known, "_load")
+    none = F.lit(None).cast("string")
+    of_numbers = got.select(load, of.alias("column_name"), "rows", "nulls", F.when(of.isin(list(ranges)), F.col("outside")).alias("outside"), F.lit(None).cast("bigint").alias("broken"), F.coalesce("distinct_values", F.lit(0)).alias("distinct_values"), "low", "high", none.alias("first_text"), none.alias("last_text"), *QUARTILES, F.round("ks", 9).alias("ks"), F.lit(None).cast("double").alias("text_distance"))
+    return of_numbers.unionByName(of_texts)

@@ -8,7 +8,7 @@ import pyarrow.dataset as ds
 import pytest
 from pyspark.sql import functions as F
 
-from quaystone.operators import drift, instants, profile, ranks, references, spikes, tablediff
+from quaystone.operators import curves, drift, instants, profile, ranks, references, spikes, tablediff
 from quaystone.operators.schema_tree import edit_script, parse_schema, same_field, shortens, words
 from quaystone.plans import problems
 from tests import brute
@@ -152,6 +152,31 @@ def test_ks(spark):
     assert len(got) == 1 and abs(got[0]["ks"] - want) < 1e-9
 
 
+def test_curves_do_not_depend_on_pieces(spark, monkeypatch):
+    rng = np.random.default_rng(12)
+    data = [(int(g), float(v)) for g, v in zip(rng.integers(1, 4, 4000), np.round(rng.normal(0, 5, 4000), 1), strict=True)]
+    data += [(1, None), (2, float("nan")), (2, float("nan")), (1, -0.0), (4, None)] + [(3, 2.5)] * 500
+    df = spark.createDataFrame(data, "g int, v double").repartition(5)
+    before = spark.createDataFrame([(2, 1), (3, 2), (4, 3)], "load int, _before int")
+    shares = {"q": 0.1, "m": 0.5, "z": 0.97}
+    got = []
+    for per_range, at_once in ((10**9, 10**9), (300, 250)):
+        monkeypatch.setattr(curves, "ROWS_PER_RANGE", per_range)
+        monkeypatch.setattr(curves, "ROWS_AT_ONCE", at_once)
+        parts = curves.pieces(df, "g", ["v"], {0: (-5.0, 5.0)}, curves.splitters(df, ["v"]))
+        assert parts.where("_range > 0").count() == 0 or per_range == 300
+        rows = {r["load"]: r.asDict() for r in curves.curves(parts, before, shares).collect()}
+        got.append({k: {n: None if x is None else "nan" if x != x else round(x, 9) for n, x in r.items()} for k, r in rows.items()})
+    assert got[0] == got[1] and set(got[0]) == {1, 2, 3, 4} and (got[0][4]["distinct_values"], got[0][4]["m"], got[0][4]["ks"]) == (0, None, 1)
+    of = lambda g: np.sort([v for k, v in data if k == g and v is not None])
+    for g in (1, 3):
+        assert [got[0][g][n] for n in shares] == [round(float(np.quantile(of(g), q)), 9) for q in shares.values()] and got[0][g]["distinct_values"] == len(set(of(g).tolist()))
+    at = np.unique(np.r_[of(1), of(2)[:-2]])
+    assert got[0][1]["ks"] is None and got[0][2]["high"] == "nan"
+    assert got[0][2]["ks"] == round(max(abs((of(2)[:-2] <= x).sum() / len(of(2)) - (of(1) <= x).mean()) for x in at), 9)
+    assert curves.curves(curves.pieces(df.limit(0), "g", ["v"], {}, [[]]), before, shares).count() == 0
+
+
 def _findings(spark, trips):
     df = spark.createDataFrame([(f, i, fare, zone, period) for f, rs in trips.items() for i, (fare, zone, period) in enumerate(rs)], f"{FILE} string, {ORD} bigint, fare_amount double, pulocationid bigint, source_period string")
     files = spark.createDataFrame([(f, 1, datetime(2024, 1, k + 1)) for k, f in enumerate(trips)], f"{FILE} string, feed_id bigint, published_at_utc timestamp")
