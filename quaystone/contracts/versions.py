@@ -261,6 +261,15 @@ class Catalog:
         """What a run over `requested` would leave uncovered; to be asked before the first write."""
         return self.required(target) - self.covered(target) - requested
 
+    def transition(self, target: Boundary, requested: set[str]) -> dict:
+        """The document of a change of boundary: what changes, what it requires, what a run over `requested` would leave out."""
+        now, required = self.boundary(), self.required(target)
+        changed, missing = now.changed(target) if now else [], self.missing(target, requested)
+        return {
+            "changed": changed, "complete": not missing, "covered": sorted(required & self.covered(target)), "is_migration": bool(now and changed), "missing": sorted(missing),
+            "previous": now.document() if now else None, "required": sorted(required), "target": target.document(),
+        }
+
     def settle(self, target: Boundary) -> str:
         """Show the target once everything it requires is covered."""
         if left := self.missing(target, set()):

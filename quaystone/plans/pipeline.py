@@ -20,7 +20,7 @@ from quaystone.contracts.model import CONTRACTS, Contract
 from quaystone.contracts.versions import Boundary, Candidate, Catalog, Conflict, Marker, decide, derivation_id, document_bytes
 from quaystone.functions import measure
 from quaystone.functions.civiltime import transitions
-from quaystone.sources import inventory, landing, scan
+from quaystone.sources import inventory, landing, remote, scan
 from quaystone.sources.tablelog import TableLog
 
 KINDS = ("trip", "quarantine", "incident")
@@ -158,6 +158,7 @@ class Lake:
         wanted = {self.identity(s, p).logical_id for s, p in requested}
         if left := self.catalog.missing(target, wanted):
             raise Conflict(f"the change also needs {', '.join(sorted(left))}")
+        transition = self.catalog.transition(target, wanted)
         planned = self.plan(requested, contracts)
         self.catalog.prepare_layout()
 
@@ -179,7 +180,7 @@ class Lake:
         settled = self.catalog.settle(target)
         decided = decide([Candidate(p.identity.logical_id, p.manifest["version_id"], p.manifest["published_at_utc"], tuple(f"{v.rule}:{v.column}" for v in p.resolution.violations)) for p in planned])
         events = self.catalog.reconcile(decided, run_id, datetime.now(UTC).isoformat())
-        return {"boundary": settled, "ledger_events": len(events), "outcomes": outcomes, "promotions": {p.manifest["version_id"]: p.resolution.promotions() for p in planned}}
+        return {"boundary": settled, "transition": transition, "ledger_events": len(events), "outcomes": outcomes, "promotions": {p.manifest["version_id"]: p.resolution.promotions() for p in planned}}
 
     # -- reading
 
@@ -236,6 +237,15 @@ def rebuild_root(path: Path | str, protected: list[Path]) -> Path:
     return root
 
 
+def runtime(spark: SparkSession) -> dict:
+    """What ran; a driver library of another version than the cluster is an error."""
+    import pyspark
+
+    if pyspark.__version__.split(".")[:2] != spark.version.split(".")[:2]:
+        raise RuntimeError(f"driver library {pyspark.__version__}, cluster {spark.version}")
+    return {"platform": platform.platform(), "pyspark": pyspark.__version__, "python": sys.version.split()[0], "spark": spark.version}
+
+
 def gated_run(lake: Lake, requested: list[tuple[str, str]], scratch: Path | str) -> dict:
     """Run, rebuild from nothing, replay; the five checks that make the result trustworthy."""
     first = lake.run(requested, "run")
@@ -249,17 +259,26 @@ def gated_run(lake: Lake, requested: list[tuple[str, str]], scratch: Path | str)
         "incremental_equals_rebuild": measure.compare(state, rebuilt)["match"], "replay_unchanged": lake.measured() == state, "no_new_commit": lake.table_versions() == versions,
         "no_ledger_event": again["ledger_events"] == 0, "all_visible": lake.coverage(requested)["complete"],
     }
-    return {"checks": checks, "measured": state, "passed": all(checks.values()), "run": first, "runtime": {"platform": platform.platform(), "python": sys.version.split()[0], "spark": lake.spark.version}}
+    return {"checks": checks, "measured": state, "passed": all(checks.values()), "run": first, "runtime": runtime(lake.spark)}
 
 
 def main(argv: list[str] | None = None) -> int:
-    """land, slice, run, inventory and contracts; the exit code is 0 only if what was asked for holds."""
+    """land, slice, run, inventory, sample and contracts; the exit code is 0 only if what was asked for holds."""
     parser = argparse.ArgumentParser(prog="quaystone")
     sub = parser.add_subparsers(dest="command", required=True)
-    for name in ("land", "slice", "run", "inventory"):
+    for name in ("land", "slice", "run", "inventory", "sample"):
         p = sub.add_parser(name)
-        if name != "inventory":
+        if name not in ("inventory", "sample"):
             p.add_argument("--landing", required=True)
+            p.add_argument("--evidence", help="sample evidence; its files land as bounded samples, by their recorded hashes")
+        else:
+            p.add_argument("--remote", action="append", default=[], metavar="SERVICE:YYYY-MM")
+        if name == "inventory":
+            p.add_argument("--year", type=int, help="every month of a year, read by range from the publisher")
+            p.add_argument("--target-rows", type=int, default=0)
+        if name == "sample":
+            p.add_argument("--rows", type=int, default=1000)
+            p.add_argument("--folder", required=True)
         if name == "slice":
             p.add_argument("--warehouse", required=True)
         p.add_argument("--file", action="append", default=[], metavar="SERVICE:YYYY-MM=PATH")
@@ -275,12 +294,22 @@ def main(argv: list[str] | None = None) -> int:
         print(json.dumps({s: {"document": c.document(), "fingerprint": c.fingerprint()} for s, c in CONTRACTS.items()}, indent=2, sort_keys=True))
         return 0
     files = [(inventory.parse_artifact(x.partition("=")[0]), x.partition("=")[2]) for x in a.file]
-    if a.command == "inventory":
-        print(json.dumps(inventory.local_inventory(files), indent=2, sort_keys=True))
-        return 0
+    if a.command in ("inventory", "sample"):
+        asked = [inventory.source_file(s, *inventory.parse_period(p)) for s, p in map(inventory.parse_artifact, a.remote)]
+        if a.command == "sample":
+            got = [remote.remote_sample(f, a.rows, a.folder) for f in asked]
+        else:
+            asked += inventory.annual_files(a.year) if a.year else []
+            got = remote.remote_inventory(asked, a.target_rows) if asked else inventory.local_inventory(files)
+        print(json.dumps(got, indent=2, sort_keys=True))
+        return int(a.command == "inventory" and bool(asked) and not got["target"]["meets_target"])
     store, results = landing.Store(a.landing), []
+    evidence = json.loads(Path(a.evidence).read_text()) if a.evidence else None
+    kind, recorded = ("synthetic_fixture", {}) if evidence is None else ("bounded_sample", remote.recorded_hashes(evidence))
     for (service, period), path in files:
-        results.append(store.acquire(landing.Identity("trip", "synthetic_fixture", service, period), landing.local_file(path), landing.validate_parquet, a.command))
+        if evidence is not None and (service, period) not in recorded:
+            raise ValueError(f"no recorded hash for {service}:{period}")
+        results.append(store.acquire(landing.Identity("trip", kind, service, period), landing.local_file(path), landing.validate_parquet, a.command, expected_sha256=recorded.get((service, period))))
     if a.zones:
         results.append(store.acquire(landing.Identity("zone_lookup", "complete_object"), landing.local_file(a.zones), landing.validate_zones, a.command))
     if a.command == "land":
@@ -291,12 +320,12 @@ def main(argv: list[str] | None = None) -> int:
     if a.command == "slice":
         from quaystone.plans import slice as occurrence_slice
 
-        asked = [landing.Identity("trip", "synthetic_fixture", *f) for f, _ in files]
+        asked = [landing.Identity("trip", kind, *f) for f, _ in files]
         got = occurrence_slice.run(session(), store, a.warehouse, asked, "slice")
         print(json.dumps(got, indent=2, sort_keys=True, default=str))
         return int(not got["passed"])
     requested = list(dict.fromkeys([f for f, _ in files] + [inventory.parse_artifact(x) for x in a.artifact]))
-    report = gated_run(Lake(session(), a.landing, a.warehouse), requested, a.scratch)
+    report = gated_run(Lake(session(), a.landing, a.warehouse, kind), requested, a.scratch)
     raw = document_bytes(report)
     if a.report:
         Path(a.report).write_bytes(raw)

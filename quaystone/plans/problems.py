@@ -96,7 +96,7 @@ def _zone_deltas(spark: SparkSession, d: str) -> DataFrame:
 
 def _orphans(spark: SparkSession, d: str) -> DataFrame:
     found = references.orphans(_references(spark, d), references.segments(_zone_deltas(spark, d)))
-    return found.select("table_name", *ROW, "source_period", "field_name", "reason").distinct()
+    return found.select("table_name", *ROW, "source_period", "field_name", "reason", "delta")
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
@@ -105,8 +105,8 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p5_report(spark: SparkSession, d: str) -> DataFrame:
-    """Orphan references per table, period, field and reason."""
-    return _orphans(spark, d).groupBy("table_name", "source_period", "field_name", "reason").agg(F.count("*").alias("orphans"))
+    """Signed counts of the references that meet no existence, per table, period, field and reason."""
+    return _orphans(spark, d).distinct().groupBy("table_name", "source_period", "field_name", "reason").agg(F.sum("delta").alias("orphans")).where("orphans > 0")
 
 
 def p5_keys(spark: SparkSession, d: str) -> DataFrame:

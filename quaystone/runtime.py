@@ -16,8 +16,11 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 200_000
 
 
-def session(app: str = "quaystone", cpus: int | str = "*", partitions: int = 8) -> SparkSession:
-    """A local session for tests and benches; a cluster brings its own."""
+def session(app: str = "quaystone", cpus: int | str = "*", partitions: int = 8, warehouse: str | Path | None = None) -> SparkSession:
+    """A local session for tests and benches, its warehouse folder a temporary one if none is given; a cluster brings its own."""
+    if warehouse is None:
+        warehouse = tempfile.mkdtemp(prefix="quaystone-warehouse-")
+        atexit.register(shutil.rmtree, warehouse, True)
     return (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
@@ -26,6 +29,7 @@ def session(app: str = "quaystone", cpus: int | str = "*", partitions: int = 8)
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "6g")
+        .config("spark.sql.warehouse.dir", f"file://{Path(warehouse).absolute()}")
         .config("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
         .getOrCreate()
     )

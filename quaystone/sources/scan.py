@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import csv
+import os
+import shutil
+import uuid
 from pathlib import Path
 
 import pyarrow as pa
@@ -91,10 +94,27 @@ def bounded_sample(df: DataFrame, rows: int, order: list[str], path: str | None
     """The first rows in an order, so that a sample can be repeated; written as one ZSTD file if a path is given."""
     sample = df.orderBy(*order).limit(rows)
     if path:
-        sample.coalesce(1).write.mode("overwrite").option("compression", "zstd").parquet(path)
+        single_file(sample, path)
     return sample
 
 
+def single_file(df: DataFrame, path: str | Path) -> None:
+    """Write df as one ZSTD file under the very path, replacing what was there, by renaming the one part of a write beside it.
+
+    For results of bounded size on a file system that the driver reaches.
+    """
+    target = Path(str(path).removeprefix("file://"))
+    aside = target.with_name(f".{target.name}.{uuid.uuid4().hex}")
+    try:
+        df.coalesce(1).write.option("compression", "zstd").parquet(as_uri(aside))
+        parts = sorted(aside.glob("part-*.parquet"))
+        if target.is_dir():
+            shutil.rmtree(target)
+        os.replace(parts[0], target)
+    finally:
+        shutil.rmtree(aside, ignore_errors=True)
+
+
 ZONE_HEADER = ("LocationID", "Borough", "Zone", "service_zone")
 
 

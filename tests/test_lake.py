@@ -110,6 +110,65 @@ def test_remote_limits(tmp_path):
     assert len(tries) == 3
 
 
+class Web:
+    """Files under URLs, with HEAD and range requests."""
+
+    def __init__(self, files, head=True):
+        self.files, self.head, self.moved = files, head, 0
+
+    def __call__(self, request, timeout=None):
+        import io
+        import urllib.error
+
+        raw, whole = self.files[request.full_url], request.get_method() == "HEAD"
+        if whole and not self.head:
+            raise urllib.error.HTTPError(request.full_url, 405, "no", {}, None)
+        a, _, b = (request.get_header("Range") or f"bytes=0-{len(raw) - 1}").removeprefix("bytes=").partition("-")
+        body = raw[int(a) : int(b) + 1]
+        answer = io.BytesIO(b"" if whole else body)
+        answer.headers = {"Content-Length": str(len(raw) if whole else len(body)), "Content-Range": f"bytes {a}-{b}/{len(raw)}" if not whole else "", "Last-Modified": "then"}
+        self.moved += 0 if whole else len(body)
+        return answer
+
+
+def test_remote_inventory_and_sample(tmp_path, monkeypatch, capsys):
+    from quaystone.sources import inventory, remote
+
+    files = [inventory.source_file("yellow", 2024, m) for m in (1, 2)]
+    raw = {f["url"]: write_trips(tmp_path / f["filename"], f["month"], rows=4000, current=f["month"] == 2).read_bytes() for f in files}
+    for web in (Web(raw), Web(raw, head=False)):
+        got = remote.remote_inventory(files, 8001, web)
+        assert got["services"]["yellow"]["rows"] == 8000 and got["target"] == {"meets_target": False, "rows": 8000, "target_rows": 8001}
+        assert got["services"]["yellow"]["changes"]["first_to_last"]["added"] == ["Airport_fee"] and [f["bytes"] for f in got["files"]] == [len(raw[f["url"]]) for f in files]
+        assert web.moved < sum(map(len, raw.values()))
+    evidence = remote.remote_sample(files[0], 100, tmp_path / "samples", Web(raw))
+    path = tmp_path / "samples" / files[0]["filename"]
+    assert evidence["rows"] == pq.read_metadata(path).num_rows == 100 and evidence["sha256"] == landing.sha256_file(path) and not evidence["redistributed"]
+    assert remote.recorded_hashes([evidence, evidence]) == {("yellow", "2024-01"): evidence["sha256"]}
+    with pytest.raises(ValueError):
+        remote.recorded_hashes([evidence, evidence | {"sha256": "0"}])
+    (tmp_path / "e.json").write_text(json.dumps([evidence]))
+    land = lambda period: pipeline.main(["land", "--landing", str(tmp_path / "l"), "--file", f"yellow:{period}={path}", "--evidence", str(tmp_path / "e.json")])
+    assert land("2024-01") == 0 and "bounded_sample" in capsys.readouterr().out
+    with pytest.raises(ValueError):
+        land("2024-02")
+    monkeypatch.setattr(remote, "remote_headers", lambda url, opener: landing.remote_headers(url, Web(raw)))
+    monkeypatch.setattr(remote.RangeFile.__init__, "__defaults__", (Web(raw),))
+    monkeypatch.setattr(remote.remote_inventory, "__defaults__", (Web(raw),))
+    monkeypatch.setattr(remote.remote_sample, "__defaults__", (Web(raw),))
+    assert pipeline.main(["inventory", "--remote", "yellow:2024-01", "--target-rows", "4000"]) == 0 and '"meets_target": true' in capsys.readouterr().out
+    assert pipeline.main(["inventory", "--remote", "yellow:2024-01", "--target-rows", "4001"]) == 1
+    capsys.readouterr()
+    assert pipeline.main(["sample", "--remote", "yellow:2024-02", "--rows", "7", "--folder", str(tmp_path / "more")]) == 0 and json.loads(capsys.readouterr().out)[0]["rows"] == 7
+
+
+def test_single_file(spark, tmp_path):
+    for n in (3, 5):
+        got = scan.bounded_sample(spark.range(9), n, ["id"], str(tmp_path / "s.parquet"))
+        assert got.count() == n and pq.read_metadata(tmp_path / "s.parquet").num_rows == n
+    assert [p.name for p in tmp_path.iterdir()] == ["s.parquet"]
+
+
 def test_zone_files(tmp_path):
     assert len(scan.read_zones(write_zones(tmp_path / "z.csv"))) == 40
     for bad in ("LocationID,Borough,Zone\n1,a,b\n", "LocationID,Borough,Zone,service_zone\n1,a,b,c\n1,a,b,c\n", "LocationID,Borough,Zone,service_zone\nx,a,b,c\n", "LocationID,Borough,Zone,service_zone\n"):
@@ -159,6 +218,8 @@ def test_drift_supersession_and_recovery(lake, spark, tmp_path):
     with pytest.raises(Conflict):
         lake.run([("yellow", "2024-01")], RUN, zone_version=newest)
     lake.run(asked, RUN, zone_version=newest)
+    change = lake.catalog.transition(lake.catalog.boundary().merged("other", {}), set())
+    assert change["is_migration"] and change["changed"] == ["zone_lookup"] and not change["complete"] and len(change["missing"]) == 3 and change["target"]["zone_lookup_version_id"] == "other"
     assert lake.catalog.boundary().zone_lookup_version_id == newest and lake.coverage(asked)["complete"]
 
 
