@@ -145,6 +145,7 @@ def partial_digests(values: DataFrame, groups: list[str], fields: list[str], uni
 
 
 def _compress(nodes: DataFrame, groups: list[str], k: int) -> DataFrame:
+    ship(nodes.sparkSession)
     kinds = dict(nodes.dtypes)
     schema = ", ".join(f"`{g}` {kinds[g]}" for g in groups) + ", level int, place bigint, n bigint"
 

@@ -187,26 +187,44 @@ def _units(text: str) -> list[Unit]:
     return units
 
 
+def _run(u: Unit) -> tuple[str, list[int]]:
+    """A unit's words between single spaces, and the length from which a repeat that ends at each character counts."""
+    run = f" {' '.join(u.parts)} " if u.parts else ""
+    if run.isascii():
+        return run, [LEAST] * len(run)
+    return run, [LEAST_UNSPACED if UNSPACED.match(c) or (c == " " and i and UNSPACED.match(run[i - 1])) else LEAST for i, c in enumerate(run)]
+
+
 def _cover(units: list[Unit]) -> None:
-    """Count the characters of each unit that lie in repeats of the page."""
+    """Count the characters of each unit that lie in repeats of the page, by its suffix automaton."""
     symbols: list[int] = []
     least: list[int] = []
     ends: list[int] = []
     for u in units:
-        run = f" {' '.join(u.parts)} " if u.parts else ""
+        run, own = _run(u)
         symbols += map(ord, run)
-        if run.isascii():
-            least += [LEAST] * len(run)
-        else:
-            least += [LEAST_UNSPACED if UNSPACED.match(c) or (c == " " and i and UNSPACED.match(run[i - 1])) else LEAST for i, c in enumerate(run)]
         symbols.append(-len(symbols) - 1)  # a mark that occurs once parts the units
-        least.append(LEAST)
+        least += [*own, LEAST]
         ends.append(len(symbols))
     covered = repeats(symbols, least)
     for u, a, b in zip(units, [0, *ends], ends, strict=False):
         u.covered = sum(c for x, c in zip(symbols[a : b - 1], covered[a : b - 1], strict=True) if x != 32)
 
 
+def _cover_by_windows(units: list[Unit]) -> None:
+    """The same counts: what lies in a repeat of some length lies in a window of that length that occurs again. It tells
+    nothing of the repeats themselves, and serves pages that are settled without them."""
+    runs = [_run(u) for u in units]
+    often = Counter(run[e + 1 - n : e + 1] for run, least in runs for e, n in enumerate(least) if e + 1 >= n)
+    for u, (run, least) in zip(units, runs, strict=True):
+        upto = u.covered = 0
+        for e, n in enumerate(least):
+            if e + 1 >= n and often[run[e + 1 - n : e + 1]] > 1:
+                begin = max(upto, e + 1 - n)
+                u.covered += e + 1 - begin - run.count(" ", begin, e + 1)
+                upto = e + 1
+
+
 def _share(units: list[Unit], all_covered: bool = False) -> tuple[float, float]:
     """(share of words in filler, share of characters covered), or the former as if repeats covered everything."""
     often = Counter(p for u in units for p in u.parts)
@@ -245,27 +263,31 @@ def _share(units: list[Unit], all_covered: bool = False) -> tuple[float, float]:
     return filler / words if words else 0.0, hit / chars if chars else 0.0
 
 
-def filler_share(text: str | None, bar: float | None = None) -> tuple[float, float | None]:
+def filler_share(text: str | None, bar: float = 0.5, coverage: bool = True) -> tuple[float, float | None]:
     """(share of words in filler, share of characters covered by repeats) of one text.
 
-    With a bar, a text whose share cannot exceed it whatever repeats gets an upper bound of its share and no coverage.
+    A text whose share cannot exceed the bar whatever repeats needs no automaton: its coverage is counted by windows, or left
+    out with an upper bound of its share where `coverage` is not wanted.
     """
     if not text or not text.strip():
         return 0.0, 0.0
     units = _units(text)
-    if bar is not None and (most := _share(units, True)[0]) <= bar:
+    if (most := _share(units, True)[0]) > bar:
+        _cover(units)
+    elif coverage:
+        _cover_by_windows(units)
+    else:
         return most, None
-    _cover(units)
     return _share(units)
 
 
-def filler_shares(docs: DataFrame, key: str, text: str, bar: float | None = None) -> DataFrame:
-    """(key, filler, covered) of each text; with a bar, as filler_share has it."""
+def filler_shares(docs: DataFrame, key: str, text: str, bar: float = 0.5, coverage: bool = True) -> DataFrame:
+    """(key, filler, covered) of each text, as filler_share has them."""
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            got = [filler_share(t, bar) for t in b.column(1).to_pylist()]
+            got = [filler_share(t, bar, coverage) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x for x, _ in got], pa.float64()), pa.array([y for _, y in got], pa.float64())], names=[key, "filler", "covered"])
 
     return pick(docs, [key, text]).mapInArrow(run, f"`{key}` {dict(docs.dtypes)[key]}, filler double, covered double")
@@ -273,4 +295,4 @@ def filler_shares(docs: DataFrame, key: str, text: str, bar: float | None = None
 
 def stuffed_pages(docs: DataFrame, key: str, text: str, share: float = 0.5) -> DataFrame:
     """(key) of the texts of which more than `share` of the words stand in filler."""
-    return filler_shares(docs, key, text, share).where(F.col("filler") > share).select(key).distinct()
+    return filler_shares(docs, key, text, share, False).where(F.col("filler") > share).select(key).distinct()

@@ -43,14 +43,15 @@ def test_a_run_of_words_that_nothing_ties_is_filler():
 
 def test_a_page_below_the_bar_needs_no_automaton(monkeypatch):
     monkeypatch.setattr(stuffing, "repeats", None)
-    share, covered = stuffing.filler_share(PROSE, 0.5)
-    assert share <= 0.5 and covered is None and stuffing.filler_share("  ", 0.5) == (0.0, 0.0)
+    share, covered = stuffing.filler_share(PROSE, 0.5, False)
+    assert share <= 0.5 and covered is None and stuffing.filler_share("  ", 0.5, False) == (0.0, 0.0)
 
 
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.sampled_from([*PROSE.split(), *TAGS.split(), "\n", "|", "https://a.example/b", ".", "12:30", HAN[:9]]), max_size=60))
 def test_the_bound_holds(words):
     text = " ".join(words)
-    most, covered = stuffing.filler_share(text, 0.5)
-    exact = stuffing.filler_share(text)
+    most, covered = stuffing.filler_share(text, 0.5, False)
+    exact = stuffing.filler_share(text, -1.0)
+    assert stuffing.filler_share(text, 1.0) == exact  # windows cover what repeats cover
     assert (exact[0] <= most and exact[0] <= 0.5) if covered is None and text.strip() else (most, covered) == exact
