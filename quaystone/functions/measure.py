@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -63,6 +65,19 @@ def additive_digest(hashes: DataFrame) -> DataFrame:
     return hashes.agg(F.count("*").alias("row_count"), F.sum(F.conv(F.substring("h", 1, 15), 16, 10).cast("decimal(38,0)")).cast("string").alias("digest"))
 
 
+def _folded(hashes: DataFrame, by: list[str], rows: int) -> DataFrame:
+    """(by..., row_count, digest) of hashes `h`, folded by as many leading digits as `rows` asks for, level by level."""
+    digits = 4
+    while rows > FOLD * 16**digits:
+        digits += 2
+    fold = lambda c: F.sha2(F.array_join(F.array_sort(F.collect_list(c)), "\n"), 256)
+    counted = hashes.groupBy(*by, "h").agg(F.count("*").alias("n"))
+    level = counted.groupBy(*by, F.substring("h", 1, digits).alias("b")).agg(F.sum("n").alias("n"), fold(F.concat_ws(":", "h", F.col("n").cast("string"))).alias("f"))
+    for width in range(digits - 2, 0, -2):
+        level = level.groupBy(*by, F.substring("b", 1, width).alias("b")).agg(F.sum("n").alias("n"), fold(F.concat_ws(":", "b", "f")).alias("f"))
+    return level.groupBy(*by).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"), fold(F.concat_ws(":", "b", "f")).alias("digest"))
+
+
 def sorted_digest(hashes: DataFrame) -> DataFrame:
     """(row_count, digest): exact for the multiset of rows, whatever its order and size.
 
@@ -70,15 +85,7 @@ def sorted_digest(hashes: DataFrame) -> DataFrame:
     the number of rows; then 256 folds become one, level by level. The number of rows decides the levels, so equal multisets
     have equal ones.
     """
-    rows, digits = hashes.count(), 4
-    while rows > FOLD * 16**digits:
-        digits += 2
-    counted = hashes.groupBy("h").agg(F.count("*").alias("n"))
-    fold = lambda c: F.sha2(F.array_join(F.array_sort(F.collect_list(c)), "\n"), 256)
-    level = counted.groupBy(F.substring("h", 1, digits).alias("b")).agg(F.sum("n").alias("n"), fold(F.concat_ws(":", "h", F.col("n").cast("string"))).alias("f"))
-    for width in range(digits - 2, 0, -2):
-        level = level.groupBy(F.substring("b", 1, width).alias("b")).agg(F.sum("n").alias("n"), fold(F.concat_ws(":", "b", "f")).alias("f"))
-    return level.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"), fold(F.concat_ws(":", "b", "f")).alias("digest"))
+    return _folded(hashes, [], hashes.count())
 
 
 def key_digest(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -94,12 +101,15 @@ def measure(df: DataFrame, keys: list[str]) -> dict:
     """Schema, rows, distinct keys, and both digests of the rows and of the distinct keys, so that copies that differ can be
     told to differ in keys or only in values."""
     hashes = df.select(F.sha2(row_text(df), 256).alias("h"), F.sha2(row_text(df, keys), 256).alias("k"))
-    additive = hashes.agg(F.count("*").alias("rows"), F.countDistinct("k").alias("keys"), F.sum(F.conv(F.substring("h", 1, 15), 16, 10).cast("decimal(38,0)")).cast("string").alias("additive")).first()
-    exact = sorted_digest(hashes.select("h")).first()
-    single = hashes.select(F.col("k").alias("h")).distinct()
+    number = lambda c: F.conv(F.substring(c, 1, 15), 16, 10).cast("decimal(38,0)")
+    by_key = hashes.groupBy("k").agg(F.count("*").alias("n"), F.sum(number("h")).alias("s"))
+    sums = by_key.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.count("*").alias("keys"), F.sum("s").cast("string").alias("rows_sum"), F.sum(number("k")).cast("string").alias("keys_sum")).first()
+    both = hashes.select(F.lit("row").alias("kind"), "h").unionByName(by_key.select(F.lit("key").alias("kind"), F.col("k").alias("h")))
+    exact = {r["kind"]: r["digest"] for r in _folded(both, ["kind"], sums["rows"]).collect()}
+    nothing = hashlib.sha256(b"").hexdigest()
     return {
-        "schema": signature(df), "rows": additive["rows"], "distinct_keys": additive["keys"], "additive_digest": additive["additive"], "sorted_digest": exact["digest"],
-        "key_additive_digest": additive_digest(single).first()["digest"], "key_sorted_digest": sorted_digest(single).first()["digest"],
+        "schema": signature(df), "rows": sums["rows"], "distinct_keys": sums["keys"], "additive_digest": sums["rows_sum"], "sorted_digest": exact.get("row", nothing),
+        "key_additive_digest": sums["keys_sum"], "key_sorted_digest": exact.get("key", nothing),
     }
 
 
