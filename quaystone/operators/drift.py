@@ -300,11 +300,13 @@ def consistent_table(records: DataFrame, files: DataFrame, file: str, payload: s
             value = F.coalesce(F.expr(f"""get_json_object(_payload, replace(replace(_at[{i}], '["', "['"), '"]', "']"))"""), value)
         out.append(value.alias(name))
     more = F.expr("map_filter(map_from_entries(transform(others, o -> struct(o.outer, cast(try_variant_get(v, o.inner, 'variant') as string)))), (k, x) -> x is not null)")
-    return rows.select(*keys, *out, more.alias("more_fields")).dropDuplicates([*keys, *[n for n, _, _ in columns]]) if columns else rows.select(*keys, more.alias("more_fields")).dropDuplicates(keys)
+    got = rows.select(*keys, *out, more.alias("more_fields")).withColumn("_more", F.to_json("more_fields"))  # maps cannot be compared, their text can
+    return got.dropDuplicates([*keys, *[n for n, _, _ in columns], "_more"]).drop("_more")
 
 
 def cells(rows: DataFrame, keys: list[str]) -> DataFrame:
     """The consistent table as (keys..., field_name, value): one row for each value that is not null, as text."""
     fields = [c for c in rows.columns if c not in (*keys, "more_fields")]
-    each = F.explode(F.array(*[F.struct(F.lit(c).alias("field_name"), F.col("`" + c + "`").cast("string").alias("value")) for c in fields])) if fields else F.explode(F.array().cast("array<struct<field_name:string,value:string>>"))
-    return rows.select(*keys, each.alias("x")).select(*keys, "x.*").where("value is not null")
+    known = F.array(*[F.struct(F.lit(c).alias("field_name"), F.col("`" + c + "`").cast("string").alias("value")) for c in fields]).cast("array<struct<field_name:string,value:string>>")
+    more = F.transform(F.map_entries("more_fields"), lambda e: F.struct(e["key"].alias("field_name"), e["value"].alias("value")))
+    return rows.select(*keys, F.explode(F.concat(known, more)).alias("x")).select(*keys, "x.*").where("value is not null")

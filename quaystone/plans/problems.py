@@ -24,14 +24,18 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return drift.changes(table(spark, d, "raw_record"), _files(spark, d, "raw"), FILE, "payload", ["feed_id"], "published_at_utc")
 
 
+def _one_table(spark: SparkSession, d: str) -> DataFrame:
+    return drift.consistent_table(table(spark, d, "raw_record"), _files(spark, d, "raw"), FILE, "payload", ROW, ["feed_id"], "published_at_utc")
+
+
 def p1_table(spark: SparkSession, d: str) -> DataFrame:
-    """All raw payloads as one consistent table."""
-    return drift.consistent_table(table(spark, d, "raw_record"), _files(spark, d, "raw"), FILE, "payload", ROW, ["feed_id"], "published_at_utc").drop("more_fields")
+    """All raw payloads as one consistent table; fields beyond its columns as JSON text."""
+    return _one_table(spark, d).withColumn("more_fields", F.when(F.size("more_fields") > 0, F.to_json("more_fields")))
 
 
 def p1_cells(spark: SparkSession, d: str) -> DataFrame:
     """The consistent table value by value."""
-    return drift.cells(p1_table(spark, d), ROW)
+    return drift.cells(_one_table(spark, d), ROW)
 
 
 def p1_rejected(spark: SparkSession, d: str) -> DataFrame:
