@@ -29,7 +29,7 @@ from quaystone.runtime import bounded, pick, settle, ship
 
 #: Fields that become columns of the consistent table, those of most schemas first; the others are kept in a map.
 MOST_COLUMNS = 2_000
-#: Paths up to which the classes of spellings are found in one block.
+#: Paths that a group of blocks has about, in which the classes of spellings are found; a matter of speed alone.
 ONE_BLOCK = 2_000
 #: Digits that a double holds for certain.
 SAFE_DIGITS = 15
@@ -126,55 +126,105 @@ def is_leaf(n: Node) -> bool:
 
 
 def _initials(name: str) -> str:
-    return "".join(sorted(w[0] for w in words(name)))
+    return "".join(sorted(w[:1] for w in words(name)))
 
 
-def _blocks(names: DataFrame) -> DataFrame:
-    """(name, block): names that may spell one field share a block; `name` is distinct.
+def _joined(edges: DataFrame) -> DataFrame:
+    """(node, label): the connected component of every node of the edges (a, b), named by its least node.
 
-    A block is the initials of a name's words, which no way of spelling changes; a name run together takes the block of the
-    divided name it spells.
+    Each partition leaves a tree of every part it sees, and one task joins those; it holds the nodes, not the edges.
     """
-    initials = F.pandas_udf(lambda names: names.map(_initials), "string")
-    letters = F.pandas_udf(lambda names: names.map(lambda n: "".join(words(n))), "string")
-    parts = F.pandas_udf(lambda names: names.map(lambda n: len(words(n))), "int")
 
-    def spelled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def trees(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        up: dict[str, str] = {}
+
+        def head(x: str) -> str:
+            while up.setdefault(x, x) != x:
+                up[x] = x = up[up[x]]
+            return x
+
+        for b in batches:
+            for x, y in zip(b["a"], b["b"], strict=True):
+                x, y = sorted((head(x), head(y)))
+                up[y] = x
+        yield pd.DataFrame([(x, head(x)) for x in list(up)], columns=["a", "b"])
+
+    return edges.mapInPandas(trees, "a string, b string").repartition(1).mapInPandas(trees, "a string, b string").toDF("node", "label")
+
+
+def _name_labels(names: DataFrame) -> DataFrame:
+    """(name, label): names that same_field finds alike, or a chain of such names, have one label; `name` is distinct.
+
+    A name hangs on its letters and on its sorted words, which settles all but shortened words. For those, one name of each
+    set of words is compared with others of equal initials, which no shortening changes, and a lone word with the two to
+    four words of which one begins as it does and all begin with letters of it.
+    """
+
+    def forms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield b[[same_field(x, y) for x, y in zip(b["name"], b["other"], strict=True)]][["name", "other_block"]]
+            rows = []
+            for n in b["name"]:
+                ws = words(n)
+                rows.append((n, "l" + "".join(ws), "s" + " ".join(sorted(ws)), len(ws), _initials(n), list({w[:1] for w in ws})))
+            yield pd.DataFrame(rows, columns=["name", "letters", "sorted", "parts", "initials", "starts"])
 
-    names = settle(names.select("name", initials("name").alias("block"), letters("name").alias("letters"), parts("name").alias("parts")), "names")
-    widest = names.groupBy("letters").agg(F.max(F.struct(F.length("block"), "block")).alias("b")).select("letters", F.col("b.block").alias("wide"))
-    names = names.join(widest, "letters")
-    lone = names.where("parts = 1 and length(wide) = 1").select("name", F.substring("block", 1, 1).alias("first"))
-    more = names.where("parts between 2 and 4").select(F.col("name").alias("other"), F.col("wide").alias("other_block"), F.explode(F.array_distinct(F.split("block", ""))).alias("first"))
-    runs = lone.join(more, "first").select("name", "other", "other_block").mapInPandas(spelled, "name string, other_block string").groupBy("name").agg(F.min("other_block").alias("run"))
-    return names.join(runs, "name", "left").select("name", F.coalesce("run", "wide").alias("block"))
+    def alike(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield b[[same_field(x, y) for x, y in zip(b["a"], b["b"], strict=True)]]
+
+    names = settle(names.mapInPandas(forms, "name string, letters string, sorted string, parts int, initials string, starts array<string>"), "names")
+    kinds = names.groupBy("sorted", "parts", "initials").agg(F.min("name").alias("name"), F.array_distinct(F.flatten(F.collect_set("starts"))).alias("starts"))
+    keys = F.when(F.col("parts").between(2, 4), F.array_union(F.array("initials"), "starts")).otherwise(F.array("initials"))
+    one = kinds.select(F.col("name").alias("a"), F.col("parts").alias("a_parts"), F.substring("sorted", 2, 2**31 - 1).alias("run"), "initials")
+    other = kinds.select(F.col("name").alias("b"), F.col("parts").alias("b_parts"), "starts", F.explode(keys).alias("initials"))
+    pairs = one.join(other, "initials").where("(a_parts = b_parts and a < b) or (a_parts < b_parts and forall(starts, s -> contains(run, s)))")
+    short = pairs.select("a", "b").repartition(4 * names.sparkSession.sparkContext.defaultParallelism, "a", "b").mapInPandas(alike, "a string, b string")
+    node = F.concat(F.lit("n"), "name")
+    own = names.select(node.alias("a"), F.explode(F.array("letters", "sorted")).alias("b"))
+    edges = own.unionByName(short.select(*[F.concat(F.lit("n"), x).alias(x) for x in ("a", "b")]))
+    return names.select("name", node.alias("node")).join(_joined(edges), "node").select("name", "label")
+
+
+def _blocks(paths: DataFrame, links: DataFrame) -> DataFrame:
+    """(path, block): paths that any chain of links and of spellings connects share a block; `path` is distinct.
+
+    Only paths whose names have the same labels one by one can be spellings of one field, so these labels are a path's key,
+    and links connect keys. No union of `field_classes` reaches beyond a block.
+    """
+    parts = paths.select("path", F.posexplode("path").alias("at", "name"))
+    labels, _ = bounded(settle(_name_labels(parts.select("name").distinct()), "labels"))
+    named = parts.join(labels, "name").groupBy("path").agg(F.array_sort(F.collect_list(F.struct("at", "label"))).alias("names"))
+    keys = settle(named.select("path", F.to_json("names.label").alias("key")), "keys")
+    ends = links.join(keys.select("path", F.col("key").alias("a")), "path").join(keys.select(F.col("path").alias("to_path"), F.col("key").alias("b")), "to_path")
+    side, _ = bounded(settle(_joined(ends.select("a", "b").where("a <> b").distinct()), "blocks"))
+    return keys.join(side.withColumnRenamed("node", "key"), "key", "left").select("path", F.coalesce("label", "key").alias("block"))
 
 
 def field_classes(paths: DataFrame, links: DataFrame) -> DataFrame:
     """(path, field): one field for all spellings of a path; paths has (path, shape), links (path, to_path) of the scripts.
 
     Two paths of one shape are never one field. Links of the scripts go first, then names of equal letters or words, then
-    shortened ones. A vocabulary of at most ONE_BLOCK paths is one block; a larger one is cut by `_blocks` of the last names,
-    which part no two spellings of a field, so the classes are the same.
+    shortened ones. A vocabulary beyond ONE_BLOCK paths is cut into groups of whole blocks of `_blocks`: all paths that could ever
+    be united are in one group and stand in the same order there, so the classes are the same for any number of groups.
     """
     ship(paths.sparkSession)
-    left = paths.groupBy("path").agg(F.collect_set(F.xxhash64("shape")).alias("shapes")).withColumn("name", F.element_at("path", -1))
-    right = links.distinct().withColumn("name", F.element_at("path", -1))
-    if paths.select("path").distinct().limit(ONE_BLOCK + 1).count() <= ONE_BLOCK:
-        left, right = left.withColumn("block", F.lit("")), right.withColumn("link_block", F.lit(""))
+    left = paths.groupBy("path").agg(F.collect_set(F.xxhash64("shape")).alias("shapes"))
+    right = links.distinct()
+    groups = -(-paths.select("path").distinct().count() // ONE_BLOCK)
+    if groups <= 1:
+        left, right = left.withColumn("group", F.lit(0)), right.withColumn("link_group", F.lit(0))
     else:
-        blocks = _blocks(left.select("name").distinct())
-        left, right = left.join(blocks, "name"), right.join(blocks.select("name", F.col("block").alias("link_block")), "name")
+        of_path = settle(_blocks(left.select("path"), right).select("path", F.pmod(F.xxhash64("block"), F.lit(groups)).alias("group")), "groups")
+        left, right = left.join(of_path, "path"), right.join(of_path.withColumnRenamed("group", "link_group"), "path")
 
     def group(p: pd.DataFrame, k: pd.DataFrame) -> pd.DataFrame:
         at = {tuple(x): set(s) for x, s in zip(p["path"], p["shapes"], strict=True)}
         order = sorted(at, key=lambda x: (-len(at[x]), x))
+        place = {x: i for i, x in enumerate(order)}
         of, members = {x: x for x in order}, {x: [x] for x in order}
 
         def unite(x: tuple, y: tuple) -> None:
-            a, b = sorted((of[x], of[y]), key=order.index)
+            a, b = sorted((of[x], of[y]), key=place.get)
             if a != b and not at[a] & at[b]:
                 at[a] |= at.pop(b)
                 for m in members[b]:
@@ -191,12 +241,12 @@ def field_classes(paths: DataFrame, links: DataFrame) -> DataFrame:
         heads = [(x, _initials(x[-1])) for x in order if x in members]
         for i, (x, a) in enumerate(heads):
             for y, b in heads[i + 1 :]:
-                if (a == b or len(a) == 1 or len(b) == 1) and len(x) == len(y) and of[x] != of[y] and all(map(same_field, x, y)):
+                if (a == b or (len(a) == 1 and a in b) or (len(b) == 1 and b in a)) and len(x) == len(y) and of[x] != of[y] and all(map(same_field, x, y)):
                     unite(x, y)
         return pd.DataFrame({"path": [list(x) for x in order], "field": [list(of[x]) for x in order]})
 
-    left, right = left.select("block", "path", "shapes"), right.select("link_block", F.col("path").alias("from_path"), "to_path")
-    return left.groupBy("block").cogroup(right.groupBy("link_block")).applyInPandas(group, "path array<string>, field array<string>")
+    left, right = left.select("group", "path", "shapes"), right.select("link_group", F.col("path").alias("from_path"), "to_path")
+    return left.groupBy("group").cogroup(right.groupBy("link_group")).applyInPandas(group, "path array<string>, field array<string>")
 
 
 class Drift:

@@ -125,6 +125,27 @@ def test_classes_by_blocks_are_the_same(spark, monkeypatch):
     assert sets[0] == sets[1] and ["arprt_fee"] in sets[0]  # it stands in one schema with another spelling
 
 
+def test_no_block_parts_what_one_block_joins(spark, monkeypatch):
+    rng = np.random.default_rng(11)
+    shorter = {"pickup": "pckp", "vendor": "vndr", "amount": "amt", "airport": "arprt", "street": "str"}
+
+    def name():
+        ws = [shorter.get(w, w) if rng.random() < 0.35 else w for w in rng.choice([*shorter, "date", "time", "id", "fee", "state"], rng.integers(1, 4))]
+        return ["_".join(ws), ws[0] + "".join(w.title() for w in ws[1:]), "".join(ws), ws[0] + "_" + "".join(ws[1:])][rng.integers(4)]
+
+    pool = sorted({tuple(name() for _ in range(rng.integers(1, 3))) for _ in range(90)})
+    some = [pool[i] for i in rng.integers(0, len(pool), 12)]
+    odd = [("dropoffDateTime",), ("dropoff_datetime",), ("datetime_dropoff",), ("old",), ("new",), ("",), ("", "k"), ("##",), ("größe", "k")]
+    paths = spark.createDataFrame([(list(p), f"s{rng.integers(20)}") for p in pool] + [(list(p), f"t{i}") for i, p in enumerate(odd)], "path array<string>, shape string")
+    links = spark.createDataFrame([(["old"], ["new"]), (["old"], ["nowhere"])] + [(list(p), list(q)) for p, q in zip(some[::2], some[1::2], strict=True)], "path array<string>, to_path array<string>")
+    got = []
+    for most in (2000, 40, 1):
+        monkeypatch.setattr(drift, "ONE_BLOCK", most)
+        got.append({tuple(r["path"]): tuple(r["field"]) for r in drift.field_classes(paths, links).collect()})
+    assert got[0] == got[1] == got[2] and len(got[0]) == len(pool) + len(odd)
+    assert got[2]["datetime_dropoff",] == got[2]["dropoff_datetime",] == got[2]["dropoffDateTime",] and got[2]["old",] == got[2]["new",]
+
+
 # 2
 
 
