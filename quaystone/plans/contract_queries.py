@@ -297,17 +297,17 @@ def _published_lake(spark, d, rows: bool) -> Lake:
     lake, trips, now = Lake(spark, root / "landing", root / "warehouse"), table(spark, d, "published_trip"), YELLOW.fingerprint()
     files = table(spark, d, "artifact_manifest").where("artifact_kind in ('contracted', 'trip')").select("logical_id", "artifact_kind", "source_period", "source_file_version_id", "published_at_utc").distinct().collect()
     lake.catalog.prepare_layout()
-    for f in files:
+
+    def mark(f) -> None:
         print_ = now if f["artifact_kind"] == "contracted" else "0" * 64
         lake.catalog.publish(versions.Marker(f["logical_id"], "yellow", f["source_period"], f["source_file_version_id"], f["published_at_utc"].isoformat(), "active", print_, ZONES, versions.derivation_id(f["source_file_version_id"], print_, ZONES)))
-    lake.catalog.settle(versions.Boundary(ZONES, {"yellow": now}))
 
-    def commit(file: str) -> None:
-        own = trips.where(F.col("source_file_version_id") == file).coalesce(1)
-        lake.table(YELLOW, "trip").append(own, f"yellow:trip:{versions.derivation_id(file, now, ZONES)}", ["source_period"])
+    together(mark, files)
+    lake.catalog.settle(versions.Boundary(ZONES, {"yellow": now}))
 
     if rows:
-        together(commit, [f["source_file_version_id"] for f in files if f["artifact_kind"] == "contracted"])
+        keys = {f["source_file_version_id"]: f"yellow:trip:{versions.derivation_id(f['source_file_version_id'], now, ZONES)}" for f in files if f["artifact_kind"] == "contracted"}
+        lake.table(YELLOW, "trip").append_each(trips, "source_file_version_id", keys, ["source_period"])
     return lake
 
 

@@ -188,6 +188,42 @@ def test_table_log(spark, tmp_path):
     assert log.missing_files() == [log.files()[0]]
 
 
+def test_commits_of_many_keys(spark, tmp_path):
+    """Many keys in one pass: the same rows under each key as single commits give, in few files."""
+    df = spark.range(600).selectExpr("id", "if(id % 7 = 0, null, concat('v', id % 50)) v", "if(id % 11 = 0, null, cast(id % 3 as string)) p", "id / 8 x")
+    df, values = df.union(df.where("id < 60")), [f"v{n}" for n in range(0, 50, 2)] + ["none such"]
+    single, each = TableLog(tmp_path / "single"), TableLog(tmp_path / "each")
+    for log in (single, each):
+        assert log.append(df.where("v = 'v2'"), "k-v2", ["p"])["state"] == "appended"
+    for v in values:
+        single.append(df.where(df.v == v), f"k-{v}", ["p"])
+    got = each.append_each(df, "v", {v: f"k-{v}" for v in values}, ["p"])
+    assert {v for v, x in got.items() if x["state"] == "replayed"} == {"v2"} and {x["version"] for x in got.values()} == {each.version()} == {single.version()} and got["none such"]["files"] == 0
+    again = each.append_each(df, "v", {v: f"k-{v}" for v in [*values, "v1"]}, ["p"])
+    assert [v for v, x in again.items() if x["state"] == "appended"] == ["v1"]
+    single.append(df.where("v = 'v1'"), "k-v1", ["p"])
+    for keys in (None, {"k-v2"}, {"k-v2", "k-v4", "k-v8", "k-no"}, {"k-v1", "k-v6"}, {"k-none such"}, set()):
+        rows = [sorted(map(str, log.read(spark, keys).collect())) for log in (single, each)]
+        assert rows[0] == rows[1] and (bool(rows[0]) or keys in ({"k-none such"}, set())), keys
+    assert each.read(spark).columns == df.columns and not each.missing_files() and len(each.files()) < len(single.files()) / 2
+    assert set(each.files()) == {str(p.relative_to(tmp_path / "each")) for p in (tmp_path / "each" / "data").rglob("*.parquet")}
+    with pytest.raises(ValueError):
+        each.append_each(df.withColumnRenamed("x", "_commit_part"), "v", {"v3": "k-v3"}, ["p"])
+
+
+def test_many_keys_and_another_writer(spark, tmp_path, monkeypatch):
+    """A key that another writer commits meanwhile has that writer's rows, once; the others are ours."""
+    df, log = spark.range(90).selectExpr("id", "concat('v', id % 3) v", "'p' p"), TableLog(tmp_path / "t")
+    TableLog(tmp_path / "t").append(df.where("v = 'v1'"), "v1", ["p"])
+    monkeypatch.setattr(log, "committed", lambda key: False)
+    got = log.append_each(df, "v", {v: v for v in ("v0", "v1", "v2")}, ["p"])
+    assert [got[v]["state"] for v in ("v0", "v1", "v2")] == ["appended", "replayed", "appended"]
+    assert sorted(r["id"] for r in log.read(spark).collect()) == list(range(90)) and log.read(spark, {"v1"}).count() == 30
+    before = set(log.files())
+    assert {x["state"] for x in log.append_each(df, "v", {v: v for v in ("v0", "v1")}, ["p"]).values()} == {"replayed"}
+    assert {str(p.relative_to(tmp_path / "t")) for p in (tmp_path / "t" / "data").rglob("*.parquet")} == before
+
+
 def test_run_rebuild_replay(lake, tmp_path):
     report = pipeline.gated_run(lake, ASKED, tmp_path / "scratch")
     assert report["passed"], report["checks"]

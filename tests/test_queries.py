@@ -42,6 +42,21 @@ def test_contract_sql(spark, name):
     same_as_sql(spark, contract_queries, name)
 
 
+def test_published_view_takes_no_job_per_file(spark):
+    """Ten times the files take the same jobs, not one more for each file, and the rows are all there."""
+    sizes, jobs = ("/root/testdata/sf0.001", "/root/testdata/sf0.01"), []
+    last = lambda: max(spark.sparkContext.statusTracker().getJobIdsForGroup(None), default=-1)
+    for sf in sizes:
+        at = last()
+        got = Counter(tuple(map(plain, r)) for r in contract_queries.published_view(spark, sf).collect())
+        jobs.append(last() - at)
+        con = duckdb.connect()
+        for t in ("published_trip", "artifact_manifest"):
+            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
+        assert got == Counter(tuple(map(plain, r)) for r in con.execute(contract_queries.ORACLE["published_view"]).fetchall())
+    assert 0 < jobs[0] and jobs[1] - jobs[0] < 10, jobs
+
+
 def test_entry_lists_everything(spark):
     import __spark_entry__ as e
 
